@@ -11,6 +11,7 @@ import html
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
 _BLANKS = r"\t-\r\x1c-\x20"
 _WIDE_BLANKS = r"\x{85}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}"
@@ -37,7 +38,7 @@ _PLAIN_NAMES = "|".join(name[1:-1] for name in PLAIN_ENTITIES)
 _RARE_ENTITY = rf"&(?!(?:{_PLAIN_NAMES});)[#A-Za-z]"
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(StringType())
 def _unescape(text: pd.Series) -> pd.Series:
     return text.map(html.unescape, na_action="ignore")
 
