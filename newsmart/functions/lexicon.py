@@ -20,6 +20,25 @@ from pyspark.sql import functions as F
 _BOUNDARY_KEYWORD = re.compile(r"[a-z0-9 ]+")
 
 
+def quoted(text: str) -> str:
+    """SQL string literal."""
+    return "'" + text.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
+def text_array(texts: Iterable[str]) -> Column:
+    """Constant array of strings, built as one expression however long the list is."""
+    return F.expr(f"array({', '.join(map(quoted, texts))})")
+
+
+def country_array(countries) -> Column:
+    """Constant array of (cc, keywords) in list order."""
+    structs = (
+        f"named_struct('cc', {quoted(cc)}, 'keywords', array({', '.join(map(quoted, keywords))}))"
+        for cc, keywords in countries
+    )
+    return F.expr(f"array({', '.join(structs)})")
+
+
 def has_boundaries(keyword: str) -> bool:
     return _BOUNDARY_KEYWORD.fullmatch(keyword) is not None
 
@@ -59,8 +78,8 @@ def _boundary_hits(text: Column, keywords: Sequence[str]) -> Column:
     starts = _contained_starts(keywords)
     if not starts:
         return found
-    pairs = [part for key, shorter in starts.items() for part in (F.lit(key), F.lit([key, *shorter]))]
-    all_of = F.create_map(*pairs)
+    pairs = (f"{quoted(key)}, array({', '.join(map(quoted, [key, *shorter]))})" for key, shorter in starts.items())
+    all_of = F.expr(f"map({', '.join(pairs)})")
     return F.flatten(F.transform(found, lambda hit: F.coalesce(F.try_element_at(all_of, hit), F.array(hit))))
 
 
@@ -71,14 +90,14 @@ def hits(text: Column, keywords: Iterable[str]) -> Column:
     phrases = [keyword for keyword in vocabulary if not has_boundaries(keyword)]
     found = _boundary_hits(text, tokens) if tokens else F.array().cast("array<string>")
     if phrases:
-        inside = F.filter(F.lit(phrases), lambda phrase: F.contains(text, phrase))
+        inside = F.filter(text_array(phrases), lambda phrase: F.contains(text, phrase))
         found = F.concat(found, inside)
     return found
 
 
 def first_hit(found: Column, keywords: Sequence[str]) -> Column:
     """First keyword of the list, in list order, that is among the hits; else NULL."""
-    return F.get(F.array_intersect(F.lit(_unique(keywords)), found), F.lit(0))
+    return F.get(F.array_intersect(text_array(_unique(keywords)), found), F.lit(0))
 
 
 @dataclass(frozen=True)

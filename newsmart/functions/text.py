@@ -13,6 +13,8 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
+from newsmart.functions.binding import let, let_both
+
 _BLANKS = r"\t-\r\x1c-\x20"
 _WIDE_BLANKS = r"\x{85}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}"
 SPACE = rf"{_BLANKS}\x{{a0}}{_WIDE_BLANKS}"
@@ -49,12 +51,17 @@ def decode_entities(text: Column) -> Column:
     The common entities are replaced inside the JVM. Only texts holding any other entity travel to
     the Arrow UDF; for all other rows it receives NULL.
     """
-    plain = text
-    for entity, char in PLAIN_ENTITIES.items():
-        plain = F.replace(plain, F.lit(entity), F.lit(char))
-    rare = text.rlike(_RARE_ENTITY)
-    decoded = F.when(rare, _unescape(F.when(rare, text))).otherwise(plain)
-    return F.when(F.contains(text, F.lit("&")), decoded).otherwise(text)
+    rare = F.contains(text, F.lit("&")) & text.rlike(_RARE_ENTITY)
+
+    def choose(text: Column, unescaped: Column) -> Column:
+        plain = text
+        for entity, char in PLAIN_ENTITIES.items():
+            plain = F.replace(plain, F.lit(entity), F.lit(char))
+        return (
+            F.when(unescaped.isNotNull(), unescaped).when(F.contains(text, F.lit("&")), plain).otherwise(text)
+        )
+
+    return let_both(text, _unescape(F.when(rare, text)), choose)
 
 
 def strip(text: Column) -> Column:
@@ -63,7 +70,9 @@ def strip(text: Column) -> Column:
 
 
 def _drop_tags(text: Column) -> Column:
-    return F.when(F.contains(text, F.lit("<")), F.regexp_replace(text, "<[^>]+>", " ")).otherwise(text)
+    return let(
+        text, lambda t: F.when(F.contains(t, F.lit("<")), F.regexp_replace(t, "<[^>]+>", " ")).otherwise(t)
+    )
 
 
 def strip_html(text: Column) -> Column:
@@ -72,15 +81,30 @@ def strip_html(text: Column) -> Column:
     return strip(F.regexp_replace(plain, r"[ \x{a0}]{2,}", " "))
 
 
+TAIL_WINDOW = 256
+
+
 def _drop_tails(text: Column, space: str) -> Column:
     """Drop a publisher name after a dash, then one after a wide gap.
 
-    Both need the text to end in a word character or blank, so all other texts skip the scans.
+    Both tails need the text to end in a word character or blank; other texts skip the scans. In a
+    text without long blank runs near its end both tails lie inside the last ``TAIL_WINDOW``
+    characters (a tail is at most 62 characters plus its blanks), so only that window is scanned.
     """
     dashed = rf"(?d)[{space}]+-[{space}]+[A-Za-z][{WORD}{space}]{{1,60}}$"
     spaced = rf"(?d)[{space}]{{2,}}[A-Z][A-Za-z][{WORD}{space}]{{1,60}}$"
-    open_end = F.right(text, F.lit(2)).rlike(rf"(?d)[{WORD}{SPACE}]$")
-    return F.when(open_end, F.regexp_replace(F.regexp_replace(text, dashed, ""), spaced, "")).otherwise(text)
+    open_end = rf"(?d)[{WORD}{SPACE}]$"
+
+    def drop(part: Column) -> Column:
+        return F.regexp_replace(F.regexp_replace(part, dashed, ""), spaced, "")
+
+    def choose(text: Column, window: Column) -> Column:
+        size = F.char_length(text)
+        inside = (size > TAIL_WINDOW) & ~window.rlike(rf"^[{space}]|[{space}]{{30}}")
+        short = F.concat(F.left(text, size - TAIL_WINDOW), drop(window))
+        return F.when(~window.rlike(open_end), text).when(inside, short).otherwise(drop(text))
+
+    return let(text, lambda t: let_both(t, F.right(t, F.lit(TAIL_WINDOW)), choose))
 
 
 def _untagged(text: Column) -> Column:
@@ -99,20 +123,19 @@ def normalize(text: Column) -> Column:
 
 
 def scoring_text(text: Column) -> Column:
-    """``normalize(clean_text(text))`` with as few scans of the text as possible.
+    """``normalize(clean_text(text))`` with fewer passes over wide character classes.
 
-    Texts without entities, tags and rare blanks (one test) skip those steps. Rare Unicode blanks
-    become plain ones first, which changes nothing after normalisation, so the later patterns only
-    test ASCII blanks; single blanks are left in place.
+    Rare Unicode blanks become plain ones first, which changes nothing after normalisation, so the
+    later patterns only test ASCII blanks; single blanks are left in place.
     """
+    plain = _drop_tags(decode_entities(F.coalesce(text, F.lit(""))))
 
-    def finish(plain: Column) -> Column:
-        cleaned = F.trim(_drop_tails(plain, _BLANKS), F.lit("\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f "))
-        return F.regexp_replace(F.lower(cleaned), rf"[{_BLANKS}]{{2,}}|[\t-\r\x1c-\x1f]", " ")
+    def narrow(t: Column) -> Column:
+        narrowed = F.regexp_replace(F.regexp_replace(t, r"\x{a0}+", " "), f"[{_WIDE_BLANKS}]", " ")
+        return F.when(t.rlike(rf"[\x{{a0}}{_WIDE_BLANKS}]"), narrowed).otherwise(t)
 
-    special = text.rlike(rf"[&<\x{{a0}}{_WIDE_BLANKS}]")
-    marked = F.regexp_replace(_untagged(F.when(special, text)), f"[{_WIDE_BLANKS}]", " ")
-    return F.when(special, finish(marked)).otherwise(finish(F.coalesce(text, F.lit(""))))
+    cleaned = F.trim(_drop_tails(let(plain, narrow), _BLANKS), F.lit("\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f "))
+    return F.regexp_replace(F.lower(cleaned), rf"[{_BLANKS}]{{2,}}|[\t-\r\x1c-\x1f]", " ")
 
 
 def content_hash(title: Column, link: Column) -> Column:
@@ -163,22 +186,22 @@ _ISO_DATE = r"^\s*\d{4}(-\d{2}){0,2}([T ]\d{2}:\d{2}.*)?\s*$"
 
 
 def _mail_time(text: Column) -> Column:
-    def part(group: int) -> Column:
-        return F.regexp_extract(text, _MAIL_DATE, group)
-
-    year = F.when(F.length(part(3)) == 4, part(3)).otherwise(
-        F.concat(F.when(part(3) < "69", "20").otherwise("19"), part(3))
-    )
-    zone = F.upper(part(7))
-    offset = F.when(zone.rlike("^[+-]"), zone)
-    for name, value in ZONE_OFFSETS.items():
-        offset = offset.when(zone == name, value)
-    canonical = F.concat(
-        F.lpad(part(1), 2, "0"), F.lit(" "), F.initcap(part(2)), F.lit(" "), year, F.lit(" "),
-        F.lpad(part(4), 2, "0"), F.lit(":"), part(5), F.lit(":"),
-        F.when(part(6) == "", "00").otherwise(part(6)), F.lit(" "), offset.otherwise(F.lit("+0000")),
-    )
-    return F.when(text.rlike(_MAIL_DATE), F.try_to_timestamp(canonical, F.lit("dd MMM yyyy HH:mm:ss Z")))
+    parts = F.split(F.regexp_replace(text, _MAIL_DATE, "$1|$2|$3|$4|$5|$6|$7"), r"\|", -1)
+
+    def canonical(part: Column) -> Column:
+        year, zone = part[2], F.upper(part[6])
+        offset = F.when(zone.rlike("^[+-]"), zone)
+        for name, value in ZONE_OFFSETS.items():
+            offset = offset.when(zone == name, value)
+        century = F.when(F.length(year) == 4, "").when(year < "69", "20").otherwise("19")
+        return F.concat(
+            F.lpad(part[0], 2, "0"), F.lit(" "), F.initcap(part[1]), F.lit(" "), century, year, F.lit(" "),
+            F.lpad(part[3], 2, "0"), F.lit(":"), part[4], F.lit(":"), F.when(part[5] == "", "00").otherwise(part[5]),
+            F.lit(" "), offset.otherwise(F.lit("+0000")),
+        )
+
+    date = F.when(text.rlike(_MAIL_DATE), let(parts, canonical))
+    return F.try_to_timestamp(date, F.lit("dd MMM yyyy HH:mm:ss Z"))
 
 
 def feed_time(text: Column) -> Column:

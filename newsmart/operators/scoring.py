@@ -9,7 +9,8 @@ from pyspark.sql import functions as F
 
 from newsmart.config import WEIGHTS, Weights
 from newsmart.functions import text as X
-from newsmart.functions.lexicon import Lexicon, first_hit, hits
+from newsmart.functions.lexicon import Lexicon, country_array, first_hit, hits
+from newsmart.session import counted
 
 RESULT_COLUMNS = ("article_id", "filter_stage", "filter_decision", "filter_reason", "filter_score")
 
@@ -35,9 +36,7 @@ def _text_hits(text: Column, language: Column, lexicon: Lexicon) -> Column:
 
 def _country_places(countries, title_hits: Column, body_hits: Column) -> Column:
     """Countries found, in list order, each with the place ('title' before 'body') it was found in."""
-    listed = F.array(
-        *[F.struct(F.lit(cc).alias("cc"), F.lit(list(keywords)).alias("keywords")) for cc, keywords in countries]
-    )
+    listed = country_array(countries)
 
     def place(country: Column) -> Column:
         found = F.when(F.arrays_overlap(country["keywords"], title_hits), "title").when(
@@ -163,10 +162,15 @@ def score_articles(
     rows = articles.select(*wanted).join(dimension, "source_id")
     official = F.coalesce(F.col("tier") == 0, F.lit(False))
     scored = score_text(rows, lexicon, weights, skip=official)
-    return scored.select(
+    results = scored.select(
         "article_id",
         F.when(official, 1).otherwise(2).alias("filter_stage"),
         F.when(official, "passed").otherwise(F.col("decision")).alias("filter_decision"),
         F.when(official, "official_source").otherwise(F.col("reason")).alias("filter_reason"),
         F.when(official, weights.official).otherwise(F.col("score")).alias("filter_score"),
     )
+    decision = F.col("filter_decision")
+    return counted(
+        results, "filter", total=F.count(F.lit(1)), passed=F.count_if(decision == "passed"),
+        rejected=F.count_if(decision == "rejected"),
+    )

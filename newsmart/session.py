@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 
 SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
@@ -58,3 +59,13 @@ def cut(df: DataFrame) -> DataFrame:
     """Materialise ``df`` reliably and drop its lineage."""
     checkpoint_dir(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+def counted(results: DataFrame, stage: str, **counters: Column) -> DataFrame:
+    """Stage results with their counters observed while they are computed.
+
+    Listeners get the counters without a second pass. The node also keeps later filters above the
+    stage: pushed below it they would evaluate the stage's expressions a second time.
+    """
+    named = [value.alias(name) for name, value in counters.items()]
+    return results.observe(f"{stage}-{uuid.uuid4().hex[:12]}", *named)

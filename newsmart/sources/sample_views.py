@@ -6,10 +6,14 @@ feeds, categories and registry; a rule on the article id gives the stored model
 
 from __future__ import annotations
 
+from dataclasses import replace
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from newsmart.functions.lexicon import LanguageLists, Lexicon
+from newsmart.functions.taxonomy import TOPICS, Topic
+from newsmart.functions.text import content_hash, strip
 from newsmart.session import prepare, spread
 
 COUNTRY_CODES = ["KR", "US", "CN", "JP", "ID", "VN", "KH", "MM", "IN", "GB", "HK", "SG"]
@@ -125,3 +129,166 @@ def responses(articles: DataFrame, stage: str) -> DataFrame:
         F.get(F.lit(replies), kind).alias("raw_text"),
         F.lit("stored:sample").alias("model"),
     )
+
+
+def sample_topics() -> tuple[Topic, ...]:
+    """The published topic codes with seed words that occur in the invented prose."""
+    seeds = {
+        "MARKET": ("that", "the by"), "BANKING": ("nicht", "erin"), "DIGITAL": ("para", "dans"),
+        "ESG": ("worthless", "apache"), "RISK": ("license", "sich"),
+    }
+    return tuple(replace(topic, seeds=seeds[topic.code]) for topic in TOPICS)
+
+
+# -- ingest ----------------------------------------------------------------------------------------
+def _rfc(ts: Column, hours: int, zone: str, weekday: bool = True) -> Column:
+    pattern = ("EEE, " if weekday else "") + "dd MMM yyyy HH:mm:ss"
+    return F.concat(F.date_format(ts + F.expr(f"INTERVAL {hours} HOURS"), pattern), F.lit(zone))
+
+
+def _iso(ts: Column, hours: int, zone: str) -> Column:
+    return F.concat(F.date_format(ts + F.expr(f"INTERVAL {hours} HOURS"), "yyyy-MM-dd'T'HH:mm:ss"), F.lit(zone))
+
+
+def entry_columns(rows: DataFrame) -> DataFrame:
+    """Feed entries from article rows: padded titles, one link per source and title, mixed dates."""
+    ts, kind = F.col("published_at"), F.col("article_id") % 6
+    published = (
+        F.when(kind == 0, _rfc(ts, 9, " +0900")).when(kind == 1, _rfc(ts, 0, " GMT")).when(kind == 2, _iso(ts, 0, "Z"))
+        .when(kind == 4, "n/a").when(kind == 5, _rfc(ts, -5, " EST", weekday=False))
+    )
+    return rows.select(
+        "feed_id",
+        "source_id",
+        F.col("article_id").cast("int").alias("pos"),
+        F.concat(F.lit("  "), "title", F.lit("\n")).alias("title"),
+        F.concat(F.lit(" https://src"), "source_id", F.lit(".example.com/"), F.sha2("title", 256)).alias("link"),
+        "summary",
+        published.alias("published"),
+        F.when(kind == 3, _iso(ts, 9, "+09:00")).alias("updated"),
+        "fetched_at",
+    )
+
+
+def entries(spark: SparkSession, folder: str) -> DataFrame:
+    return entry_columns(articles(spark, folder))
+
+
+def stored_articles(spark: SparkSession, folder: str) -> DataFrame:
+    """Articles of earlier runs: those whose document carries a label."""
+    labelled = table(spark, folder, "labels").select(F.col("doc_id").alias("article_id")).distinct()
+    rows = articles(spark, folder).select("article_id", "source_id", "title").join(labelled, "article_id", "left_semi")
+    title = strip(F.col("title"))
+    link = F.concat(F.lit("https://src"), "source_id", F.lit(".example.com/"), F.sha2("title", 256))
+    return rows.select("article_id", content_hash(title, link).alias("content_hash"))
+
+
+def _xml(text: Column) -> Column:
+    printable = F.regexp_replace(text, r"[\x00-\x08\x0b-\x1f\x{fffe}\x{ffff}]", "")
+    for char, entity in (("&", "&amp;"), ("<", "&lt;"), (">", "&gt;")):
+        printable = F.replace(printable, F.lit(char), F.lit(entity))
+    return printable
+
+
+def payload_columns(rows: DataFrame) -> DataFrame:
+    """One stored payload per article: RSS, Atom, a broken RSS body, or a failed fetch."""
+    kind = F.col("article_id") % 10
+    title, summary = _xml(F.col("title")), _xml(F.col("summary"))
+    date = _rfc(F.col("published_at"), 0, " GMT")
+    item = F.concat(
+        F.lit("<item><title>"), title, F.lit("</title><link>"), "link", F.lit("</link><description>"), summary,
+        F.lit("</description><pubDate>"), date, F.lit("</pubDate></item>"),
+    )
+    rss = F.concat(F.lit('<?xml version="1.0"?><rss version="2.0"><channel><title>feed</title>'), item,
+                   F.lit("</channel></rss>"))
+    atom = F.concat(
+        F.lit('<feed xmlns="http://www.w3.org/2005/Atom"><entry><title>'), title,
+        F.lit('</title><link rel="self" href="https://self.example.com/"/><link href="'), "link",
+        F.lit('"/><summary>'), summary, F.lit("</summary><published>"), _iso(F.col("published_at"), 0, "Z"),
+        F.lit("</published></entry></feed>"),
+    )
+    broken = F.concat(F.lit("<rss><channel>"), item, F.lit("<item><title>cut"))
+    body = F.when(kind < 6, rss).when(kind == 6, atom).when(kind == 7, broken).when(kind == 8, "no feed at all")
+    return rows.select(
+        F.col("article_id").alias("feed_id"),
+        "source_id",
+        "fetched_at",
+        F.when(kind == 9, 404).otherwise(200).cast("int").alias("status"),
+        F.lit(None).cast("string").alias("error"),
+        body.alias("body"),
+    )
+
+
+def payloads(spark: SparkSession, folder: str) -> DataFrame:
+    return payload_columns(articles(spark, folder))
+
+
+def page_links(spark: SparkSession, folder: str) -> DataFrame:
+    pages = table(spark, folder, "pages")
+    return pages.select(F.col("page_id").alias("article_id"), F.col("url").alias("link"))
+
+
+def page_redirects(spark: SparkSession, folder: str) -> DataFrame:
+    """Page URLs with a query resolve to the URL without it."""
+    urls = table(spark, folder, "pages").filter(F.contains("url", F.lit("?"))).select(F.col("url").alias("from_url"))
+    return urls.select("from_url", F.regexp_replace(F.split_part("from_url", F.lit("?"), F.lit(1)), "^http://", "https://").alias("to_url"))
+
+
+# -- registry --------------------------------------------------------------------------------------
+def _nation_code(shift: int) -> Column:
+    return F.element_at(F.lit(COUNTRY_CODES), (F.col("c_nationkey") + shift) % 12 + 1)
+
+
+def registry(spark: SparkSession, folder: str) -> DataFrame:
+    """Desired registry with one medium per customer outside one market segment."""
+    rows = table(spark, folder, "customer").filter(F.col("c_mktsegment") != "MACHINERY")
+
+    def feed(section: str, url: Column) -> Column:
+        return F.struct(F.lit(section).alias("section"), url.alias("url"))
+
+    own = F.concat(F.lit("https://m"), F.col("c_custkey"), F.lit(".example.com/"))
+    hub = F.concat(F.lit("https://hub.example.com/"), F.col("c_nationkey"))
+    feeds_list = F.array_compact(
+        F.array(
+            feed("world", F.concat(own, F.lit("world"))),
+            F.when(F.col("c_nationkey") % 2 == 0, feed("business", F.concat(own, F.lit("business")))),
+            F.when(F.col("c_acctbal") > 5000, feed("hub", hub)),
+        )
+    )
+    return rows.select(
+        F.col("c_custkey").alias("pos"),
+        F.col("c_name").alias("media_name"),
+        _nation_code(1).alias("country"),
+        F.when(F.col("c_nationkey") % 3 == 0, "ko").otherwise("en").alias("language"),
+        ((F.col("c_custkey") + 1) % 3).cast("int").alias("tier"),
+        F.when(F.col("c_acctbal") < 0, False).when(F.col("c_acctbal") > 9000, None).otherwise(True).alias("active"),
+        F.array_compact(F.array(_nation_code(1), F.when(F.col("c_nationkey") % 4 == 0, "GLOBAL_GENERAL"))).alias("categories"),
+        F.when((F.col("c_acctbal") < 8000) | (F.col("c_acctbal") > 8500), feeds_list).alias("feeds"),
+    )
+
+
+def registry_state(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Sources, categories and feeds before the sync."""
+    rows = table(spark, folder, "customer").filter(F.col("c_mktsegment") != "BUILDING")
+    known_sources = rows.select(
+        F.col("c_custkey").alias("source_id"), F.col("c_name").alias("media_name"),
+        _nation_code(0).alias("primary_country_code"), F.lit("en").alias("language"),
+        (F.col("c_custkey") % 3).cast("int").alias("tier"),
+    )
+    known_categories = rows.select(
+        F.col("c_custkey").alias("source_id"),
+        F.explode(F.array(_nation_code(0), F.lit("GLOBAL_ECONOMY"))).alias("category_code"),
+    )
+    known_feeds = rows.select(
+        "c_custkey", "c_nationkey", F.posexplode(F.array(F.lit("world"), F.lit("sport"))).alias("n", "feed_section")
+    ).select(
+        (F.col("c_custkey") * 2 + F.col("n")).alias("feed_id"),
+        F.col("c_custkey").alias("source_id"),
+        F.concat(F.lit("https://m"), "c_custkey", F.lit(".example.com/"), "feed_section").alias("feed_url"),
+        "feed_section",
+        (F.col("c_nationkey") % 5 != 4).alias("is_active"),
+        F.lit(200).alias("last_status"),
+        F.lit(None).cast("timestamp").alias("last_fetched"),
+        F.lit(None).cast("string").alias("last_error"),
+    )
+    return known_sources, known_categories, known_feeds
