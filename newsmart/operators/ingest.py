@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, Window
@@ -10,6 +11,7 @@ from pyspark.sql import functions as F
 from newsmart.config import REDIRECT_PREFIX
 from newsmart.functions import text as X
 from newsmart.operators.identity import next_id, number_rows
+from newsmart.session import cut
 
 HASH_PREFIX = 3
 ARTICLE_COLUMNS = (
@@ -129,11 +131,19 @@ def active_feeds(feeds: DataFrame) -> DataFrame:
 
 
 def ingest(
-    feeds: DataFrame, entries: DataFrame, articles: DataFrame, redirects: DataFrame | None = None
+    feeds: DataFrame,
+    entries: DataFrame,
+    articles: DataFrame,
+    redirects: DataFrame | None = None,
+    store: Callable[[DataFrame], DataFrame] = cut,
 ) -> IngestResult:
-    """Outcome of one run over parsed payloads (see ``sources.payloads``)."""
-    rows = entry_rows(entries)
-    new = insert_new(rows, articles)
+    """Outcome of one run over parsed payloads (see ``sources.payloads``).
+
+    The article rows and the new articles are both read several times, so each is stored once and
+    no payload is parsed again.
+    """
+    rows = store(entry_rows(entries))
+    new = store(insert_new(rows, articles))
     counts = feed_counts(feeds, rows.select("feed_id"), new)
     if redirects is not None:
         new = resolve_links(new, redirects)

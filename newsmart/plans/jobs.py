@@ -35,16 +35,16 @@ def collect_chain(
 ) -> Collected:
     """Ingest, score and de-duplicate the articles of one run.
 
-    The new articles and their scores are materialised once; the later steps read them.
+    Each stage's result is stored once and read by the later stages.
     """
     parsed = parse_payloads(payloads)
     outcome = ingest(parsed.feeds, parsed.entries, articles, redirects)
-    new = cut(outcome.articles)
+    new = outcome.articles
     scores = cut(score_articles(new, sources, lexicon))
     raw = new.drop("filter_stage", "filter_decision")
     current = current_articles(with_source(raw, sources), filter_results=scores)
     marks = mark_duplicates(current, settings=dedup)
-    return Collected(IngestResult(new, outcome.feed_counts, outcome.run), scores, marks)
+    return Collected(outcome, scores, marks)
 
 
 @dataclass(frozen=True)
