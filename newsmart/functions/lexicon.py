@@ -83,16 +83,24 @@ def _boundary_hits(text: Column, keywords: Sequence[str]) -> Column:
     return F.flatten(F.transform(found, lambda hit: F.coalesce(F.try_element_at(all_of, hit), F.array(hit))))
 
 
+def phrase_hits(text: Column, keywords: Iterable[str]) -> Column:
+    """Those keywords without word boundaries that ``text`` contains."""
+    phrases = [keyword for keyword in _unique(keywords) if not has_boundaries(keyword)]
+    if not phrases:
+        return F.expr("cast(array() as array<string>)")
+    return F.filter(text_array(phrases), lambda phrase: F.contains(text, phrase))
+
+
+def token_hits(text: Column, keywords: Iterable[str]) -> Column:
+    """Those keywords with word boundaries that match ``text``, possibly repeated."""
+    tokens = [keyword for keyword in _unique(keywords) if has_boundaries(keyword)]
+    return _boundary_hits(text, tokens) if tokens else F.expr("cast(array() as array<string>)")
+
+
 def hits(text: Column, keywords: Iterable[str]) -> Column:
     """Keywords of the vocabulary that match ``text``, unordered and possibly repeated."""
     vocabulary = _unique(keywords)
-    tokens = [keyword for keyword in vocabulary if has_boundaries(keyword)]
-    phrases = [keyword for keyword in vocabulary if not has_boundaries(keyword)]
-    found = _boundary_hits(text, tokens) if tokens else F.array().cast("array<string>")
-    if phrases:
-        inside = F.filter(text_array(phrases), lambda phrase: F.contains(text, phrase))
-        found = F.concat(found, inside)
-    return found
+    return F.concat(token_hits(text, vocabulary), phrase_hits(text, vocabulary))
 
 
 def first_hit(found: Column, keywords: Sequence[str]) -> Column:

@@ -39,9 +39,9 @@ def candidates(articles: DataFrame, recheck: bool = False) -> DataFrame:
         rows = rows.filter(F.col("duplicate_of").isNull())
     day = X.kst_day(F.col("published_at"), F.col("fetched_at")).cast("string")
     rank = F.struct(
-        F.col("tier").alias("tier"),
+        F.coalesce("tier", F.lit(-1)).alias("tier"),
         F.col("published_at").isNull().alias("undated"),
-        (-F.unix_micros("published_at")).alias("age"),
+        F.coalesce(-F.unix_micros("published_at"), F.lit(0)).alias("age"),
         F.col("article_id").alias("id"),
     )
     return rows.select(
@@ -72,40 +72,51 @@ def mark_equal_titles(rows: DataFrame) -> DataFrame:
 
 
 _RESOLVED = "cc string, art_date string, title_key string, rank_id long, primary_id long"
+_RANK = ["tier", "undated", "age", "id"]
+
+
+def _tasks(df: DataFrame, keys: list[str]) -> DataFrame:
+    """Hash-partition for heavy Python groups.
+
+    The titles are few bytes but much work, so the number of tasks is named: adaptive execution
+    would otherwise merge the small partitions into a few tasks.
+    """
+    return df.repartition(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), *keys)
+
+
+def _marked(pdf: pd.DataFrame, found: np.ndarray, primary_ids: np.ndarray) -> pd.DataFrame:
+    """Rows with the id behind each found position; NULL where nothing was found."""
+    primary = pd.Series(pd.NA, index=pdf.index, dtype="Int64")
+    hit = found >= 0
+    primary[hit] = primary_ids[found[hit]]
+    return pdf[["cc", "art_date", "title_key"]].assign(rank_id=pdf["id"], primary_id=primary)
+
+
+def _ranked(titles: DataFrame, *keys: str) -> DataFrame:
+    return titles.select(*[F.col(key).alias(key) for key in (*keys, "title_key")], "rank.*")
 
 
 def _resolve_heads(heads: DataFrame, threshold: float) -> DataFrame:
     """Greedy marking of at most ``chunk_rows`` titles per block, one block per call."""
 
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values("place").reset_index(drop=True)
-        found = resolve(pdf["title_key"].tolist(), threshold)
-        ids = pdf["rank_id"].to_numpy()
-        primary = pd.array(np.where(found >= 0, ids[found], -1), dtype="Int64")
-        primary[found < 0] = pd.NA
-        return pdf[["cc", "art_date", "title_key", "rank_id"]].assign(primary_id=primary)
+        pdf = pdf.sort_values(_RANK, ignore_index=True)
+        return _marked(pdf, resolve(pdf["title_key"].tolist(), threshold), pdf["id"].to_numpy())
 
-    slim = heads.select(*BLOCK, "title_key", F.col("rank.id").alias("rank_id"), "place")
-    return slim.groupBy(*BLOCK).applyInPandas(run, _RESOLVED)
+    return _tasks(_ranked(heads, *BLOCK), BLOCK).groupBy(*BLOCK).applyInPandas(run, _RESOLVED)
 
 
 def _compare_rest(rest: DataFrame, primaries: DataFrame, threshold: float) -> DataFrame:
-    """Add ``primary_id`` to the undecided titles, one slot of a block per call."""
-    layout = "cc string, art_date string, title_key string, rank_id long, primary_id long"
+    """``primary_id`` of the undecided titles among new primaries, one slot of a block per call."""
 
     def run(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
-        right = right.sort_values("place")
+        right = right.sort_values(_RANK, ignore_index=True)
         found = assign(right["title_key"].tolist(), left["title_key"].tolist(), threshold)
-        primary = pd.array(np.full(len(left), -1), dtype="Int64")
-        primary[:] = pd.NA
-        if (found >= 0).any():
-            primary[found >= 0] = right["rank_id"].to_numpy()[found[found >= 0]]
-        return left[["cc", "art_date", "title_key", "rank_id"]].assign(primary_id=primary)
+        return _marked(left, found, right["id"].to_numpy())
 
     keys = [*BLOCK, "slot"]
-    slim = rest.select(*[F.col(key).alias(key) for key in keys], "title_key", F.col("rank.id").alias("rank_id"))
-    primaries = primaries.select(*[F.col(name).alias(name) for name in primaries.columns])
-    return slim.groupBy(*keys).cogroup(primaries.groupBy(*keys)).applyInPandas(run, layout)
+    sides = [_tasks(_ranked(side, *keys), keys).groupBy(*keys) for side in (rest, primaries)]
+    return sides[0].cogroup(sides[1]).applyInPandas(run, _RESOLVED)
 
 
 def resolve_titles(titles: DataFrame, settings: Dedup = DEDUP) -> DataFrame:
@@ -122,35 +133,26 @@ def resolve_titles(titles: DataFrame, settings: Dedup = DEDUP) -> DataFrame:
         .withColumn("slot", slot)
     )
     first_in_rank = Window.partitionBy(*BLOCK).orderBy("rank")
+    every_slot = F.explode(F.sequence(F.lit(0), (F.col("slots") - 1).cast("int")))
     done: list[DataFrame] = []
     largest = sizes.agg(F.max("titles")).first()[0] or 0
-    while largest:
-        heads = open_titles.withColumn("place", F.row_number().over(first_in_rank)).filter(
-            F.col("place") <= settings.chunk_rows
-        )
-        if largest <= settings.chunk_rows:
-            done.append(_resolve_heads(heads, settings.threshold))
-            break
-        heads = cut(heads)
+    while largest > settings.chunk_rows:
+        # The row limit runs inside every task before the block meets in one.
+        numbered = open_titles.withColumn("place", F.row_number().over(first_in_rank))
+        heads = cut(numbered.filter(F.col("place") <= settings.chunk_rows).drop("place"))
         resolved = cut(_resolve_heads(heads, settings.threshold))
         done.append(resolved)
+        found = resolved.filter(F.col("primary_id").isNull()).select(*BLOCK, "title_key")
+        primaries = heads.join(found, [*BLOCK, "title_key"], "left_semi").withColumn("slot", every_slot)
         last = heads.groupBy(*BLOCK).agg(F.max("rank").alias("last"))
-        first_primaries = (
-            heads.select(*BLOCK, "slots", "place", F.col("rank.id").alias("rank_id"))
-            .join(resolved.filter(F.col("primary_id").isNull()), [*BLOCK, "rank_id"])
-            .select(*BLOCK, "title_key", "rank_id", "place",
-                    F.explode(F.sequence(F.lit(0), (F.col("slots") - 1).cast("int"))).alias("slot"))
-        )
         rest = open_titles.join(last, BLOCK).filter(F.col("rank") > F.col("last")).drop("last")
-        compared = cut(_compare_rest(rest, first_primaries, settings.threshold))
+        compared = cut(_compare_rest(rest, primaries, settings.threshold))
         done.append(compared.filter(F.col("primary_id").isNotNull()))
         still = compared.filter(F.col("primary_id").isNull()).select(*BLOCK, "title_key")
         open_titles = cut(rest.join(still, [*BLOCK, "title_key"], "left_semi"))
         largest = open_titles.groupBy(*BLOCK).count().agg(F.max("count")).first()[0] or 0
-    if not done:
-        return titles.select(
-            *BLOCK, "title_key", F.col("rank.id").alias("rank_id"), F.lit(None).cast("long").alias("primary_id")
-        )
+    if largest or not done:
+        done.append(_resolve_heads(open_titles if done else titles, settings.threshold))
     return reduce(DataFrame.unionByName, done)
 
 

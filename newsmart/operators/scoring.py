@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from newsmart.config import WEIGHTS, Weights
 from newsmart.functions import text as X
-from newsmart.functions.lexicon import Lexicon, country_array, first_hit, hits
+from newsmart.functions.lexicon import Lexicon, country_array, first_hit, hits, phrase_hits, token_hits
 from newsmart.session import counted
 
 RESULT_COLUMNS = ("article_id", "filter_stage", "filter_decision", "filter_reason", "filter_score")
@@ -25,13 +25,23 @@ def _by_language(language: Column, cases: dict, default: Column) -> Column:
 
 
 def _text_hits(text: Column, language: Column, lexicon: Lexicon) -> Column:
+    """Keywords found in a text, for any list that its language may ask for.
+
+    All languages without lists of their own share one scan: a word of another language's additional
+    list is found too, but no list of this language looks it up.
+    """
     shared = [*lexicon.finance, *_country_keywords(lexicon.countries)]
-    cases = {
+    additional = [keyword for keywords in lexicon.extra.values() for keyword in keywords]
+    none = F.expr("cast(array() as array<string>)")
+    phrases = {code: phrase_hits(text, keywords) for code, keywords in lexicon.extra.items()}
+    found = F.concat(
+        token_hits(text, [*shared, *additional]), phrase_hits(text, shared), _by_language(language, phrases, none)
+    )
+    own = {
         code: hits(text, [*lists.finance, *_country_keywords(lists.countries)])
         for code, lists in lexicon.own.items()
     }
-    cases |= {code: hits(text, [*shared, *keywords]) for code, keywords in lexicon.extra.items()}
-    return _by_language(language, cases, hits(text, shared))
+    return _by_language(language, own, found)
 
 
 def _country_places(countries, title_hits: Column, body_hits: Column) -> Column:

@@ -105,7 +105,7 @@ def articles(spark: SparkSession, folder: str) -> DataFrame:
     times = table(spark, folder, "events").select(
         F.col("event_id").alias("article_id"), F.col("ts").cast("timestamp").alias("published_at")
     )
-    rows = article_columns(spread(table(spark, folder, "documents")))
+    rows = spread(article_columns(table(spark, folder, "documents")))
     return rows.join(times, "article_id").withColumn(
         "fetched_at", F.col("published_at") + F.expr("INTERVAL 1 HOUR")
     )
