@@ -45,8 +45,8 @@ class Dedup:
     """
 
     threshold: float = 0.75
-    chunk_rows: int = 16384
-    slot_rows: int = 16384
+    chunk_rows: int = 8192
+    slot_rows: int = 8192
     hot_copies: int = 1_000_000
     hot_titles_broadcast: int = 50_000
 

@@ -13,20 +13,21 @@ from difflib import SequenceMatcher
 import numpy as np
 
 _ALPHABET = "abcdefghijklmnopqrstuvwxyz0123456789 "
-_CODES = np.full(256, len(_ALPHABET), dtype=np.int64)
-_CODES[[ord(c) for c in _ALPHABET]] = np.arange(len(_ALPHABET))
+_OTHER = len(_ALPHABET)
+_PAD = _OTHER + 1
+_CODE_OF = np.full(256, _OTHER, dtype=np.uint8)
+_CODE_OF[[ord(c) for c in _ALPHABET]] = np.arange(len(_ALPHABET))
 
+# From this many titles on, one vector step per character beats one Python integer step per title.
+_VECTOR_ROWS = 64
 
-def _character_counts(keys: Sequence[str]) -> np.ndarray:
-    width = len(_ALPHABET) + 1
-    counts = np.zeros((len(keys), width), dtype=np.int32)
-    for row, key in enumerate(keys):
-        counts[row] = np.bincount(_CODES[np.frombuffer(key.encode("latin-1", "replace"), np.uint8)], minlength=width)
-    return counts
+
+def _codes(key: str) -> np.ndarray:
+    return _CODE_OF[np.frombuffer(key.encode("latin-1", "replace"), np.uint8)]
 
 
 def _common_subsequence(positions: dict[str, int], size: int, other: str) -> int:
-    """Length of the longest common subsequence, one machine-word-parallel step per character."""
+    """Length of the longest common subsequence, one big-integer step per character."""
     full = (1 << size) - 1
     state = full
     for char in other:
@@ -35,41 +36,66 @@ def _common_subsequence(positions: dict[str, int], size: int, other: str) -> int
     return size - state.bit_count()
 
 
+def _common_subsequences(primary: np.ndarray, others: np.ndarray) -> np.ndarray:
+    """The same for many titles at once; ``others`` is a padded matrix of character codes."""
+    words = -(-len(primary) // 64)
+    masks = np.zeros((_PAD + 1, words), dtype=np.uint64)
+    for place, code in enumerate(primary):
+        masks[code, place // 64] |= np.uint64(1 << (place % 64))
+    state = [np.full(len(others), ~np.uint64(0)) for _ in range(words)]
+    for column in np.ascontiguousarray(others.T):
+        carry = np.uint64(0)
+        for word in range(words):
+            mask = masks[column, word]
+            hit = state[word] & mask
+            added = state[word] + hit
+            total = added + carry
+            carry = ((added < hit) | (total < added)).astype(np.uint64)
+            state[word] = total | (state[word] & ~mask)
+    last = len(primary) - 64 * (words - 1)
+    state[-1] = state[-1] | ~np.uint64((1 << last) - 1)
+    return sum((64 - np.bitwise_count(bits).astype(np.int64) for bits in state), np.zeros(len(others), np.int64))
+
+
 class TitleSet:
-    """Titles of one task, comparable with a primary title in one vector step."""
+    """Titles of one task, comparable with a primary title in a few vector steps."""
 
     def __init__(self, keys: Sequence[str]):
         self.keys = list(keys)
-        self.lengths = np.fromiter((len(key) for key in self.keys), dtype=np.int64, count=len(self.keys))
-        self.counts = _character_counts(self.keys)
+        size = len(self.keys)
+        self.lengths = np.fromiter((len(key) for key in self.keys), dtype=np.int64, count=size)
+        self.codes = np.full((size, self.lengths.max(initial=0)), _PAD, dtype=np.uint8)
+        self.counts = np.zeros((size, _OTHER + 1), dtype=np.int32)
+        for row, key in enumerate(self.keys):
+            codes = _codes(key)
+            self.codes[row, : len(codes)] = codes
+            self.counts[row] = np.bincount(codes, minlength=_OTHER + 1)
 
     def similar(self, primary: str, rows: np.ndarray, threshold: float) -> np.ndarray:
         """Those of ``rows`` whose title reaches ``threshold`` against ``primary``."""
         if not len(rows) or not primary:
             return rows[:0]
-        total = self.lengths[rows] + len(primary)
-        rows, total = self._keep(rows, total, np.minimum(self.lengths[rows], len(primary)), threshold)
-        shared = np.minimum(self.counts[rows], _character_counts([primary])[0]).sum(axis=1)
-        rows, _ = self._keep(rows, total, shared, threshold)
-        if not len(rows):
-            return rows
-        positions: dict[str, int] = {}
-        for place, char in enumerate(primary):
-            positions[char] = positions.get(char, 0) | (1 << place)
-        kept = [row for row in rows if self._reaches(primary, positions, self.keys[row], threshold)]
-        return np.array(kept, dtype=rows.dtype)
-
-    @staticmethod
-    def _keep(rows, total, matched, threshold):
-        kept = 2.0 * matched / total >= threshold
-        return rows[kept], total[kept]
-
-    @staticmethod
-    def _reaches(primary: str, positions: dict[str, int], other: str, threshold: float) -> bool:
-        total = len(primary) + len(other)
-        if 2.0 * _common_subsequence(positions, len(primary), other) / total < threshold:
-            return False
-        return SequenceMatcher(None, primary, other).ratio() >= threshold
+        codes = _codes(primary)
+        rows = self._keep(rows, np.minimum(self.lengths[rows], len(primary)), primary, threshold)
+        counts = np.bincount(codes, minlength=_OTHER + 1).astype(np.int32)
+        rows = self._keep(rows, np.minimum(self.counts[rows], counts).sum(axis=1), primary, threshold)
+        if len(rows) >= _VECTOR_ROWS:
+            width = self.lengths[rows].max()
+            common = _common_subsequences(codes, self.codes[rows, :width])
+        else:
+            positions: dict[str, int] = {}
+            for place, char in enumerate(primary):
+                positions[char] = positions.get(char, 0) | (1 << place)
+            common = np.array(
+                [_common_subsequence(positions, len(primary), self.keys[row]) for row in rows], dtype=np.int64
+            )
+        rows = self._keep(rows, common, primary, threshold)
+        exact = [SequenceMatcher(None, primary, self.keys[row]).ratio() >= threshold for row in rows]
+        return rows[np.array(exact, dtype=bool)]
+
+    def _keep(self, rows: np.ndarray, matched: np.ndarray, primary: str, threshold: float) -> np.ndarray:
+        """Rows that could still reach the threshold if ``matched`` characters matched."""
+        return rows[2.0 * matched / (self.lengths[rows] + len(primary)) >= threshold]
 
 
 def resolve(keys: Sequence[str], threshold: float) -> np.ndarray:

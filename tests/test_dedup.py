@@ -32,6 +32,32 @@ def test_bounds_never_change_the_greedy_result(keys, threshold):
     assert similarity.resolve(keys, threshold).tolist() == brute_force(keys, threshold)
 
 
+@pytest.mark.parametrize("size", [1, 40, 64, 65, 130, 300])
+def test_vector_subsequences_equal_the_integer_form(size):
+    rng = random.Random(size)
+    draw = lambda n: "".join(rng.choice("abc d1") for _ in range(n))
+    primary, others = draw(size), [draw(rng.randint(1, 2 * size)) for _ in range(50)]
+    positions = {}
+    for place, char in enumerate(primary):
+        positions[char] = positions.get(char, 0) | (1 << place)
+    titles = similarity.TitleSet(others)
+    got = similarity._common_subsequences(similarity._codes(primary), titles.codes)
+    assert got.tolist() == [similarity._common_subsequence(positions, size, other) for other in others]
+
+
+def test_large_sets_use_the_vector_form_with_the_same_result():
+    rng = random.Random(8)
+    keys = [" ".join(rng.choice(WORDS) for _ in range(rng.randint(2, 12))) for _ in range(300)]
+    expected = brute_force(keys, 0.75)
+    assert similarity.resolve(keys, 0.75).tolist() == expected
+    primaries = [key for key, first in zip(keys, expected) if first < 0]
+    found = similarity.assign(primaries, keys, 0.75)
+    assert all(
+        found[place] == next((n for n, p in enumerate(primaries) if SequenceMatcher(None, p, key).ratio() >= 0.75), -1)
+        for place, key in enumerate(keys[:60])
+    )
+
+
 def test_long_titles_follow_the_popular_character_rule():
     rng = random.Random(5)
     keys = ["".join(rng.choice("abcdefgh ") for _ in range(n)) for n in (190, 205, 260)]
