@@ -228,7 +228,7 @@ r_ids AS (
   FROM r_new WHERE media_name NOT IN (SELECT media_name FROM r_old)),
 r_sources AS (
   SELECT i.source_id, i.media_name, coalesce(n.country, o.country) AS primary_country_code,
-         coalesce(n.language, 'en') AS language, coalesce(n.tier, o.tier) AS tier
+         coalesce(n.language, 'en') AS language, CAST(coalesce(n.tier, o.tier) AS INTEGER) AS tier
   FROM r_ids i LEFT JOIN r_new n USING (media_name) LEFT JOIN r_old o USING (media_name)),
 r_listed AS (
   SELECT pos, media_name, v.n, v.section,
@@ -415,8 +415,8 @@ _LISTED = ", ".join(f"({n}, {quoted(cc)}, {quoted(flag)})" for n, (cc, flag) in
 EXPORT = f"""f_listed(ord, cc, flag) AS (VALUES {_LISTED}),
 f_active AS (
   SELECT primary_country_code AS cc,
-         row_number() OVER (PARTITION BY primary_country_code
-                            ORDER BY ai_score DESC, published_at DESC NULLS LAST, article_id) AS rn,
+         CAST(row_number() OVER (PARTITION BY primary_country_code
+                                 ORDER BY ai_score DESC, published_at DESC NULLS LAST, article_id) AS INTEGER) AS rn,
          media_name AS src, strftime(published_at, '%Y-%m-%d') AS d, title AS t, coalesce(summary_ko, '') AS q,
          coalesce(implication, '') AS k, link AS u, ai_score AS score,
          coalesce((SELECT string_agg(ui, ' ' ORDER BY place) FROM (

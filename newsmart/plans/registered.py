@@ -204,7 +204,7 @@ def content_hashes(spark, folder):
 @query
 def published_parse(spark, folder):
     parsed = X.parse_published(F.col("published"), F.col("updated"), F.col("fetched_at"))
-    return V.entries(spark, folder).select(F.col("pos").alias("article_id"), stamp(parsed).alias("published_at"))
+    return V.entries(spark, folder).select(F.col("pos").cast("long").alias("article_id"), stamp(parsed).alias("published_at"))
 
 
 @query
