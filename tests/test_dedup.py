@@ -2,10 +2,13 @@
 
 import datetime as dt
 import random
+import subprocess
+import sys
 from difflib import SequenceMatcher
 
 import pytest
 from hypothesis import given, settings, strategies as st
+from pyspark import cloudpickle
 
 from newsmart.config import Dedup
 from newsmart.functions import similarity
@@ -152,3 +155,10 @@ def test_equal_titles(spark):
     rows, frame = _articles(spark, count=150, seed=9)
     got = {row.article_id: row.duplicate_of for row in mark_equal_titles(candidates(frame)).collect()}
     assert got == expected_marks(rows, threshold=1.0)
+
+
+def test_workers_need_no_copy_of_the_package():
+    code = "import pickle, sys; f = pickle.load(sys.stdin.buffer); print(f(['rate hike up', 'rate hike ups'], 0.75))"
+    pickled = cloudpickle.dumps(similarity.resolve)
+    done = subprocess.run([sys.executable, "-c", code], input=pickled, capture_output=True, cwd="/", check=True)
+    assert done.stdout.split() == [b"[-1", b"0]"]
