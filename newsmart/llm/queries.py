@@ -4,11 +4,14 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from newsmart.llm import minhash
+from newsmart.llm import bpe, decontam, minhash
 from newsmart.llm.tables import read
 
+#: The tokenizer file of the byte-pair query.
+VOCABULARY = public_tokenizers.path("byte_bpe_50k.json")
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
 
@@ -22,3 +25,15 @@ def query(function):
 def op7_minhash_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
     """Components of near-equal documents over two-word shingles and a similarity of 0.8."""
     return minhash.near_duplicates(read(spark, folder, "documents"), minhash.Near(words=2))
+
+
+@query
+def op8_bpe_encode_decode(spark: SparkSession, folder: str) -> DataFrame:
+    """Ids of every document's text and the text decoded from them, as digests."""
+    return bpe.round_trip(read(spark, folder, "documents"), VOCABULARY)
+
+
+@query
+def op9_benchmark_decontamination(spark: SparkSession, folder: str) -> DataFrame:
+    """Words of every document that lie in benchmark windows of 13 words."""
+    return decontam.contamination(read(spark, folder, "documents"), read(spark, folder, "benchmark"))

@@ -11,6 +11,8 @@ from typing import Any
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from newsmart.session import checkpoint_dir
 
@@ -73,3 +75,46 @@ def _edges(table: pa.Table, keys: list[str]) -> np.ndarray:
         values = table.column(key).to_numpy()
         edge[1:] |= values[1:] != values[:-1]
     return edge
+
+
+def annotate(
+    docs: DataFrame,
+    function: Callable[[pa.Array], list[pa.Array]],
+    fields: str,
+    source: str = "text",
+    keep: list[str] | None = None,
+) -> DataFrame:
+    """Rows of ``docs`` with what ``function`` finds in column ``source``, as struct columns ``row`` and ``found``.
+
+    ``function`` gets the column of one Arrow batch and returns an array for each of ``fields``. ``keep`` names the columns
+    that ``row`` has (all by default); as they stay inside ``row``, their names clash with nothing.
+    """
+    small_batches(docs.sparkSession)
+    names = docs.columns if keep is None else keep
+    inside = [f"c{i}" for i in range(len(names))]
+    columns = [F.col(f"`{n}`").alias(c) for n, c in zip(names, inside, strict=True)]
+    target = T.StructType(
+        [T.StructField(c, docs.schema[n].dataType) for n, c in zip(names, inside, strict=True)]
+        + [T.StructField("found", T._parse_datatype_string(fields))]
+    )
+    found_names = [field.name for field in target["found"].dataType]
+
+    def rows(batches):
+        for batch in batches:
+            found = pa.StructArray.from_arrays(function(batch.column("source")), found_names)
+            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in inside), found], [*inside, "found"])
+
+    if source in names:
+        place = inside[names.index(source)]
+        full = docs.select(*columns)
+
+        def rows(batches):  # noqa: F811  the source is one of the kept columns and travels once
+            for batch in batches:
+                found = pa.StructArray.from_arrays(function(batch.column(place)), found_names)
+                yield pa.RecordBatch.from_arrays([*batch.columns, found], [*inside, "found"])
+
+    else:
+        full = docs.select(*columns, F.col(f"`{source}`").alias("source"))
+    out = full.mapInArrow(rows, target)
+    row = F.struct(*[F.col(c).alias(n) for n, c in zip(names, inside, strict=True)])
+    return out.select(row.alias("row"), "found")
