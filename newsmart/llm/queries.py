@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from newsmart.llm import bpe, decontam, minhash
+from newsmart.llm import bpe, decontam, minhash, suffixdedup
 from newsmart.llm.tables import read
 
 #: The tokenizer file of the byte-pair query.
@@ -37,3 +37,9 @@ def op8_bpe_encode_decode(spark: SparkSession, folder: str) -> DataFrame:
 def op9_benchmark_decontamination(spark: SparkSession, folder: str) -> DataFrame:
     """Words of every document that lie in benchmark windows of 13 words."""
     return decontam.contamination(read(spark, folder, "documents"), read(spark, folder, "benchmark"))
+
+
+@query
+def op10_suffix_array_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    """Bytes of every document that a string of 400 bytes found elsewhere too covers."""
+    return suffixdedup.removed(read(spark, folder, "documents"))
