@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from newsmart.llm import bpe, decontam, minhash, suffixdedup
+from newsmart.llm import bpe, decontam, minhash, suffixdedup, toxicity
 from newsmart.llm.tables import read
 
 #: The tokenizer file of the byte-pair query.
@@ -21,6 +21,12 @@ def query(function):
     return function
 
 
+@query
+def op2_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    """Toxicity score of every document's whole text, learned from the labels that are not held out."""
+    return toxicity.judged(read(spark, folder, "documents"), read(spark, folder, "labels"))
+
+
 @query
 def op7_minhash_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
     """Components of near-equal documents over two-word shingles and a similarity of 0.8."""
