@@ -1,12 +1,12 @@
 """Near-duplicate texts by MinHash bands, confirmed on full shingle sets and joined to components.
 
 Steps: (1) one pass over the texts gives every text's distinct shingles as hashes, and from them a digest of the set,
-``bands * rows`` universal hash minima and one key per band; (2) equal sets collapse to one representative; (3) in each
-band bucket every member is paired with one centre, another one in every band, so a hot bucket gives as many pairs as
-members; (4) pairs whose signatures agree too little to reach the threshold go, the rest are confirmed on full
-sets; (5) links become components; (6) only buckets that still hold several components are compared member
-by member, in blocks inside the tasks, and only pairs across components that agree enough leave a task and are confirmed.
-Together (3) and (6) look at every pair of a bucket that could change a component.
+``bands * rows`` universal hash minima (of which a byte is kept) and one key per band; (2) equal sets collapse to one
+representative; (3) in each band bucket every member is paired with a few centres, so a hot bucket gives as many pairs as
+members and centre; (4) pairs whose signatures agree too little to reach the threshold go, the rest are confirmed on full
+sets; (5) links become components; (6) only buckets that still hold several components are compared member by
+member, in blocks inside the tasks, and only pairs across components that agree enough leave a task, each from one bucket,
+and are confirmed. Together (3) and (6) look at every pair of a bucket that could change a component.
 
 A pair of similarity 0.8 shares no bucket with probability (1 - 0.8**4)**32 < 5e-8.
 """
@@ -31,16 +31,18 @@ from newsmart.llm.tables import small_batches, stage, whole_groups
 class Near:
     """``words`` per shingle; similarity at least ``percent`` / 100; ``bands`` of ``rows`` minima.
 
-    ``agree`` is the share of equal minima below which a pair is not confirmed on full sets; 0.58 lies more than six
-    standard deviations of 128 minima below 0.8. ``block`` is the number of bucket members compared at a time.
+    ``agree`` is the share of equal minima below which a pair is not confirmed on full sets; 0.6 lies 5.6 standard
+    deviations of 128 minima below 0.8. ``block`` is the number of bucket members compared at a time; ``centres``
+    only moves work from (6) to (3), results do not depend on it.
     """
 
     words: int = 5
     percent: int = 80
     bands: int = 32
     rows: int = 4
-    agree: float = 0.58
+    agree: float = 0.6
     block: int = 1024
+    centres: int = 6
     seed: int = 7
 
     @property
@@ -82,7 +84,7 @@ def _signatures(settings: Near):
 
     def bands(best: np.ndarray) -> np.ndarray:
         key = mark.copy()
-        for column in best.reshape(settings.bands, settings.rows).T:
+        for column in (best & np.uint32(0xFF)).astype(np.uint64).reshape(settings.bands, settings.rows).T:
             key = A.mix(key * A.BASE + column)
         return key.view(np.int64)
 
@@ -176,24 +178,25 @@ def _confirmed(pairs: DataFrame, docs: DataFrame, digests: DataFrame, settings:
 
 
 def _across(members: DataFrame, settings: Near) -> DataFrame:
-    """Pairs of bucket members (band, label, id, minima) of different labels that agree enough.
+    """Pairs of bucket members (band, its number, label, id, minima) of different labels that agree enough.
 
     A bucket is cut into blocks of about ``block`` members by a hash of the id, and a task compares one block with another
     (or itself) as matrices. A member is sent once per block of its bucket, so rows grow by members / block, and only pairs
-    found are returned.
+    found are returned, each by the first bucket that both ends share.
     """
     sizes = members.groupBy("band").agg(F.ceil(F.count("*") / settings.block).cast("int").alias("parts"))
     placed = members.join(sizes, "band").withColumn("part", F.expr("pmod(xxhash64(id, band), parts)").cast("int"))
     sent = placed.withColumn("other", F.explode(F.expr("sequence(0, parts - 1)"))).select(
-        "band", F.least("part", "other").alias("low"), F.greatest("part", "other").alias("high"), "part", "label", "id", "minima"
+        "band", "number", F.least("part", "other").alias("low"), F.greatest("part", "other").alias("high"), "part",
+        "label", "id", "minima",
     )
 
     need = int(np.ceil(settings.agree * settings.minima))
 
     def compare(batches):
         for table in whole_groups(batches, ["band", "low", "high"]):
-            part, low, high, labels, ids, edges = (
-                table.column(name).to_numpy() for name in ("part", "low", "high", "label", "id", "edge")
+            part, low, high, labels, ids, numbers, edges = (
+                table.column(name).to_numpy() for name in ("part", "low", "high", "label", "id", "number", "edge")
             )
             signs = np.frombuffer(b"".join(table.column("minima").to_pylist()), np.uint8).reshape(-1, settings.minima)
             starts = np.append(np.flatnonzero(edges), len(edges))
@@ -204,7 +207,10 @@ def _across(members: DataFrame, settings: Near) -> DataFrame:
                 rows, columns = here[part[here] == low[first]], here[part[here] == high[first]]
                 for i in rows:
                     other = columns[(labels[columns] != labels[i]) & ((ids[columns] > ids[i]) | (not inside))]
-                    hit = ids[other[(signs[other] == signs[i]).sum(axis=1) >= need]]
+                    equal = signs[other] == signs[i]
+                    close = equal.sum(axis=1) >= need
+                    shared = equal[close].reshape(-1, settings.bands, settings.rows).all(axis=2)
+                    hit = ids[other[close][shared.argmax(axis=1) == numbers[i]]]
                     left.append(np.minimum(ids[i], hit))
                     right.append(np.maximum(ids[i], hit))
             found = [pa.array(np.concatenate(x), pa.int64()) for x in (left, right)]
@@ -214,6 +220,27 @@ def _across(members: DataFrame, settings: Near) -> DataFrame:
     return sent.repartition(*keys).sortWithinPartitions(*keys).mapInArrow(compare, "a long, b long").distinct()
 
 
+def _stars(crowded: DataFrame, settings: Near) -> DataFrame:
+    """Distinct pairs of every bucket member with the bucket's centres: the least id, and the least under other orders.
+
+    An order is the same in all buckets, so most pairs of a group are the same in many bands.
+    """
+    orders = np.random.default_rng(settings.seed).integers(1 << 62, size=settings.centres)
+    masks = [F.lit(int(mask) if turn else 0) for turn, mask in enumerate(orders)]
+    least = [F.min(F.col("id").bitwiseXOR(mask)).alias(f"c{turn}") for turn, mask in enumerate(masks)]
+    centres = crowded.groupBy("band").agg(*least)
+    chosen = F.array_distinct(F.array(*[F.col(f"c{turn}").bitwiseXOR(mask) for turn, mask in enumerate(masks)]))
+    star = crowded.join(centres, "band").select("id", F.explode(chosen).alias("centre")).where("id <> centre")
+    return star.select(F.least("id", "centre").alias("a"), F.greatest("id", "centre").alias("b")).distinct()
+
+
+def _open(crowded: DataFrame, labels: DataFrame) -> DataFrame:
+    """Members (band, number, id, label) of the buckets that hold more than one component."""
+    named = crowded.join(labels.toDF("id", "label"), "id", "left").withColumn("label", F.coalesce("label", "id"))
+    several = named.groupBy("band").agg(F.min("label").alias("low"), F.max("label").alias("high")).where("low <> high")
+    return named.join(several.select("band"), "band")
+
+
 def near_duplicates(docs: DataFrame, settings: Near = Near()) -> DataFrame:  # noqa: B008
     """Rows (doc_id, n_shingles, component_id, kept), one for every row of ``docs`` (columns doc_id, text).
 
@@ -231,28 +258,16 @@ def near_duplicates(docs: DataFrame, settings: Near = Near()) -> DataFrame:  # n
         ),
         "representatives",
     )
-    # A repeated doc_id may stand for several sets: their signatures are told apart by nothing but the id, so one is enough
-    # for the estimate only if ids are unique; the sets of all are linked below through the shared id.
     digests = representatives.select("id", "digest")
-    banded = representatives.select("id", F.explode("bands").alias("band"))
-    mask = F.col("id").bitwiseXOR(F.col("band"))
-    centres = banded.groupBy("band").agg(F.min(mask).alias("low"), F.max(mask).alias("high")).where("low <> high")
-    centre = F.col("low").bitwiseXOR(F.col("band"))
-    star = banded.join(centres, "band").select(F.least("id", centre).alias("a"), F.greatest("id", centre).alias("b"))
-    pairs = stage(_agreeing(star.where("a <> b").distinct(), representatives, settings), "pairs")
+    banded = representatives.select("id", F.posexplode("bands").alias("number", "band"))
+    crowds = banded.groupBy("band").agg(F.count("*").alias("n")).where("n > 1").select("band")
+    crowded = stage(banded.join(crowds, "band"), "crowded")
+
+    pairs = stage(_agreeing(_stars(crowded, settings), representatives, settings), "pairs")
     links = stage(_confirmed(pairs, docs, digests, settings), "confirmed")
     labels = components(links)
 
-    labelled = stage(
-        representatives.select("id", "bands", "minima")
-        .join(labels.toDF("id", "label"), "id", "left")
-        .withColumn("label", F.coalesce("label", "id")),
-        "labels",
-    )
-    banded = labelled.select("id", "label", F.explode("bands").alias("band"))
-    mixed = banded.groupBy("band").agg(F.min("label").alias("low"), F.max("label").alias("high")).where("low <> high")
-    open_ids = banded.join(mixed.select("band"), "band")
-    members = open_ids.join(labelled.select("id", "minima"), "id")
+    members = _open(crowded, labels).join(representatives.select("id", "minima"), "id")
     missed = stage(_across(members, settings).join(pairs, ["a", "b"], "left_anti"), "across")
     if not missed.isEmpty():
         links = stage(links.union(_confirmed(missed, docs, digests, settings)), "confirmed")

@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from newsmart.llm import bpe, decontam, minhash, suffixdedup, toxicity
+from newsmart.llm import bpe, decontam, minhash, suffixdedup, toxicity, urlfilter, warc
 from newsmart.llm.tables import read
 
 #: The tokenizer file of the byte-pair query.
@@ -49,3 +49,57 @@ def op9_benchmark_decontamination(spark: SparkSession, folder: str) -> DataFrame
 def op10_suffix_array_dedup(spark: SparkSession, folder: str) -> DataFrame:
     """Bytes of every document that a string of 400 bytes found elsewhere too covers."""
     return suffixdedup.removed(read(spark, folder, "documents"))
+
+
+#: The rules of the url query (host, path, verdict). Fixed values.
+URL_RULES = (
+    ("net", "/", "block"),
+    ("example.net", "/en/", "allow"),
+    ("example.com", "/de/", "block"),
+    ("org", "/fr/", "allow"),
+)
+
+
+@query
+def op4_url_filter(spark: SparkSession, folder: str) -> DataFrame:
+    """Host, path, deciding rule and verdict of every page's url."""
+    return urlfilter.verdicts(read(spark, folder, "pages"), URL_RULES)
+
+
+ORACLES["op4_url_filter"] = r"""
+WITH cut AS (
+    SELECT page_id, CASE WHEN contains(url, '://') THEN substr(url, position('://' IN url) + 3) ELSE '' END AS rest FROM pages
+), parts AS (
+    SELECT page_id,
+        translate(regexp_extract(rest, '^[^/?#]*'), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+        regexp_extract(rest, '^[^/?#]*([^?#]*)', 1) AS path
+    FROM cut
+), rules(rule_host, rule_path, said) AS (
+    VALUES ('net', '/', 'block'), ('example.net', '/en/', 'allow'), ('example.com', '/de/', 'block'), ('org', '/fr/', 'allow')
+), fit AS (
+    SELECT page_id, host, path, rule_host || rule_path AS rule, said,
+        row_number() OVER (PARTITION BY page_id ORDER BY length(rule_host || rule_path) DESC) AS n
+    FROM parts LEFT JOIN rules
+        ON (host = rule_host OR ends_with(host, '.' || rule_host)) AND starts_with(path, rule_path)
+)
+SELECT page_id, host, path, rule, coalesce(said, 'allow') AS verdict FROM fit WHERE n = 1
+"""
+
+
+@query
+def op6_warc(spark: SparkSession, folder: str) -> DataFrame:
+    """Records of a content-addressed archive of all pages, as read back from it."""
+    return warc.archived(read(spark, folder, "pages"))
+
+
+ORACLES["op6_warc"] = """
+WITH payloads AS (
+    SELECT page_id, strlen(coalesce(html, '')) AS n, sha256(coalesce(html, '')) AS digest FROM pages
+), firsts AS (
+    SELECT *, min(page_id) OVER (PARTITION BY digest) AS least FROM payloads
+)
+SELECT page_id, n AS payload_bytes, digest AS payload_digest,
+    CASE WHEN n >= 100 AND page_id > least THEN 'revisit' ELSE 'response' END AS record_type,
+    CASE WHEN n >= 100 AND page_id > least THEN least END AS refers_to
+FROM firsts
+"""
