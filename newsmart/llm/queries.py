@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from newsmart.llm import bpe, decontam, minhash, suffixdedup, toxicity, urlfilter, warc
+from newsmart.llm import bpe, decontam, imatch, langid, minhash, suffixdedup, tagpath, toxicity, urlfilter, warc
 from newsmart.llm.tables import read
 
 #: The tokenizer file of the byte-pair query.
@@ -21,6 +21,12 @@ def query(function):
     return function
 
 
+@query
+def op1_imatch_fingerprints(spark: SparkSession, folder: str) -> DataFrame:
+    """Fingerprints of every document, of its edited text, and how alike they are."""
+    return imatch.fingerprints(read(spark, folder, "documents"))
+
+
 @query
 def op2_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     """Toxicity score of every document's whole text, learned from the labels that are not held out."""
@@ -60,6 +66,12 @@ URL_RULES = (
 )
 
 
+@query
+def op3_language_id(spark: SparkSession, folder: str) -> DataFrame:
+    """Language of every document's whole text, learned from the documents that are not held out."""
+    return langid.predicted(read(spark, folder, "documents"))
+
+
 @query
 def op4_url_filter(spark: SparkSession, folder: str) -> DataFrame:
     """Host, path, deciding rule and verdict of every page's url."""
@@ -86,6 +98,12 @@ SELECT page_id, host, path, rule, coalesce(said, 'allow') AS verdict FROM fit WH
 """
 
 
+@query
+def op5_html_extraction(spark: SparkSession, folder: str) -> DataFrame:
+    """Main text of every page."""
+    return tagpath.texts(read(spark, folder, "pages"))
+
+
 @query
 def op6_warc(spark: SparkSession, folder: str) -> DataFrame:
     """Records of a content-addressed archive of all pages, as read back from it."""
