@@ -236,6 +236,8 @@ def _factors(blocks: DataFrame, settings: Repeats) -> DataFrame:
                 first = last
 
     def one(table: pa.Table) -> pa.RecordBatch:
+        # Groups of one anchor may have come together: what is earlier is decided by the places alone.
+        table = table.sort_by([(name, "ascending") for name in ("id", "tag", "first")])
         raw = table.column("bytes").to_pylist()
         shared = [p > 1 for p in table.column("parts").to_pylist()]
         sizes = np.array([len(x) for x in raw])
