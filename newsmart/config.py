@@ -35,6 +35,24 @@ class Limits:
     topics: int = 3
 
 
+@dataclass(frozen=True)
+class Widths:
+    """Character widths that are part of the stored formats; a caller may lift them."""
+
+    title: int = 1000
+    link: int = 2000
+    summary: int = 4000
+    triage_prompt: int = 600
+    rank_prompt: int = 1200
+    briefing_prompt: int = 160
+    reject_reason: int = 300
+    rank_summary: int = 1500
+    implication: int = 1000
+    report_error: int = 60
+    report_title: int = 70
+    report_reason: int = 40
+
+
 @dataclass(frozen=True)
 class Dedup:
     """Near-duplicate settings.
@@ -53,6 +71,7 @@ class Dedup:
 
 WEIGHTS = Weights()
 LIMITS = Limits()
+WIDTHS = Widths()
 DEDUP = Dedup()
 
 GLOBAL_CATEGORIES = ("GLOBAL_GENERAL", "GLOBAL_ECONOMY")

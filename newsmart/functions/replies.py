@@ -81,6 +81,16 @@ def score_value(reply: Column) -> Column:
     return F.when(value.isNull(), 50).otherwise(clamped)
 
 
+def stored_list(reply: Column, name: str) -> Column:
+    """A field that should be a list, as it came: items in text form (NULL items stay), any other value as its only item."""
+    items = F.try_variant_get(reply, f"$.{name}", "array<variant>")
+    texts = F.transform(items, lambda item: F.coalesce(F.try_variant_get(item, "$", "string"), F.to_json(item)))
+    texts = F.transform(texts, lambda text: F.nullif(text, F.lit("null")))
+    single = F.array(text_of(reply, name))
+    given = F.when(items.isNotNull(), texts).when(text_of(reply, name).isNotNull(), single)
+    return F.coalesce(given, F.array().cast("array<string>"))
+
+
 def string_list(reply: Column, name: str) -> Column:
     """A list field as strings; empty when it is absent or no list."""
     items = F.try_variant_get(reply, f"$.{name}", "array<string>")

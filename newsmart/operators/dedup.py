@@ -64,8 +64,9 @@ def distinct_titles(rows: DataFrame) -> DataFrame:
 
 def mark_equal_titles(rows: DataFrame) -> DataFrame:
     """``article_id, duplicate_of`` when only equal title keys count as duplicates."""
-    firsts = distinct_titles(rows).select(*BLOCK, "title_key", F.col("rank.id").alias("first_id"))
-    joined = rows.join(firsts, [*BLOCK, "title_key"], "left")
+    titles = cut(distinct_titles(rows))
+    firsts = titles.select(*BLOCK, "title_key", F.col("rank.id").alias("first_id"))
+    joined = _with_titles(rows, firsts, titles, DEDUP)
     return joined.select(
         "article_id", F.when(F.col("first_id") != F.col("article_id"), F.col("first_id")).alias("duplicate_of")
     )
@@ -156,6 +157,14 @@ def resolve_titles(titles: DataFrame, settings: Dedup = DEDUP) -> DataFrame:
     return reduce(DataFrame.unionByName, done)
 
 
+def _with_titles(rows: DataFrame, resolved: DataFrame, titles: DataFrame, settings: Dedup) -> DataFrame:
+    """Rows with their title's result. Rows with an empty key have none: they pass by the join, where they would
+    all meet in one task per block."""
+    empty = F.col("title_key") == ""
+    found = _salted(rows.filter(~empty), resolved, titles, settings)
+    return found.unionByName(rows.filter(empty), allowMissingColumns=True)
+
+
 def _salted(rows: DataFrame, resolved: DataFrame, titles: DataFrame, settings: Dedup) -> DataFrame:
     """Join the rows with their title's result, spreading titles with very many copies.
 
@@ -176,15 +185,20 @@ def _salted(rows: DataFrame, resolved: DataFrame, titles: DataFrame, settings: D
     return salted.drop("salts").join(spread.drop("salts"), [*keys, "salt"], "left")
 
 
-def mark_duplicates(articles: DataFrame, recheck: bool = False, settings: Dedup = DEDUP) -> DataFrame:
+def mark_duplicates(
+    articles: DataFrame, recheck: bool = False, settings: Dedup = DEDUP, touched_by: DataFrame | None = None
+) -> DataFrame:
     """``article_id, cc, art_date, duplicate_of`` for every checked article (NULL: not a duplicate).
 
-    ``articles`` carries the source's ``primary_country_code`` and ``tier`` and the filter decision.
+    ``articles`` carries the source's ``primary_country_code`` and ``tier`` and the filter decision. With ``touched_by``
+    (article ids) only the blocks of these articles are checked, with all their articles.
     """
     rows = candidates(articles, recheck)
+    if touched_by is not None:
+        rows = rows.join(rows.join(touched_by, "article_id", "left_semi").select(*BLOCK).distinct(), BLOCK, "left_semi")
     titles = cut(distinct_titles(rows))
     resolved = resolve_titles(titles, settings)
-    joined = _salted(rows, resolved, titles, settings)
+    joined = _with_titles(rows, resolved, titles, settings)
     primary = F.coalesce(F.col("primary_id"), F.col("rank_id"))
     return joined.select(
         "article_id", *BLOCK, F.when(primary != F.col("article_id"), primary).alias("duplicate_of")

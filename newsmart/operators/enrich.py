@@ -12,7 +12,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from newsmart.config import LIMITS
+from newsmart.config import LIMITS, WIDTHS
 from newsmart.functions import offices, replies, taxonomy
 from newsmart.functions import text as X
 from newsmart.session import counted
@@ -20,6 +20,8 @@ from newsmart.session import counted
 Completer = Callable[[str, str, int, float], str]
 
 TRIAGE, RANK, BRIEFING = "triage", "rank", "briefing"
+#: The field of a rank reply that holds what an article means for the reader's institution.
+IMPLICATION_FIELD = "implication"
 MAX_TOKENS = {TRIAGE: 200, RANK: 600, BRIEFING: 900}
 
 
@@ -55,11 +57,17 @@ def complete(requests: DataFrame, completer: Completer, model: str, system: str
     )
 
 
+def _replies(responses: DataFrame, stage: str) -> DataFrame:
+    """One reply per key. A call that was retried may have several; the last by text stands for them."""
+    single = responses.filter(F.col("stage") == stage).groupBy("key").agg(F.max(F.struct("raw_text", "model")).alias("last"))
+    return single.select(
+        F.col("key").alias("_key"), "last.model", replies.reply_object(F.col("last.raw_text")).alias("reply")
+    )
+
+
 def _with_reply(queue: DataFrame, responses: DataFrame, stage: str, how: str = "left") -> DataFrame:
     """Queue rows with ``reply`` (VARIANT object or NULL) and the reply's model."""
-    own = responses.filter(F.col("stage") == stage).select(
-        F.col("key").alias("_key"), "model", replies.reply_object(F.col("raw_text")).alias("reply")
-    )
+    own = _replies(responses, stage)
     return queue.join(own, F.col("article_id").cast("string") == F.col("_key"), how).drop("_key")
 
 
@@ -67,7 +75,7 @@ def _with_reply(queue: DataFrame, responses: DataFrame, stage: str, how: str = "
 def triage_requests(queue: DataFrame) -> DataFrame:
     prompt = F.concat(
         F.lit("[국가:"), "primary_country_code", F.lit("] 제목: "), "title",
-        F.lit("\n요약: "), F.substring(X.or_empty(F.col("summary")), 1, 600),
+        F.lit("\n요약: "), F.left(X.or_empty(F.col("summary")), F.lit(WIDTHS.triage_prompt)),
     )
     return queue.select(
         F.lit(TRIAGE).alias("stage"), F.col("article_id").cast("string").alias("key"), prompt.alias("prompt")
@@ -78,7 +86,7 @@ def triage(queue: DataFrame, responses: DataFrame) -> DataFrame:
     """``article_id, decision, reject_reason``; without a usable reply the article is kept."""
     joined = _with_reply(queue.select("article_id"), responses, TRIAGE)
     keep = replies.keep_flag(F.col("reply"))
-    reason = F.substring(X.or_empty(replies.text_of(F.col("reply"), "reason")), 1, 300)
+    reason = F.left(X.or_empty(replies.text_of(F.col("reply"), "reason")), F.lit(WIDTHS.reject_reason))
     flagged = joined.select("article_id", keep.alias("keep"), reason.alias("reason"))
     results = flagged.select(
         "article_id",
@@ -96,7 +104,7 @@ def rank_requests(queue: DataFrame, owner: str = "") -> DataFrame:
     prompt = F.concat(
         F.lit("[거점 맥락: "), offices.context_for(F.col("primary_country_code"), owner=owner), F.lit("]\n매체: "),
         "media_name", F.lit("  국가: "), "primary_country_code", F.lit("\n제목: "), "title",
-        F.lit("\n요약: "), F.substring(X.or_empty(F.col("summary")), 1, 1200),
+        F.lit("\n요약: "), F.left(X.or_empty(F.col("summary")), F.lit(WIDTHS.rank_prompt)),
     )
     return queue.select(
         F.lit(RANK).alias("stage"), F.col("article_id").cast("string").alias("key"), prompt.alias("prompt")
@@ -108,6 +116,7 @@ def rank(
     responses: DataFrame,
     topics: Sequence[taxonomy.Topic] = taxonomy.TOPICS,
     default_model: str = "stub:smart",
+    implication_field: str = IMPLICATION_FIELD,
 ) -> DataFrame:
     """Score, summary, topics and implication per queued article.
 
@@ -119,9 +128,9 @@ def rank(
     fields = joined.select(
         "article_id",
         replies.score_value(reply).alias("ai_score"),
-        F.substring(replies.text_or_empty(reply, "summary_ko"), 1, 1500).alias("summary_ko"),
+        F.left(replies.text_or_empty(reply, "summary_ko"), F.lit(WIDTHS.rank_summary)).alias("summary_ko"),
         taxonomy.validate(replies.string_list(reply, "topics"), topics).alias("_named"),
-        F.substring(replies.text_or_empty(reply, "kb_implication"), 1, 1000).alias("implication"),
+        F.left(replies.text_or_empty(reply, implication_field), F.lit(WIDTHS.implication)).alias("implication"),
         F.coalesce("model", F.lit(default_model)).alias("model"),
         F.concat("title", F.lit(" "), X.or_empty(F.col("summary"))).alias("_text"),
     )
@@ -165,7 +174,7 @@ def briefing_inputs(
     best = slim.withColumn("rn", F.row_number().over(order)).filter(F.col("rn") <= limit)
     bullet = F.concat(
         F.lit("- ("), F.col("ai_score").cast("string"), F.lit(") "), "title", F.lit(" :: "),
-        F.substring(X.or_empty(F.col("summary_ko")), 1, 160),
+        F.left(X.or_empty(F.col("summary_ko")), F.lit(WIDTHS.briefing_prompt)),
     )
     listed = best.groupBy("cc").agg(
         F.array_sort(F.collect_list(F.struct("rn", bullet.alias("bullet"), "link"))).alias("items")
@@ -190,9 +199,7 @@ def briefings(
     inputs: DataFrame, responses: DataFrame, briefing_date: str, generated_at: Column, briefing_type: str = "weekly"
 ) -> DataFrame:
     """Briefing rows of the countries that have a non-empty reply."""
-    own = responses.filter(F.col("stage") == BRIEFING).select(
-        F.col("key").alias("cc"), "model", replies.reply_object(F.col("raw_text")).alias("reply")
-    )
+    own = _replies(responses, BRIEFING).withColumnRenamed("_key", "cc")
     usable = own.filter(F.to_json("reply") != "{}")
     reply = F.col("reply")
 
@@ -205,9 +212,9 @@ def briefings(
         F.lit(briefing_type).alias("briefing_type"),
         generated_at.alias("generated_at"),
         cut_text("summary", 2000),
-        replies.string_list(reply, "issues").alias("issues"),
+        replies.stored_list(reply, "issues").alias("issues"),
         cut_text("outlook", 1000),
-        replies.string_list(reply, "keywords").alias("keywords"),
+        replies.stored_list(reply, "keywords").alias("keywords"),
         cut_text("key_stat", 200),
         "model",
         "article_count",

@@ -8,7 +8,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from newsmart.config import REDIRECT_PREFIX
+from newsmart.config import REDIRECT_PREFIX, WIDTHS
 from newsmart.functions import text as X
 from newsmart.operators.identity import next_id, number_rows
 from newsmart.session import cut
@@ -36,9 +36,9 @@ def entry_rows(entries: DataFrame) -> DataFrame:
         "feed_id",
         "source_id",
         "pos",
-        F.substring("title", 1, 1000).alias("title"),
-        F.substring("link", 1, 2000).alias("link"),
-        F.substring(X.strip_html(F.col("summary")), 1, 4000).alias("summary"),
+        F.left("title", F.lit(WIDTHS.title)).alias("title"),
+        F.left("link", F.lit(WIDTHS.link)).alias("link"),
+        F.left(X.strip_html(F.col("summary")), F.lit(WIDTHS.summary)).alias("summary"),
         X.parse_published(F.col("published"), F.col("updated"), F.col("fetched_at")).alias("published_at"),
         "fetched_at",
         X.content_hash(F.col("title"), F.col("link")).alias("content_hash"),
@@ -46,19 +46,20 @@ def entry_rows(entries: DataFrame) -> DataFrame:
 
 
 def unseen_rows(rows: DataFrame, articles: DataFrame) -> DataFrame:
-    """First row per content hash (by feed and position) that no stored article has.
+    """First row per content hash (by feed, fetch and position) that no stored article has.
 
     The per-hash limit runs before the shuffle as well as after it, so a hash repeated very often
     costs one row per task; the anti join then meets unique hashes on both sides.
     """
-    order = Window.partitionBy("content_hash").orderBy("feed_id", "pos")
+    order = Window.partitionBy("content_hash").orderBy("feed_id", "fetched_at", "pos")
     firsts = rows.withColumn("_nth", F.row_number().over(order)).filter(F.col("_nth") == 1).drop("_nth")
     return firsts.join(articles.select("content_hash"), "content_hash", "left_anti")
 
 
 def insert_new(rows: DataFrame, articles: DataFrame) -> DataFrame:
     """New article rows with ids following the highest stored one, in content-hash order."""
-    fresh = unseen_rows(rows, articles)
+    # Numbering reads its input twice, so what is new is found once.
+    fresh = cut(unseen_rows(rows, articles))
     numbered = number_rows(
         fresh, "article_id", next_id(articles, "article_id"),
         F.substring("content_hash", 1, HASH_PREFIX), "content_hash",
@@ -78,17 +79,19 @@ def resolve_links(articles: DataFrame, redirects: DataFrame, prefix: str = REDIR
     starts = F.lower(F.left("link", F.lit(len(prefix)))) == prefix.lower()
     # The prefix test ignores case, the lookup does not: a differently cased link stays as it is.
     redirect = starts & F.contains("link", F.lit(prefix))
-    # Other links get a key of their own that matches nothing, so they spread over all partitions.
-    key = F.when(redirect, F.col("link")).otherwise(F.concat(F.lit("-"), "article_id"))
-    joined = articles.withColumn("_key", key).join(targets, F.col("_key") == F.col("from_url"), "left")
-    return joined.withColumn("link", F.coalesce(F.substring("to_url", 1, 2000), "link")).select(*articles.columns)
+    # Only redirects are shuffled; all other rows pass by the join.
+    asked = F.coalesce(redirect, F.lit(False))
+    joined = articles.where(asked).join(targets, F.col("link") == F.col("from_url"), "left")
+    found = joined.withColumn("link", F.coalesce(F.left("to_url", F.lit(WIDTHS.link)), "link")).select(*articles.columns)
+    return articles.where(~asked).union(found)
 
 
 def feed_counts(feeds: DataFrame, rows: DataFrame, new_articles: DataFrame) -> DataFrame:
-    """Per payload: status, error and how many of its rows were new or already known."""
-    total = rows.groupBy("feed_id").agg(F.count("*").alias("rows"))
-    new = new_articles.groupBy("feed_id").agg(F.count("*").alias("new"))
-    joined = feeds.join(total, "feed_id", "left").join(new, "feed_id", "left")
+    """Per fetch of a feed: status, error and how many of its rows were new or already known."""
+    fetch = ["feed_id", "fetched_at"]
+    total = rows.groupBy(*fetch).agg(F.count("*").alias("rows"))
+    new = new_articles.groupBy(*fetch).agg(F.count("*").alias("new"))
+    joined = feeds.join(total, fetch, "left").join(new, fetch, "left")
     added = F.coalesce("new", F.lit(0))
     return joined.select(
         "feed_id",
@@ -144,7 +147,7 @@ def ingest(
     """
     rows = store(entry_rows(entries))
     new = store(insert_new(rows, articles))
-    counts = feed_counts(feeds, rows.select("feed_id"), new)
+    counts = store(feed_counts(feeds, rows.select("feed_id", "fetched_at"), new))
     if redirects is not None:
         new = resolve_links(new, redirects)
     return IngestResult(new, counts, run_metrics(counts))

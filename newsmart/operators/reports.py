@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from newsmart.config import GLOBAL_CATEGORIES, LIMITS
+from newsmart.config import GLOBAL_CATEGORIES, LIMITS, WIDTHS
 from newsmart.functions import text as X
 
 
@@ -35,7 +35,7 @@ def feed_availability_display(report: DataFrame) -> DataFrame:
     return report.withColumns({
         "last_status": status,
         "last_published": last,
-        "last_error": F.substring(X.or_empty(F.col("last_error")), 1, 60),
+        "last_error": F.left(X.or_empty(F.col("last_error")), F.lit(WIDTHS.report_error)),
     })
 
 
@@ -114,12 +114,12 @@ def top_exclusions(articles: DataFrame, limit: int = LIMITS.exclusion_reasons) -
 
 
 def rejected_sample(articles: DataFrame, seed: int, limit: int = LIMITS.rejected_sample) -> DataFrame:
-    """Random rejected articles for inspection; the seed makes the draw repeatable for one layout."""
-    picked = articles.filter(_is("rejected")).select("media_name", "title", "filter_reason")
-    return picked.orderBy(F.rand(seed)).limit(limit).select(
+    """Random rejected articles for inspection: those with the least digest of seed and id, whatever the layout."""
+    draw = F.md5(F.concat(F.lit(f"{seed}:"), F.col("article_id").cast("string")))
+    return articles.filter(_is("rejected")).orderBy(draw, "article_id").limit(limit).select(
         "media_name",
-        F.substring(X.or_empty(F.col("title")), 1, 70).alias("title"),
-        F.substring(X.or_empty(F.col("filter_reason")), 1, 40).alias("filter_reason"),
+        F.left(X.or_empty(F.col("title")), F.lit(WIDTHS.report_title)).alias("title"),
+        F.left(X.or_empty(F.col("filter_reason")), F.lit(WIDTHS.report_reason)).alias("filter_reason"),
     )
 
 
@@ -131,7 +131,7 @@ def recent_articles(articles: DataFrame, limit: int = LIMITS.recent) -> DataFram
         "filter_decision",
         "media_name",
         F.coalesce(F.date_format("published_at", "yyyy-MM-dd HH:mm:ss"), F.lit("-")).alias("published_at"),
-        F.substring("title", 1, 70).alias("title"),
+        F.left("title", F.lit(WIDTHS.report_title)).alias("title"),
     )
 
 

@@ -11,7 +11,7 @@ from newsmart.functions.lexicon import Lexicon
 from newsmart.functions.taxonomy import TOPICS
 from newsmart.operators import enrich, queues
 from newsmart.operators.dedup import mark_duplicates
-from newsmart.operators.ingest import IngestResult, ingest
+from newsmart.operators.ingest import IngestResult, ingest, update_feed_health
 from newsmart.operators.lifecycle import current_articles, with_source
 from newsmart.operators.scoring import score_articles
 from newsmart.session import cut
@@ -20,9 +20,19 @@ from newsmart.sources.payloads import parse_payloads
 
 @dataclass(frozen=True)
 class Collected:
+    """Results of one run; ``duplicates`` covers all unmarked articles of the blocks that the run touched."""
+
     ingest: IngestResult
     filter_results: DataFrame
     duplicates: DataFrame
+    feeds: DataFrame | None = None
+
+
+def _after(stored: DataFrame | None, fresh: DataFrame) -> DataFrame:
+    """A stage's result table after a run: the rows of the run and the stored ones it has not replaced."""
+    if stored is None:
+        return fresh
+    return fresh.unionByName(stored.join(fresh.select("article_id"), "article_id", "left_anti"), allowMissingColumns=True)
 
 
 def collect_chain(
@@ -32,19 +42,28 @@ def collect_chain(
     lexicon: Lexicon,
     redirects: DataFrame | None = None,
     dedup: Dedup = DEDUP,
+    filter_results: DataFrame | None = None,
+    duplicates: DataFrame | None = None,
+    feeds: DataFrame | None = None,
 ) -> Collected:
-    """Ingest, score and de-duplicate the articles of one run.
+    """Ingest one run's payloads, score every pending article and mark duplicates among all stored ones.
 
-    Each stage's result is stored once and read by the later stages.
+    ``articles``, ``filter_results`` and ``duplicates`` are the stored tables of earlier runs. All articles without a
+    filter result are scored, whether new or not. Near duplicates are looked for in the country and day blocks of the
+    articles just scored, with all passed and unmarked stored articles of these blocks. With ``feeds`` the outcome of the
+    fetches is written back to them. Each stage's result is stored once and read by the later stages.
     """
     parsed = parse_payloads(payloads)
     outcome = ingest(parsed.feeds, parsed.entries, articles, redirects)
-    new = outcome.articles
-    scores = cut(score_articles(new, sources, lexicon))
-    raw = new.drop("filter_stage", "filter_decision")
-    current = current_articles(with_source(raw, sources), filter_results=scores)
-    marks = mark_duplicates(current, settings=dedup)
-    return Collected(outcome, scores, marks)
+    everything = outcome.articles.unionByName(articles, allowMissingColumns=True).drop("filter_stage", "filter_decision")
+    pending = everything
+    if filter_results is not None:
+        pending = everything.join(filter_results.select("article_id"), "article_id", "left_anti")
+    scores = cut(score_articles(pending, sources, lexicon))
+    current = current_articles(with_source(everything, sources), _after(filter_results, scores), duplicates)
+    marks = mark_duplicates(current, settings=dedup, touched_by=scores.select("article_id"))
+    health = None if feeds is None else update_feed_health(feeds, outcome.feed_counts)
+    return Collected(outcome, scores, marks, health)
 
 
 @dataclass(frozen=True)
@@ -62,13 +81,20 @@ def enrich_chain(
     briefing_date: str,
     generated_at: Column,
     topics=TOPICS,
+    triage_results: DataFrame | None = None,
+    rank_results: DataFrame | None = None,
 ) -> Enriched:
-    """Triage, rank and brief one run's queues from stored replies; ``articles`` carry source columns."""
-    waiting = current_articles(articles, filter_results, duplicates)
+    """Triage, rank and brief one run's queues from stored replies; ``articles`` carry source columns.
+
+    ``triage_results`` and ``rank_results`` are the stored results of earlier runs: their articles do not enter the
+    queues again, and the briefings see them. The results returned are those of this run alone.
+    """
+    waiting = current_articles(articles, filter_results, duplicates, triage_results)
     triaged = cut(enrich.triage(queues.triage_queue(waiting), responses))
-    kept = current_articles(articles, filter_results, duplicates, triaged)
+    all_triaged = _after(triage_results, triaged)
+    kept = current_articles(articles, filter_results, duplicates, all_triaged, rank_results)
     ranked = cut(enrich.rank(queues.rank_queue(kept), responses, topics))
-    final = current_articles(articles, filter_results, duplicates, triaged, ranked)
+    final = current_articles(articles, filter_results, duplicates, all_triaged, _after(rank_results, ranked))
     inputs = enrich.briefing_inputs(final)
     written = enrich.briefings(inputs, responses, briefing_date, generated_at)
     return Enriched(triaged, ranked, written)

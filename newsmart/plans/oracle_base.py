@@ -45,9 +45,9 @@ ARTICLES = """f_articles AS (
   SELECT d.doc_id AS article_id,
          CAST(replace(d.source, 'src', '') AS BIGINT) * 2 + (d.doc_id // 20) % 2 AS feed_id,
          CAST(replace(d.source, 'src', '') AS BIGINT) AS source_id,
-         left(split_part(d.text, chr(10), 1), 120) AS title,
+         left(split_part(d.text, chr(10), 1), 1000) AS title,
          'https://' || d.source || '.example.com/a/' || d.doc_id AS link,
-         substr(d.text, 1, 4000) AS summary, d.lang AS language,
+         d.text AS summary, d.lang AS language,
          e.ts AS published_at, e.ts + INTERVAL 1 HOUR AS fetched_at
   FROM documents d JOIN events e ON e.event_id = d.doc_id)"""
 

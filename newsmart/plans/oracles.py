@@ -161,6 +161,10 @@ _oracle("top_exclusions", *SCORED, body="""
 SELECT filter_reason, count(*) AS cnt FROM f_scored
 WHERE filter_decision = 'rejected' AND filter_reason LIKE 'excl:%'
 GROUP BY 1 ORDER BY cnt DESC, filter_reason LIMIT 10""")
+_oracle("rejected_sample", *SCORED, body="""
+SELECT s.media_name, left(a.title, 70) AS title, left(r.filter_reason, 40) AS filter_reason
+FROM f_scored r JOIN f_articles a USING (article_id) JOIN f_sources s USING (source_id)
+WHERE r.filter_decision = 'rejected' ORDER BY md5('7:' || article_id) LIMIT 15""")
 _oracle("filter_counters", *SCORED, body="""
 SELECT count(*) AS total, count(*) FILTER (filter_decision = 'passed') AS passed,
        count(*) FILTER (filter_decision = 'rejected') AS rejected FROM f_scored""")
@@ -297,12 +301,15 @@ SELECT (SELECT coalesce(max(article_id), 0) FROM f_stored) + row_number() OVER (
        feed_id, source_id, title, link, summary, {_stamp('parsed')} AS published_at, content_hash,
        0 AS filter_stage, 'pending' AS filter_decision
 FROM f_new""")
-COUNTS = """f_counts AS (
-  SELECT f.feed_id, f.last_status AS status, f.last_error AS error,
-         (SELECT count(*) FROM f_new n WHERE n.feed_id = f.feed_id) AS new_articles,
-         (SELECT count(*) FROM f_rows r WHERE r.feed_id = f.feed_id)
-         - (SELECT count(*) FROM f_new n WHERE n.feed_id = f.feed_id) AS dup_articles
-  FROM f_feeds f)"""
+COUNTS = """f_once AS (
+  SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY content_hash ORDER BY feed_id, pos % 2, pos) AS nth FROM f_rows)
+  WHERE nth = 1 AND content_hash NOT IN (SELECT content_hash FROM f_stored)),
+f_counts AS (
+  SELECT f.feed_id, CAST(k AS INTEGER) AS fetch, f.last_status AS status, f.last_error AS error,
+         (SELECT count(*) FROM f_once n WHERE n.feed_id = f.feed_id AND n.pos % 2 = k) AS new_articles,
+         (SELECT count(*) FROM f_rows r WHERE r.feed_id = f.feed_id AND r.pos % 2 = k)
+         - (SELECT count(*) FROM f_once n WHERE n.feed_id = f.feed_id AND n.pos % 2 = k) AS dup_articles
+  FROM f_feeds f, (VALUES (0), (1)) v(k))"""
 _oracle("ingest_feed_counts", ARTICLES, SOURCES, FEEDS, ENTRIES, INGEST, COUNTS, body="SELECT * FROM f_counts")
 _oracle("ingest_run_metrics", ARTICLES, SOURCES, FEEDS, ENTRIES, INGEST, COUNTS, body="""
 SELECT count(*) AS feeds_total, count(*) FILTER (error IS NULL) AS feeds_ok,
@@ -332,6 +339,10 @@ SELECT 'triage' AS stage, CAST(article_id AS VARCHAR) AS key,
        '[국가:' || primary_country_code || '] 제목: ' || title || chr(10) || '요약: ' || left(summary, 600) AS prompt
 {_WAITING}""")
 _oracle("triage_decisions", *TRIAGED, body="SELECT article_id, decision, reject_reason FROM f_triage")
+_oracle("enrich_chain_second_run", *TRIAGED, body=f"""
+SELECT CAST(1 + (n - 1) // 300 AS INTEGER) AS run, article_id, decision, reject_reason
+FROM (SELECT article_id, row_number() OVER (ORDER BY filter_score DESC NULLS LAST, article_id) AS n {_WAITING})
+JOIN f_triage USING (article_id) WHERE n <= 600""")
 _oracle("triage_without_replies", *MARKED, body=f"""
 SELECT article_id, 'keep' AS decision, CAST(NULL AS VARCHAR) AS reject_reason {_WAITING}""")
 _oracle("rank_queue", *KEPT_ROWS, body="""

@@ -267,18 +267,23 @@ def ingest_insert_ignore(spark, folder):
 
 
 def _ingest_counts(spark, folder) -> DataFrame:
-    rows = ingesting.entry_rows(V.entries(spark, folder))
+    """A batch in which every feed was fetched twice: entries of even position first, the others an hour later."""
+    first = F.to_timestamp(F.lit("2024-02-01 00:00:00"))
+    times = [first, first + F.expr("INTERVAL 1 HOUR")]
+    rows = ingesting.entry_rows(V.entries(spark, folder)).withColumn(
+        "fetched_at", F.when(F.col("pos") % 2 == 0, times[0]).otherwise(times[1])
+    )
     new = ingesting.insert_new(rows, V.stored_articles(spark, folder))
     fetched = V.feeds(spark, folder).select(
         "feed_id", F.col("last_status").alias("status"), F.col("last_error").alias("error"),
-        F.to_timestamp(F.lit("2024-02-01 00:00:00")).alias("fetched_at"),
+        F.explode(F.array(*times)).alias("fetched_at"),
     )
-    return ingesting.feed_counts(fetched, rows.select("feed_id"), new)
+    return ingesting.feed_counts(fetched, rows.select("feed_id", "fetched_at"), new)
 
 
 @query
 def ingest_feed_counts(spark, folder):
-    return _ingest_counts(spark, folder).drop("fetched_at")
+    return _ingest_counts(spark, folder).withColumn("fetch", F.hour("fetched_at")).drop("fetched_at")
 
 
 @query
@@ -523,6 +528,55 @@ def enrich_chain_rows(spark, folder):
     return done.briefings.select("cc", "summary", "article_count", F.to_json("source_articles").alias("links"))
 
 
+@query
+def collect_chain_second_run(spark, folder):
+    """The collect chain over the payloads of odd articles, then over all others on top of what it stored."""
+    sources = V.sources(spark, folder).withColumn("language", F.lit("en"))
+    payloads = V.payloads(spark, folder).join(
+        V.articles(spark, folder).select("feed_id", "fetched_at", (F.col("article_id") % 2).alias("half")).distinct(),
+        ["feed_id", "fetched_at"],
+    )
+    first = collect_chain(
+        payloads.filter("half = 1").drop("half"), V.stored_articles(spark, folder), sources, V.TEST_LEXICON
+    )
+    stored = cut(first.ingest.articles.unionByName(V.stored_articles(spark, folder), allowMissingColumns=True))
+    marks = cut(first.duplicates)
+    done = collect_chain(
+        payloads.filter("half = 0").drop("half"), stored, sources, V.TEST_LEXICON,
+        filter_results=first.filter_results, duplicates=marks,
+    )
+    new = done.ingest.articles.select("article_id", "content_hash", F.lit(2).alias("run"))
+    rows = new.unionByName(first.ingest.articles.select("article_id", "content_hash", F.lit(1).alias("run")))
+    scores = done.filter_results.unionByName(first.filter_results).select("article_id", "filter_reason", "filter_score")
+    both = done.duplicates.select("article_id", F.col("duplicate_of").alias("later")).join(
+        marks.select("article_id", F.col("duplicate_of").alias("earlier")), "article_id", "full"
+    )
+    found = both.select("article_id", F.coalesce("earlier", "later").alias("duplicate_of"))
+    return rows.join(scores, "article_id").join(found, "article_id", "left")
+
+
+def _two_enrich_runs(spark, folder):
+    articles = V.articles(spark, folder)
+    stored = V.responses(articles, enrich.TRIAGE).unionByName(V.responses(articles, enrich.RANK))
+    marked = cut(_marked(spark, folder).select(
+        "article_id", "filter_stage", "filter_decision", "filter_reason", "filter_score", "duplicate_of"
+    ))
+    given = (
+        _rows(spark, folder), marked.drop("duplicate_of"), marked.select("article_id", "duplicate_of"), stored, "2024-02-01",
+        F.to_timestamp(F.lit("2024-02-01 00:00:00")), V.sample_topics(),
+    )
+    first = enrich_chain(*given)
+    return first, enrich_chain(*given, triage_results=first.triage_results, rank_results=first.rank_results)
+
+
+@query
+def enrich_chain_second_run(spark, folder):
+    """What the second run of the enrich chain triages: the queue goes on where the first run stopped."""
+    first, second = _two_enrich_runs(spark, folder)
+    runs = first.triage_results.withColumn("run", F.lit(1)).unionByName(second.triage_results.withColumn("run", F.lit(2)))
+    return runs.select("run", "article_id", "decision", "reject_reason")
+
+
 # -- streaming -----------------------------------------------------------------------------------------------
 def _run_folder(spark) -> str:
     return f"{checkpoint_dir(spark)}/run-{uuid.uuid4().hex}"

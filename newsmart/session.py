@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -34,7 +35,7 @@ def spread(scan: DataFrame) -> DataFrame:
 
 
 def checkpoint_dir(spark: SparkSession) -> str:
-    """Shared folder for checkpoints and stream state, as the session names it.
+    """Shared folder for stage tables, checkpoints and stream state, as the session names it.
 
     Only a local session without the setting gets a folder of its own; on a cluster a missing
     setting is an error, because a machine-local folder would not survive a lost executor.
@@ -48,7 +49,7 @@ def checkpoint_dir(spark: SparkSession) -> str:
         return named
     if current is not None:
         return current
-    if not context.master.startswith("local"):
+    if not re.fullmatch(r"local(\[[^\]]*\])?", context.master):
         raise RuntimeError("set spark.checkpoint.dir to a shared folder")
     folder = tempfile.mkdtemp(prefix="spark-")
     context.setCheckpointDir(folder)
@@ -56,9 +57,13 @@ def checkpoint_dir(spark: SparkSession) -> str:
 
 
 def cut(df: DataFrame) -> DataFrame:
-    """Materialise ``df`` reliably and drop its lineage."""
-    checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    """Write ``df`` once as a Parquet stage table in the shared folder and read it back.
+
+    Lineage ends there, and later stages read only the columns and rows they need.
+    """
+    path = f"{checkpoint_dir(df.sparkSession)}/stage-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def counted(results: DataFrame, stage: str, **counters: Column) -> DataFrame:

@@ -11,6 +11,7 @@ from dataclasses import replace
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from newsmart.config import WIDTHS
 from newsmart.functions.lexicon import LanguageLists, Lexicon
 from newsmart.functions.taxonomy import TOPICS, Topic
 from newsmart.functions.text import content_hash, strip
@@ -94,9 +95,9 @@ def article_columns(documents: DataFrame) -> DataFrame:
         F.col("doc_id").alias("article_id"),
         (number * 2 + F.expr("doc_id div 20") % 2).alias("feed_id"),
         number.alias("source_id"),
-        F.left(F.split_part("text", F.lit("\n"), F.lit(1)), F.lit(120)).alias("title"),
+        F.left(F.split_part("text", F.lit("\n"), F.lit(1)), F.lit(WIDTHS.title)).alias("title"),
         F.concat(F.lit("https://"), "source", F.lit(".example.com/a/"), "doc_id").alias("link"),
-        F.substring("text", 1, 4000).alias("summary"),
+        F.col("text").alias("summary"),
         F.col("lang").alias("language"),
     )
 

@@ -16,6 +16,7 @@ from newsmart.operators.dedup import BLOCK, candidates, mark_duplicates
 from newsmart.operators.ingest import entry_rows, feed_counts, insert_new
 from newsmart.operators.scoring import score_articles
 from newsmart.schemas import SCHEMAS, conform
+from newsmart.session import cut
 from newsmart.sources.payloads import parse_payloads
 
 TRIGGER = {"availableNow": True}
@@ -47,13 +48,14 @@ def ingest_stream(
 
     def write(batch: DataFrame, batch_id: int) -> None:
         own = batch.sparkSession
+        # Each body is parsed once: fetches and entries are stored before they are counted and numbered.
         parsed = parse_payloads(batch)
-        rows = entry_rows(parsed.entries)
+        fetched, rows = cut(parsed.feeds), cut(entry_rows(parsed.entries))
         new = insert_new(rows, _history(own, articles_path, SCHEMAS["articles"], batch_id))
         folder = f"{articles_path}/batch={batch_id}"
         conform(new, "articles").write.mode("overwrite").parquet(folder)
         written = own.read.schema(SCHEMAS["articles"]).parquet(folder)
-        counts = feed_counts(parsed.feeds, rows.select("feed_id"), written)
+        counts = feed_counts(fetched, rows.select("feed_id", "fetched_at"), written)
         counts.write.mode("overwrite").parquet(f"{counts_path}/batch={batch_id}")
 
     return (

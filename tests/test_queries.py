@@ -34,7 +34,7 @@ def test_marks_equal_the_nested_loop(spark, duck):
     from test_dedup import expected_marks
 
     rows = duck.execute("""
-        SELECT d.doc_id, left(split_part(d.text, chr(10), 1), 120), e.ts, e.ts + INTERVAL 1 HOUR,
+        SELECT d.doc_id, left(split_part(d.text, chr(10), 1), 1000), e.ts, e.ts + INTERVAL 1 HOUR,
                (['KR','US','CN','JP','ID','VN','KH','MM','IN','GB','HK','SG'])[n % 12 + 1], n % 3, 'passed'
         FROM (SELECT *, CAST(replace(source, 'src', '') AS INTEGER) AS n FROM documents) d
         JOIN events e ON e.event_id = d.doc_id""").fetchall()
