@@ -5,8 +5,8 @@ Steps: (1) one pass over the texts gives every text's distinct shingles as hashe
 representative; (3) in each band bucket every member is paired with a few centres, so a hot bucket gives as many pairs as
 members and centre; (4) pairs whose signatures agree too little to reach the threshold go, the rest are confirmed on full
 sets; (5) links become components; (6) only buckets that still hold several components are compared member by
-member, in blocks inside the tasks, and only pairs across components that agree enough leave a task, each from one bucket,
-and are confirmed. Together (3) and (6) look at every pair of a bucket that could change a component.
+member, in blocks inside the tasks, and only confirmed links across components leave a task.
+Together (3) and (6) look at every pair of a bucket that could change a component.
 
 A pair of similarity 0.8 shares no bucket with probability (1 - 0.8**4)**32 < 5e-8.
 """
@@ -16,10 +16,9 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from newsmart.llm import text_arrays as A
@@ -33,7 +32,7 @@ class Near:
 
     ``agree`` is the share of equal minima below which a pair is not confirmed on full sets; 0.6 lies 5.6 standard
     deviations of 128 minima below 0.8. ``block`` is the number of bucket members compared at a time; ``centres``
-    only moves work from (6) to (3), results do not depend on it.
+    and ``links`` only move work from (6) to (3), results do not depend on them.
     """
 
     words: int = 5
@@ -43,6 +42,7 @@ class Near:
     agree: float = 0.6
     block: int = 1024
     centres: int = 6
+    links: int = 4
     seed: int = 7
 
     @property
@@ -140,11 +140,8 @@ def _agreeing(pairs: DataFrame, representatives: DataFrame, settings: Near) -> D
     return both.select("a", "b", "x", "y").mapInArrow(kept, "a long, b long")
 
 
-def _confirmed(pairs: DataFrame, docs: DataFrame, digests: DataFrame, settings: Near) -> DataFrame:
-    """Pairs whose full shingle sets are similar enough: 100 * intersection >= percent * union.
-
-    Only texts that occur in a pair are read again, as sets.
-    """
+def _sets(ids: DataFrame, docs: DataFrame, digests: DataFrame, settings: Near) -> DataFrame:
+    """(id, shingles): the full shingle sets of the texts named in ``ids``; only these texts are read again as sets."""
 
     def sets(batches):
         for batch in batches:
@@ -155,34 +152,75 @@ def _confirmed(pairs: DataFrame, docs: DataFrame, digests: DataFrame, settings:
             full = pa.RecordBatch.from_arrays([ids, pa.array(out, pa.binary())], ["id", "shingles"])
             yield full.filter(pa.array(same, pa.bool_()))
 
-    def similar(batches):
+    texts = docs.select(F.col("doc_id").cast("long").alias("id"), "text").join(ids.join(digests, "id"), "id")
+    found = texts.select("id", "digest", "text").mapInArrow(sets, "id long, shingles binary")
+    return stage(found.dropDuplicates(["id"]), "sets")
+
+
+def similar(left: np.ndarray, right: np.ndarray, percent: int) -> bool:
+    """Whether 100 * intersection >= percent * union for two sorted sets."""
+    short, long = (left, right) if len(left) <= len(right) else (right, left)
+    if 100 * len(short) < percent * len(long):
+        return False
+    at = np.minimum(np.searchsorted(long, short), len(long) - 1)
+    common = int(np.count_nonzero(long[at] == short))
+    return 100 * common >= percent * (len(left) + len(right) - common)
+
+
+def _as_sets(column: pa.Array | pa.ChunkedArray) -> list[np.ndarray]:
+    return [np.frombuffer(value.as_buffer(), np.uint64) for value in column]
+
+
+def _confirmed(pairs: DataFrame, docs: DataFrame, digests: DataFrame, settings: Near) -> DataFrame:
+    """Pairs whose full shingle sets are similar enough."""
+
+    def kept(batches):
         for batch in batches:
-            keep = []
-            for x, y in zip(batch.column("x"), batch.column("y"), strict=True):
-                left, right = np.frombuffer(x.as_buffer(), np.uint64), np.frombuffer(y.as_buffer(), np.uint64)
-                short, long = (left, right) if len(left) <= len(right) else (right, left)
-                if 100 * len(short) < settings.percent * len(long):
-                    keep.append(False)
-                    continue
-                at = np.minimum(np.searchsorted(long, short), len(long) - 1)
-                common = int(np.count_nonzero(long[at] == short))
-                keep.append(100 * common >= settings.percent * (len(left) + len(right) - common))
+            both = zip(_as_sets(batch.column("x")), _as_sets(batch.column("y")), strict=True)
+            keep = [similar(x, y, settings.percent) for x, y in both]
             yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
-    ends = pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct()
-    wanted = ends.join(digests, "id")
-    texts = docs.select(F.col("doc_id").cast("long").alias("id"), "text").join(wanted, "id")
-    full = stage(texts.select("id", "digest", "text").mapInArrow(sets, "id long, shingles binary").dropDuplicates(["id"]), "sets")
+    full = _sets(pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct(), docs, digests, settings)
     both = pairs.join(full.toDF("a", "x"), "a").join(full.toDF("b", "y"), "b")
-    return both.select("a", "b", "x", "y").mapInArrow(similar, "a long, b long")
+    return both.select("a", "b", "x", "y").mapInArrow(kept, "a long, b long")
+
+
+def _hits(table: pa.Table, settings: Near):
+    """(row, rows of other labels whose signatures agree enough) inside the groups of a table of bucket members.
+
+    A pair counts only in the first bucket that both ends share.
+    """
+    part, low, high, labels, ids, numbers, edges = (
+        table.column(name).to_numpy() for name in ("part", "low", "high", "label", "id", "number", "edge")
+    )
+    signs = np.frombuffer(b"".join(table.column("minima").to_pylist()), np.uint8).reshape(-1, settings.minima)
+    need = int(np.ceil(settings.agree * settings.minima))
+    starts = np.append(np.flatnonzero(edges), len(edges))
+    for first, last in zip(starts[:-1].tolist(), starts[1:].tolist(), strict=True):
+        inside = low[first] == high[first]
+        here = np.arange(first, last)
+        rows, columns = here[part[here] == low[first]], here[part[here] == high[first]]
+        for i in rows.tolist():
+            other = columns[(labels[columns] != labels[i]) & ((ids[columns] > ids[i]) | (not inside))]
+            equal = signs[other] == signs[i]
+            close = equal.sum(axis=1) >= need
+            shared = equal[close].reshape(-1, settings.bands, settings.rows).all(axis=2)
+            hit = other[close][shared.argmax(axis=1) == numbers[i]]
+            if len(hit):
+                yield i, hit
+
+
+MEMBER = "band long, number int, low int, high int, part int, label long, id long, minima binary"
+GROUP = ["band", "low", "high"]
 
 
-def _across(members: DataFrame, settings: Near) -> DataFrame:
-    """Pairs of bucket members (band, its number, label, id, minima) of different labels that agree enough.
+def _across(members: DataFrame, docs: DataFrame, digests: DataFrame, settings: Near) -> DataFrame:
+    """Links between bucket members (band, its number, label, id, minima) of different labels.
 
     A bucket is cut into blocks of about ``block`` members by a hash of the id, and a task compares one block with another
-    (or itself) as matrices. A member is sent once per block of its bucket, so rows grow by members / block, and only pairs
-    found are returned, each by the first bucket that both ends share.
+    (or itself) as matrices. A member is sent once per block of its bucket, so rows grow by members / block. A first pass
+    finds the members that agree enough with one of another label; these few meet again with their full sets, and
+    only confirmed links leave the task, none between texts that links of the group have joined before.
     """
     sizes = members.groupBy("band").agg(F.ceil(F.count("*") / settings.block).cast("int").alias("parts"))
     placed = members.join(sizes, "band").withColumn("part", F.expr("pmod(xxhash64(id, band), parts)").cast("int"))
@@ -191,39 +229,45 @@ def _across(members: DataFrame, settings: Near) -> DataFrame:
         "label", "id", "minima",
     )
 
-    need = int(np.ceil(settings.agree * settings.minima))
-
-    def compare(batches):
-        for table in whole_groups(batches, ["band", "low", "high"]):
-            part, low, high, labels, ids, numbers, edges = (
-                table.column(name).to_numpy() for name in ("part", "low", "high", "label", "id", "number", "edge")
-            )
-            signs = np.frombuffer(b"".join(table.column("minima").to_pylist()), np.uint8).reshape(-1, settings.minima)
-            starts = np.append(np.flatnonzero(edges), len(edges))
-            left, right = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
-            for first, last in zip(starts[:-1].tolist(), starts[1:].tolist(), strict=True):
-                inside = low[first] == high[first]
-                here = np.arange(first, last)
-                rows, columns = here[part[here] == low[first]], here[part[here] == high[first]]
-                for i in rows:
-                    other = columns[(labels[columns] != labels[i]) & ((ids[columns] > ids[i]) | (not inside))]
-                    equal = signs[other] == signs[i]
-                    close = equal.sum(axis=1) >= need
-                    shared = equal[close].reshape(-1, settings.bands, settings.rows).all(axis=2)
-                    hit = ids[other[close][shared.argmax(axis=1) == numbers[i]]]
-                    left.append(np.minimum(ids[i], hit))
-                    right.append(np.maximum(ids[i], hit))
-            found = [pa.array(np.concatenate(x), pa.int64()) for x in (left, right)]
-            yield pa.RecordBatch.from_arrays(found, ["a", "b"])
-
-    keys = ["band", "low", "high"]
-    return sent.repartition(*keys).sortWithinPartitions(*keys).mapInArrow(compare, "a long, b long").distinct()
+    def agreeing(batches):
+        for table in whole_groups(batches, GROUP):
+            seen = np.zeros(len(table), bool)
+            for i, hit in _hits(table, settings):
+                seen[i] = True
+                seen[hit] = True
+            yield from table.drop_columns(["edge"]).filter(pa.array(seen)).to_batches()
+
+    def linked(batches):
+        for table in whole_groups(batches, GROUP):
+            sets, ids, labels = _as_sets(table.column("shingles")), table.column("id").to_pylist(), table.column("label").to_pylist()
+            joined: dict[int, int] = {}
+
+            def root(label: int) -> int:
+                while label in joined:
+                    label = joined[label]
+                return label
+
+            found = []
+            for i, hit in _hits(table, settings):
+                for j in hit.tolist():
+                    one, two = root(labels[i]), root(labels[j])
+                    if one != two and similar(sets[i], sets[j], settings.percent):
+                        joined[max(one, two)] = min(one, two)
+                        found.append((ids[i], ids[j]))
+            ends = [pa.array([f(pair) for pair in found], pa.int64()) for f in (min, max)]
+            yield pa.RecordBatch.from_arrays(ends, ["a", "b"])
+
+    close = stage(sent.repartition(*GROUP).sortWithinPartitions(*GROUP).mapInArrow(agreeing, MEMBER), "close")
+    full = _sets(close.select("id").distinct(), docs, digests, settings)
+    again = close.join(full, "id").repartition(*GROUP).sortWithinPartitions(*GROUP)
+    return again.mapInArrow(linked, "a long, b long").distinct()
 
 
 def _stars(crowded: DataFrame, settings: Near) -> DataFrame:
     """Distinct pairs of every bucket member with the bucket's centres: the least id, and the least under other orders.
 
-    An order is the same in all buckets, so most pairs of a group are the same in many bands.
+    An order is the same in all buckets, so most pairs of a group are the same in many bands. Of a member's centres
+    those that share most buckets with it are taken, ``links`` at most: the others are left to (6).
     """
     orders = np.random.default_rng(settings.seed).integers(1 << 62, size=settings.centres)
     masks = [F.lit(int(mask) if turn else 0) for turn, mask in enumerate(orders)]
@@ -231,7 +275,10 @@ def _stars(crowded: DataFrame, settings: Near) -> DataFrame:
     centres = crowded.groupBy("band").agg(*least)
     chosen = F.array_distinct(F.array(*[F.col(f"c{turn}").bitwiseXOR(mask) for turn, mask in enumerate(masks)]))
     star = crowded.join(centres, "band").select("id", F.explode(chosen).alias("centre")).where("id <> centre")
-    return star.select(F.least("id", "centre").alias("a"), F.greatest("id", "centre").alias("b")).distinct()
+    best = Window.partitionBy("id").orderBy(F.desc("shared"), "centre")
+    counted = star.groupBy("id", "centre").agg(F.count("*").alias("shared"))
+    nearest = counted.withColumn("place", F.row_number().over(best)).where(F.col("place") <= settings.links)
+    return nearest.select(F.least("id", "centre").alias("a"), F.greatest("id", "centre").alias("b")).distinct()
 
 
 def _open(crowded: DataFrame, labels: DataFrame) -> DataFrame:
@@ -247,8 +294,8 @@ def near_duplicates(docs: DataFrame, settings: Near = Near()) -> DataFrame:  # n
     Words are ``[^\\x20\\x09-\\x0D]+`` with A-Z lower-cased. The component is the smallest doc_id reachable over links of
     ``percent`` similarity and more, ``kept`` says whether it is the row's own. NULL texts and texts without words have no
     shingles, are linked with nothing and are kept. Rows that share a doc_id count as one document: a link of
-    one is a link of all. A row with a NULL doc_id takes the component of the texts with its set; if there is none its
-    component is NULL, and it is kept only then. Other columns are ignored. An empty table gives no rows.
+    one is a link of all. A row with a NULL doc_id takes the component of the texts with its set and is not kept; if there is none its
+    component is NULL and it is kept. Other columns are ignored. An empty table gives no rows.
     """
     small_batches(docs.sparkSession)
     signs = stage(signed(docs, settings), "signatures")
@@ -268,10 +315,9 @@ def near_duplicates(docs: DataFrame, settings: Near = Near()) -> DataFrame:  # n
     labels = components(links)
 
     members = _open(crowded, labels).join(representatives.select("id", "minima"), "id")
-    missed = stage(_across(members, settings).join(pairs, ["a", "b"], "left_anti"), "across")
+    missed = stage(_across(members, docs, digests, settings), "across")
     if not missed.isEmpty():
-        links = stage(links.union(_confirmed(missed, docs, digests, settings)), "confirmed")
-        labels = components(links)
+        labels = components(links.union(missed))
 
     classes = digests.join(labels.toDF("id", "label"), "id", "left").select(
         "digest", F.coalesce("label", "id").alias("component")
@@ -290,7 +336,7 @@ def near_duplicates(docs: DataFrame, settings: Near = Near()) -> DataFrame:  # n
 def keep_one(docs: DataFrame, settings: Near = Near()) -> DataFrame:  # noqa: B008
     """The rows of ``docs`` without near copies: of each component the document with the smallest doc_id.
 
-    All columns stay. Of rows that share a doc_id one stays; rows with a NULL doc_id stay unless a kept document has their set.
+    All columns stay. Of rows that share a doc_id one stays; rows with a NULL doc_id all stay.
     """
     found = near_duplicates(docs, settings)
     gone = found.where("not kept").select("doc_id").distinct()
