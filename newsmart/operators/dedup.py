@@ -137,6 +137,9 @@ def resolve_titles(titles: DataFrame, settings: Dedup = DEDUP) -> DataFrame:
     every_slot = F.explode(F.sequence(F.lit(0), (F.col("slots") - 1).cast("int")))
     done: list[DataFrame] = []
     largest = sizes.agg(F.max("titles")).first()[0] or 0
+    # Up to this rank Spark limits a window inside every task, before a block's rows meet.
+    conf, limit = titles.sparkSession.conf, "spark.sql.optimizer.windowGroupLimitThreshold"
+    conf.set(limit, str(max(int(conf.get(limit, "1000")), settings.chunk_rows)))
     while largest > settings.chunk_rows:
         # The row limit runs inside every task before the block meets in one.
         numbered = open_titles.withColumn("place", F.row_number().over(first_in_rank))

@@ -582,23 +582,28 @@ def _run_folder(spark) -> str:
     return f"{checkpoint_dir(spark)}/run-{uuid.uuid4().hex}"
 
 
-def _document_stream(spark, folder) -> DataFrame:
-    schema = V.table(spark, folder, "documents").schema
-    return spark.readStream.schema(schema).option("pathGlobFilter", "documents.parquet").parquet(folder)
+STREAM_FILES = 3
 
 
-def _article_stream(spark, folder) -> DataFrame:
+def _document_stream(spark, folder, run: str) -> DataFrame:
+    """The documents as a stream of several micro-batches, so that history and late rows matter."""
+    documents = V.table(spark, folder, "documents")
+    documents.repartition(STREAM_FILES, F.col("doc_id") % STREAM_FILES).write.parquet(f"{run}/documents")
+    return spark.readStream.schema(documents.schema).option("maxFilesPerTrigger", 1).parquet(f"{run}/documents")
+
+
+def _article_stream(spark, folder, run: str) -> DataFrame:
     times = V.table(spark, folder, "events").select(
         F.col("event_id").alias("article_id"), F.col("ts").cast("timestamp").alias("published_at")
     )
-    rows = V.article_columns(_document_stream(spark, folder)).join(times, "article_id")
+    rows = V.article_columns(_document_stream(spark, folder, run)).join(times, "article_id")
     return rows.withColumn("fetched_at", F.col("published_at") + F.expr("INTERVAL 1 HOUR"))
 
 
 @query
 def stream_ingest(spark, folder):
     run = _run_folder(spark)
-    payloads = V.payload_columns(_article_stream(spark, folder))
+    payloads = V.payload_columns(_article_stream(spark, folder, run))
     incremental.ingest_stream(payloads, f"{run}/articles", f"{run}/counts", f"{run}/state").awaitTermination()
     stored = spark.read.parquet(f"{run}/articles")
     return stored.select(
@@ -609,7 +614,7 @@ def stream_ingest(spark, folder):
 @query
 def stream_score(spark, folder):
     run = _run_folder(spark)
-    articles = V.article_columns(_document_stream(spark, folder))
+    articles = V.article_columns(_document_stream(spark, folder, run))
     results = incremental.score_stream(articles, V.sources(spark, folder), V.TEST_LEXICON)
     incremental.write_stream(results, f"{run}/results", f"{run}/state").awaitTermination()
     return spark.read.parquet(f"{run}/results")
@@ -618,7 +623,7 @@ def stream_score(spark, folder):
 @query
 def stream_dedup(spark, folder):
     run = _run_folder(spark)
-    articles = with_source(_article_stream(spark, folder), V.sources(spark, folder)).withColumn(
+    articles = with_source(_article_stream(spark, folder, run), V.sources(spark, folder)).withColumn(
         "filter_decision", F.lit("passed")
     )
     incremental.dedup_stream(articles, f"{run}/store", f"{run}/marks", f"{run}/state").awaitTermination()
