@@ -1,6 +1,6 @@
 """Office network: where the institution reading the news has offices, by country.
 
-The institution's name is a parameter (``owner``) and leads every office name.
+The institution's name (``owner``) and its offices are parameters; the name leads every office name.
 """
 
 from __future__ import annotations
@@ -20,7 +20,7 @@ class Office:
     entity: str
 
 
-# ---- Fixed values: country, city, kind and name of each office, in order -------------------------
+# A sample network. A caller with offices of its own passes them to every function here.
 OFFICES = (
     Office("GB", "런던", "지점", "런던지점"),
     Office("US", "뉴욕", "지점", "뉴욕지점"),
@@ -34,6 +34,7 @@ OFFICES = (
     Office("ID", "자카르타", "자회사", "인도네시아은행"),
     Office("KH", "프놈펜", "자회사", "캄보디아은행"),
 )
+# ---- Fixed values: the kind that counts as a subsidiary, and the text for countries without an office
 SUBSIDIARY = "자회사"
 NO_OFFICE = "글로벌 본점 관점(특정 거점 없음)"
 # ---- End of fixed values -----------------------------------------------------------------------

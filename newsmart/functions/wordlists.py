@@ -1,7 +1,7 @@
 """Published keyword lists.
 
 The main finance list is longer than a source file should spell out, so it is a parameter: pass it
-to :func:`published_lexicon` as one keyword per entry, in list order (see ``sources.readers``).
+to :func:`published_lexicon` as one keyword per entry, in list order (see ``sources.tables.read_keywords``).
 """
 
 from __future__ import annotations

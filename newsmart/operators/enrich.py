@@ -100,9 +100,11 @@ def triage(queue: DataFrame, responses: DataFrame) -> DataFrame:
 
 
 # -- rank ------------------------------------------------------------------------------------------
-def rank_requests(queue: DataFrame, owner: str = "") -> DataFrame:
+def rank_requests(
+    queue: DataFrame, owner: str = "", network: Sequence[offices.Office] = offices.OFFICES
+) -> DataFrame:
     prompt = F.concat(
-        F.lit("[거점 맥락: "), offices.context_for(F.col("primary_country_code"), owner=owner), F.lit("]\n매체: "),
+        F.lit("[거점 맥락: "), offices.context_for(F.col("primary_country_code"), network, owner), F.lit("]\n매체: "),
         "media_name", F.lit("  국가: "), "primary_country_code", F.lit("\n제목: "), "title",
         F.lit("\n요약: "), F.left(X.or_empty(F.col("summary")), F.lit(WIDTHS.rank_prompt)),
     )
@@ -160,6 +162,7 @@ def briefing_inputs(
     countries: Sequence[str] | None = None,
     limit: int = LIMITS.briefing_articles,
     owner: str = "",
+    network: Sequence[offices.Office] = offices.OFFICES,
 ) -> DataFrame:
     """Per country the best-scored articles as one request: prompt, links and article count.
 
@@ -180,7 +183,7 @@ def briefing_inputs(
         F.array_sort(F.collect_list(F.struct("rn", bullet.alias("bullet"), "link"))).alias("items")
     )
     prompt = F.concat(
-        F.lit("국가: "), "cc", F.lit(" ("), offices.context_for(F.col("cc"), owner=owner), F.lit(")\n기사 목록:\n"),
+        F.lit("국가: "), "cc", F.lit(" ("), offices.context_for(F.col("cc"), network, owner), F.lit(")\n기사 목록:\n"),
         F.array_join(F.transform("items", lambda item: item["bullet"]), "\n"),
     )
     return listed.select(
