@@ -9,6 +9,7 @@ from difflib import SequenceMatcher
 import pytest
 from hypothesis import given, settings, strategies as st
 from pyspark import cloudpickle
+from pyspark.sql import functions as F
 
 from newsmart.config import Dedup
 from newsmart.functions import similarity
@@ -162,3 +163,21 @@ def test_workers_need_no_copy_of_the_package():
     pickled = cloudpickle.dumps(similarity.resolve)
     done = subprocess.run([sys.executable, "-c", code], input=pickled, capture_output=True, cwd="/", check=True)
     assert done.stdout.split() == [b"[-1", b"0]"]
+
+
+def test_new_articles_meet_the_stored_ones_of_their_blocks(spark):
+    day = dt.datetime(2024, 1, 5, 3)
+    rows = [
+        (1, "KR", 1, "Fed signals a rate hike", day, "passed", None),
+        (2, "KR", 1, "Bank of Japan holds rates", day, "passed", 9),
+        (3, "US", 1, "Fed signals a rate hike", day, "passed", None),
+        (10, "KR", 2, "Fed signals a rate hike!", day, "passed", None),
+        (11, "KR", 2, "", day, "passed", None),
+    ]
+    columns = "article_id long, primary_country_code string, tier int, title string, published_at timestamp,"
+    frame = spark.createDataFrame(rows, f"{columns} filter_decision string, duplicate_of long").withColumn(
+        "fetched_at", F.col("published_at")
+    )
+    fresh = spark.createDataFrame([(10,), (11,)], "article_id long")
+    marks = {r.article_id: r.duplicate_of for r in mark_duplicates(frame, touched_by=fresh).collect()}
+    assert marks == {1: None, 10: 1, 11: None}

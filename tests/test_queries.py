@@ -64,3 +64,14 @@ def test_chains(spark, duck):
     assert min(r.article_id for r in collected) > duck.execute("SELECT max(doc_id) FROM labels").fetchall()[0][0]
     briefed = QUERIES["enrich_chain_rows"](spark, FOLDER).collect()
     assert briefed and all(r.summary == "weekly" and 0 < r.article_count <= 25 for r in briefed)
+
+
+def test_collect_chain_goes_on_across_runs(spark):
+    """Two runs store and score what one run does."""
+    single = {r.content_hash: (r.filter_reason, r.filter_score) for r in QUERIES["collect_chain_rows"](spark, FOLDER).collect()}
+    rows = QUERIES["collect_chain_second_run"](spark, FOLDER).collect()
+    assert len({r.content_hash for r in rows}) == len({r.article_id for r in rows}) == len(rows)
+    assert {r.content_hash: (r.filter_reason, r.filter_score) for r in rows} == single
+    run = {r.article_id: r.run for r in rows}
+    assert set(run.values()) == {1, 2}
+    assert all(r.duplicate_of is None or r.duplicate_of in run for r in rows)
