@@ -316,6 +316,22 @@ SELECT count(*) AS feeds_total, count(*) FILTER (error IS NULL) AS feeds_ok,
        count(*) FILTER (error IS NOT NULL) AS feeds_failed,
        CAST(sum(new_articles) AS BIGINT) AS new_articles, CAST(sum(dup_articles) AS BIGINT) AS dup_articles
 FROM f_counts""")
+_oracle("sink_fetch_runs", ARTICLES, SOURCES, FEEDS, ENTRIES, INGEST, COUNTS, body="""
+SELECT CAST(run AS BIGINT) AS run_id, '2024-02-01 00:00:00' AS started_at, '2024-02-01 00:10:00' AS finished_at, t.*
+FROM (VALUES (1), (2)) r(run), (
+  SELECT count(*) AS feeds_total, count(*) FILTER (error IS NULL) AS feeds_ok,
+         count(*) FILTER (error IS NOT NULL) AS feeds_failed,
+         CAST(sum(new_articles) AS BIGINT) AS new_articles, CAST(sum(dup_articles) AS BIGINT) AS dup_articles
+  FROM f_counts) t""")
+_oracle("sink_articles", ARTICLES, body="""
+SELECT article_id, title,
+       CAST(CAST(coalesce(published_at, fetched_at) + INTERVAL 9 HOUR AS DATE) AS VARCHAR) AS art_date FROM f_articles""")
+_oracle("sink_report_csv", *MARKED, body=f"""
+SELECT *, {_pct('passed', 'total')} AS pass_rate
+FROM (SELECT primary_country_code AS country, count(*) AS total,
+             count(*) FILTER (filter_decision = 'passed') AS passed,
+             count(*) FILTER (filter_decision = 'rejected') AS rejected, count(duplicate_of) AS dups
+      FROM f_marked GROUP BY 1)""")
 _oracle("feed_health", SOURCES, FEEDS, ARTICLES, """f_latest AS (
   SELECT source_id * 2 AS feed_id, max(fetched_at) AS fetched, arg_max(article_id % 10, fetched_at) AS kind
   FROM f_articles GROUP BY 1)""", body=f"""

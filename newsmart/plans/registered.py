@@ -12,7 +12,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from newsmart.functions import offices, replies, taxonomy
+from newsmart.functions import offices, taxonomy
 from newsmart.functions import text as X
 from newsmart.operators import dedup, enrich, export, queues, reports
 from newsmart.operators import ingest as ingesting
@@ -22,6 +22,7 @@ from newsmart.operators.scoring import score_articles as score
 from newsmart.plans.jobs import collect_chain, enrich_chain
 from newsmart.session import checkpoint_dir, cut
 from newsmart.sources import sample_views as V
+from newsmart.sources import tables
 from newsmart.sources.payloads import parse_payloads
 from newsmart.streaming import incremental
 
@@ -574,11 +575,40 @@ def enrich_chain_second_run(spark, folder):
     return runs.select("run", "article_id", "decision", "reject_reason")
 
 
-# -- streaming -----------------------------------------------------------------------------------------------
+# -- sinks ---------------------------------------------------------------------------------------------------
 def _run_folder(spark) -> str:
     return f"{checkpoint_dir(spark)}/run-{uuid.uuid4().hex}"
 
 
+@query
+def sink_articles(spark, folder):
+    """Articles appended in two runs and read back, with the day of their partition."""
+    path, rows = f"{_run_folder(spark)}/articles", V.articles(spark, folder)
+    for rest in (0, 1):
+        tables.append_articles(rows.filter(F.col("article_id") % 2 == rest), path)
+    return spark.read.parquet(path).select("article_id", "title", F.col("art_date").cast("string").alias("art_date"))
+
+
+@query
+def sink_report_csv(spark, folder):
+    """The report by country written as CSV with a header and read back."""
+    path = f"{_run_folder(spark)}/report"
+    tables.write_report(reports.filter_by_country(_marked(spark, folder)), path, "csv")
+    schema = "country string, total bigint, passed bigint, rejected bigint, dups bigint, pass_rate string"
+    return spark.read.schema(schema).option("header", "true").csv(path)
+
+
+@query
+def sink_fetch_runs(spark, folder):
+    """Totals of two runs appended to the run table and read back."""
+    path, counts = f"{_run_folder(spark)}/runs", cut(_ingest_counts(spark, folder))
+    for run in (1, 2):
+        tables.append_run(ingesting.run_metrics(counts), path, run, "2024-02-01 00:00:00", "2024-02-01 00:10:00")
+    stored = tables.read_table(spark, path, "fetch_runs")
+    return stored.withColumns({"started_at": stamp("started_at"), "finished_at": stamp("finished_at")})
+
+
+# -- streaming -----------------------------------------------------------------------------------------------
 STREAM_FILES = 3
 
 
