@@ -38,8 +38,8 @@ class Repeats:
 
     length: int = 400
     gram: int = 48
-    shard: int = 1 << 20
-    runs_per_shard: int = 1500
+    shard: int = 1 << 19
+    runs_per_shard: int = 700
 
 
 PIECE = 1 << 20
@@ -319,7 +319,9 @@ def repeated_spans(docs: DataFrame, settings: Repeats = Repeats(), copies: str =
     anchors = runs.groupBy("anchor").agg(
         F.count("*").alias("times"), F.min("cover").alias("low"), F.max("cover").alias("high")
     ).where("times > 1")
-    repeated = stage(runs.join(anchors.select("anchor", F.expr("low <> high").alias("mixed")), "anchor"), "repeated")
+    # A stored side keeps the aggregate out of the join's stage, so that a hot anchor's rows can be split.
+    known = stage(anchors.select("anchor", F.expr("low <> high").alias("mixed")), "anchors")
+    repeated = stage(runs.join(known, "anchor"), "repeated")
     place = F.struct("id", "tag", "first", "last")
     kinds = repeated.groupBy("anchor", "cover", "mixed").agg(F.min(place).alias("least"), F.count("*").alias("times"))
     kinds = stage(kinds.select("anchor", "cover", "mixed", "times", "least.*"), "kinds")
@@ -335,8 +337,8 @@ def repeated_spans(docs: DataFrame, settings: Repeats = Repeats(), copies: str =
     strings = shared.select(
         "anchor", "cover", F.explode("strings").alias("s"), F.struct("id", "tag", F.col("first") + F.col("s.at")).alias("place")
     ).select("anchor", "cover", "s.*", "place")
-    known = strings.groupBy("anchor", "text").agg(F.count("*").alias("shards"), F.min("place").alias("least"))
-    crossing = strings.join(known.where("shards > 1"), ["anchor", "text"])
+    held = strings.groupBy("anchor", "text").agg(F.count("*").alias("shards"), F.min("place").alias("least"))
+    crossing = strings.join(held.where("shards > 1"), ["anchor", "text"])
     crossing = crossing if every else crossing.where("place <> least")
     crossed = crossing.groupBy("anchor", "cover").agg(F.flatten(F.collect_list(F.array("at", "at"))).alias("more"))
 
@@ -352,7 +354,7 @@ def repeated_spans(docs: DataFrame, settings: Repeats = Repeats(), copies: str =
             .otherwise(F.concat(F.coalesce("starts", none), F.coalesce("more", none))).alias("starts"),
         )
     )
-    where = repeated.join(found, ["anchor", "cover"])
+    where = repeated.join(stage(found, "found"), ["anchor", "cover"])
     first = F.struct("id", "tag", "first") == F.col("least")
     starts = F.col("starts") if every else F.when(first, F.col("starts")).otherwise(whole)
     marked = where.select("id", "tag", "first", starts.alias("starts")).where("size(starts) > 0")
