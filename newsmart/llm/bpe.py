@@ -26,10 +26,11 @@ from pyspark.sql import functions as F
 
 from newsmart.llm.tables import annotate, worker_state
 
-#: Pieces whose ids a worker remembers; beyond it the memory is emptied (results do not depend on it).
-REMEMBERED = 300_000
+#: Pieces whose ids a worker remembers from recent texts, and as many from those before; also pairs of tokens. Results do
+#: not depend on it.
+REMEMBERED = 80_000
 #: White space as the byte-level rule sees it (Unicode property White_Space). Fixed values.
-SPACES = "\t\n\x0b\x0c\r \x85\xa0                　"
+SPACES = "".join(map(chr, [*range(0x09, 0x0E), 0x20, 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000]))
 
 
 def _ranges(kind: str, last: int) -> str:
@@ -76,6 +77,21 @@ class Vocabulary:
         self.patterns = piece_pattern(0xFFFF), piece_pattern(sys.maxunicode)
 
 
+    def spelled(self) -> dict[int, bytes]:
+        """The bytes of every id, special tokens included."""
+        return self.tokens | {i: t.encode() for t, i in self.special.items()}
+
+
+def _ids(column: pa.Array, vocabulary: Vocabulary) -> pa.Array:
+    encoder = worker_state("bpe", vocabulary.key, lambda: Encoder(vocabulary))
+    return pa.array([encoder.encode(value.as_py() or "") for value in column], pa.large_binary())
+
+
+def _texts(column: pa.Array, spelled: dict[int, bytes]) -> pa.Array:
+    ids = (np.frombuffer(value.as_py() or b"", "<u4").tolist() for value in column)
+    return pa.array([b"".join(map(spelled.__getitem__, x)).decode("utf-8", "replace") for x in ids], pa.large_string())
+
+
 class Encoder(dict):
     """Ids of a piece (as little-endian 32-bit bytes) by the piece; computed where missing."""
 
@@ -87,7 +103,8 @@ class Encoder(dict):
         self.beyond = re.compile("[\U00010000-\U0010ffff]").search
         self.rank = {(x, y): n for n, (x, y, _) in enumerate(vocabulary.merges)}
         self.built = {m: (x, y, n) for n, (x, y, m) in enumerate(vocabulary.merges)}
-        self.fits: dict[tuple[int, int], bool] = {}
+        self.fits: dict[int, bool] = {}
+        self.before: dict[str, bytes] = {}
         self.borders: dict[int, tuple[list, list]] = {}
         self.suffixes = ahocorasick.Automaton()
         for token, raw in vocabulary.tokens.items():
@@ -124,6 +141,14 @@ class Encoder(dict):
         return True
 
     def __missing__(self, piece: str) -> bytes:
+        packed = self.before.get(piece) or self._packed(piece)
+        if len(self) >= REMEMBERED:
+            self.before = dict(self)
+            self.clear()
+        self[piece] = packed
+        return packed
+
+    def _packed(self, piece: str) -> bytes:
         text = piece.encode().decode("latin-1")
         last: list = [None] * (len(text) + 1)
         fits = self.fits
@@ -134,10 +159,10 @@ class Encoder(dict):
                 if not start:
                     last[end] = (0, token)
                 elif last[start] is not None:
-                    pair = (last[start][1], token)
+                    pair = (last[start][1] << 32) | token
                     good = fits.get(pair)
                     if good is None:
-                        good = fits[pair] = self._fit(*pair)
+                        good = fits[pair] = self._fit(last[start][1], token)
                     if good:
                         last[end] = (start, token)
         ids, at = [], len(text)
@@ -145,13 +170,9 @@ class Encoder(dict):
             at, token = last[at]
             ids.append(self.packed[token])
         ids.reverse()
-        packed = b"".join(ids)
-        if len(self) >= REMEMBERED:
-            self.clear()
-        if len(fits) >= 4 * REMEMBERED:
+        if len(fits) >= 2 * REMEMBERED:
             fits.clear()
-        self[piece] = packed
-        return packed
+        return b"".join(ids)
 
     def encode(self, text: str) -> bytes:
         find = self.full if self.beyond(text) else self.basic
@@ -172,8 +193,7 @@ def encode(docs: DataFrame, path: str, text: str = "text", keep: list[str] | Non
     vocabulary = Vocabulary(path)
 
     def ids(column: pa.Array) -> list[pa.Array]:
-        encoder = worker_state(f"bpe-{vocabulary.key}", lambda: Encoder(vocabulary))
-        return [pa.array([encoder.encode(value.as_py() or "") for value in column], pa.large_binary())]
+        return [_ids(column, vocabulary)]
 
     return annotate(docs, ids, "ids binary", text, keep)
 
@@ -184,14 +204,10 @@ def decode(encoded: DataFrame, path: str, ids: str = "ids", keep: list[str] | No
     Special tokens are spelled out. Bytes that are not UTF-8 become U+FFFD. NULL ids read as none: an empty text.
     """
     vocabulary = Vocabulary(path)
-    spelled = vocabulary.tokens | {i: t.encode() for t, i in vocabulary.special.items()}
+    spelled = vocabulary.spelled()
 
     def texts(column: pa.Array) -> list[pa.Array]:
-        whole = [
-            b"".join(map(spelled.__getitem__, np.frombuffer(value.as_py() or b"", "<u4").tolist())).decode("utf-8", "replace")
-            for value in column
-        ]
-        return [pa.array(whole, pa.large_string())]
+        return [_texts(column, spelled)]
 
     return annotate(encoded, texts, "text string", ids, keep)
 
@@ -202,9 +218,16 @@ def round_trip(docs: DataFrame, path: str) -> DataFrame:
     NULL texts count as empty: no tokens, digests of the empty value. Rows are independent, so repeated rows and
     doc_ids, NULL doc_ids and extra columns change nothing; an empty table gives no rows.
     """
-    encoded = encode(docs.select("doc_id", "text"), path, keep=["doc_id"]).select("row.doc_id", "found.ids")
-    decoded = decode(encoded, path).select("row.*", "found.text")
-    return decoded.select(
+    vocabulary = Vocabulary(path)
+
+    def both(column: pa.Array) -> list[pa.Array]:
+        spelled = worker_state("bpe", f"spelled-{vocabulary.key}", vocabulary.spelled)
+        ids = _ids(column, vocabulary)
+        return [ids, _texts(ids, spelled)]
+
+    # Both ways in one pass: the ids need not leave the task in between.
+    found = annotate(docs.select("doc_id", "text"), both, "ids binary, text string", "text", ["doc_id"])
+    return found.select("row.doc_id", "found.*").select(
         "doc_id",
         (F.octet_length("ids") / 4).cast("long").alias("n_tokens"),
         F.sha2("ids", 256).alias("ids_sha256"),

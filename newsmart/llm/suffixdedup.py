@@ -58,7 +58,7 @@ def gram_hashes(data: np.ndarray, gram: int) -> np.ndarray:
 
 def _powers(count: int) -> tuple[np.ndarray, np.ndarray]:
     size = max(1 << (count - 1).bit_length(), 1 << 16)
-    return worker_state(f"byte-powers-{size}", lambda: (A.powers(A.BASE, size), A.powers(A.INVERSE, size)))
+    return worker_state("arrays", f"byte-powers-{size}", lambda: (A.powers(A.BASE, size), A.powers(A.INVERSE, size)))
 
 
 def window_least(values: np.ndarray, width: int) -> np.ndarray:
@@ -132,7 +132,7 @@ def _runs(docs: DataFrame, settings: Repeats) -> DataFrame:
 
 # -- suffix arrays -------------------------------------------------------------------------------------
 def suffix_order(data: np.ndarray, depth: int) -> tuple[np.ndarray, np.ndarray]:
-    """(suffix array, rank) of byte codes (numbers below 2**16) compared as deep as ``depth``: equal so far, equal rank.
+    """(suffix array, rank) of codes below 2**17 - 1 compared as deep as ``depth``: equal so far, equal rank.
 
     Ranks of twice the depth come from pairs of ranks, starting with three codes at a time.
     """
@@ -297,13 +297,8 @@ def _blocks(kinds: DataFrame, texts: DataFrame, settings: Repeats) -> DataFrame:
 
 
 # -- the operator --------------------------------------------------------------------------------------
-def repeated_spans(docs: DataFrame, settings: Repeats = Repeats(), copies: str = "later") -> DataFrame:  # noqa: B008
-    """Columns of ``docs`` as ``row`` and ``found.spans``: the removed byte spans (from, to) in order, never touching.
-
-    ``docs`` has doc_id and text. Texts are taken in the order of doc_id (NULL first), texts of one doc_id in the order of a
-    hash; NULL and short texts have no spans. Rows equal in doc_id and text are two copies for ``copies="all"`` and one
-    document for ``copies="later"``. Extra columns stay in ``row`` and clash with nothing.
-    """
+def _removals(docs: DataFrame, settings: Repeats, copies: str) -> DataFrame:
+    """Columns of ``docs`` as ``row`` and the removed starts of its runs, as pairs of first and last start."""
     if copies not in ("later", "all"):
         raise ValueError("copies is 'later' or 'all'")
     small_batches(docs.sparkSession)
@@ -360,57 +355,80 @@ def repeated_spans(docs: DataFrame, settings: Repeats = Repeats(), copies: str =
     marked = where.select("id", "tag", "first", starts.alias("starts")).where("size(starts) > 0")
     by_text = marked.groupBy("id", "tag").agg(F.collect_list(F.struct("first", "starts")).alias("removed"))
 
+    return keyed.join(by_text, ["id", "tag"], "left").select("row", "removed")
+
+
+def _spans(removed: list[dict] | None, length: int) -> list[list[int]]:
+    """Byte spans that the strings at the removed starts cover, in order, joined where they touch."""
+    starts = sorted(
+        (r["first"] + a, r["first"] + b) for r in removed or [] for a, b in zip(r["starts"][::2], r["starts"][1::2], strict=True)
+    )
+    spans: list[list[int]] = []
+    for a, b in starts:
+        if spans and a <= spans[-1][1]:
+            spans[-1][1] = max(spans[-1][1], b + length)
+        else:
+            spans.append([a, b + length])
+    return spans
+
+
+SPAN = pa.list_(pa.struct([("from", pa.int64()), ("to", pa.int64())]))
+
+
+def repeated_spans(docs: DataFrame, settings: Repeats = Repeats(), copies: str = "later") -> DataFrame:  # noqa: B008
+    """Columns of ``docs`` as ``row`` and ``found.spans``: the removed byte spans (from, to) in order, never touching.
+
+    ``docs`` has doc_id and text. Texts are taken in the order of doc_id (NULL first), texts of one doc_id in the order of a
+    hash; NULL and short texts have no spans. Rows equal in doc_id and text are two copies for ``copies="all"`` and one
+    document for ``copies="later"``. Extra columns stay in ``row`` and clash with nothing.
+    """
     def spans(column: pa.Array) -> list[pa.Array]:
-        out = []
-        for removed in column.to_pylist():
-            starts = sorted(
-                (r["first"] + a, r["first"] + b)
-                for r in removed or []
-                for a, b in zip(r["starts"][::2], r["starts"][1::2], strict=True)
-            )
-            merged: list[list[int]] = []
-            for a, b in starts:
-                if merged and a <= merged[-1][1]:
-                    merged[-1][1] = max(merged[-1][1], b + settings.length)
-                else:
-                    merged.append([a, b + settings.length])
-            out.append([{"from": a, "to": b} for a, b in merged])
-        return [pa.array(out, pa.list_(pa.struct([("from", pa.int64()), ("to", pa.int64())])))]
-
-    joined = keyed.join(by_text, ["id", "tag"], "left").select("row", "removed")
+        found = [_spans(removed, settings.length) for removed in column.to_pylist()]
+        return [pa.array([[{"from": a, "to": b} for a, b in x] for x in found], SPAN)]
+
+    joined = _removals(docs, settings, copies)
     done = annotate(joined, spans, "spans array<struct<`from`: long, `to`: long>>", "removed", ["row"])
     return done.select("row.row", "found")
 
 
-KEPT = "text string, n_bytes long, n_removed long, kept_sha256 string"
+KEPT = "text string, n_bytes long, n_removed long, n_spans long, kept_sha256 string"
 
 
-def _kept(column: pa.Array) -> list[pa.Array]:
-    """What is left of every text, as text too (a character cut in two leaves U+FFFD)."""
-    texts = A.Texts.of(column.field("row").field("text"))
-    left, sizes, gone, digests = [], [], [], []
-    for i, spans in enumerate(column.field("found").field("spans").to_pylist()):
-        data = texts.one(i).tobytes()
-        at, parts = 0, []
-        for span in spans:
-            parts.append(data[at : span["from"]])
-            at = span["to"]
-        rest = b"".join([*parts, data[at:]])
-        left.append(rest.decode("utf-8", "replace") if spans else None)
-        sizes.append(len(data))
-        gone.append(len(data) - len(rest))
-        digests.append(hashlib.sha256(rest).hexdigest())
-    return [pa.array(left, pa.large_string()), *(pa.array(x, pa.int64()) for x in (sizes, gone)), pa.array(digests, pa.string())]
+def _kept(docs: DataFrame, settings: Repeats, copies: str, keep: list[str] | None = None) -> DataFrame:
+    """``docs`` as ``row`` and what is left of every text as ``found``; its text is NULL where nothing is removed.
+
+    A character cut in two leaves U+FFFD in the text.
+    """
+    length = settings.length
+
+    def cut(column: pa.Array) -> list[pa.Array]:
+        texts = A.Texts.of(column.field("text"))
+        left, sizes, gone, counts, digests = [], [], [], [], []
+        for i, removed in enumerate(column.field("removed").to_pylist()):
+            data, at, parts = texts.one(i).tobytes(), 0, []
+            spans = _spans(removed, length)
+            for first, last in spans:
+                parts.append(data[at:first])
+                at = last
+            rest = b"".join([*parts, data[at:]])
+            left.append(rest.decode("utf-8", "replace") if spans else None)
+            sizes.append(len(data))
+            gone.append(len(data) - len(rest))
+            counts.append(len(spans))
+            digests.append(hashlib.sha256(rest).hexdigest())
+        numbers = [pa.array(x, pa.int64()) for x in (sizes, gone, counts)]
+        return [pa.array(left, pa.large_string()), *numbers, pa.array(digests, pa.string())]
+
+    joined = _removals(docs, settings, copies)
+    kept = F.struct(*[F.col(f"row.`{name}`").alias(name) for name in keep]) if keep else F.col("row")
+    both = joined.select(kept.alias("row"), F.struct(F.col("row.text").alias("text"), "removed").alias("x"))
+    return annotate(both, cut, KEPT, "x", ["row"]).select("row.row", "found")
 
 
 def removed(docs: DataFrame, settings: Repeats = Repeats(), copies: str = "all") -> DataFrame:  # noqa: B008
     """(doc_id, n_bytes, n_removed, n_spans, kept_sha256) of every row of ``docs``; see ``repeated_spans``."""
-    found = repeated_spans(docs.select("doc_id", "text"), settings, copies)
-    both = annotate(found.select(F.struct("row", "found").alias("x")), _kept, KEPT, "x")
-    return both.select(
-        "row.x.row.doc_id", "found.n_bytes", "found.n_removed",
-        F.size("row.x.found.spans").cast("long").alias("n_spans"), "found.kept_sha256",
-    )
+    found = _kept(docs.select("doc_id", "text"), settings, copies, ["doc_id"])
+    return found.select("row.doc_id", "found.n_bytes", "found.n_removed", "found.n_spans", "found.kept_sha256")
 
 
 def without_repeats(docs: DataFrame, settings: Repeats = Repeats(), copies: str = "later") -> DataFrame:  # noqa: B008
@@ -418,13 +436,11 @@ def without_repeats(docs: DataFrame, settings: Repeats = Repeats(), copies: str
 
     Texts without a span stay as they are; rows whose whole text goes stay with an empty text.
     """
-    found = repeated_spans(docs, settings, copies)
-    both = annotate(found.select(F.struct("row", "found").alias("x")), _kept, KEPT, "x")
-    text = F.coalesce("found.text", "row.x.row.text")
+    found = _kept(docs, settings, copies)
     columns = [
-        text.alias(name) if name == "text"
-        else F.coalesce(F.length("found.text").cast("long"), F.col("row.x.row.n_chars")).alias(name) if name == "n_chars"
-        else F.col(f"row.x.row.`{name}`")
+        F.coalesce("found.text", "row.text").alias(name) if name == "text"
+        else F.coalesce(F.length("found.text").cast("long"), F.col("row.n_chars")).alias(name) if name == "n_chars"
+        else F.col(f"row.`{name}`")
         for name in docs.columns
     ]
-    return both.select(*columns)
+    return found.select(*columns)

@@ -42,9 +42,15 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def worker_state(key: str, build: Callable[[], Any]) -> Any:
-    """What a Python worker keeps between its tasks (functions travel by value, so globals do not last)."""
-    state = sys.modules.setdefault("newsmart_worker_state", types.ModuleType("newsmart_worker_state")).__dict__
+def worker_state(kind: str, key: str, build: Callable[[], Any]) -> Any:
+    """What a Python worker keeps between its tasks (functions travel by value, so globals do not last).
+
+    Only one kind is kept: a worker that goes on with another operator frees what the last one needed.
+    """
+    held = sys.modules.setdefault("newsmart_worker_state", types.ModuleType("newsmart_worker_state")).__dict__
+    if held.get("kind") != kind:
+        held["kind"], held["state"] = kind, {}
+    state = held["state"]
     if key not in state:
         state[key] = build()
     return state[key]

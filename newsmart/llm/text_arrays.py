@@ -101,7 +101,7 @@ def words(texts: Texts, word_bytes: np.ndarray, values: np.ndarray = LOWER) -> W
 
 
 def _words(texts: Texts, word_bytes: np.ndarray, values: np.ndarray) -> Words:
-    up, down = worker_state("powers", lambda: (powers(BASE, SLICE + 1), powers(INVERSE, SLICE + 1)))
+    up, down = worker_state("arrays", "powers", lambda: (powers(BASE, SLICE + 1), powers(INVERSE, SLICE + 1)))
     size = len(texts.data)
     opens = np.zeros(size + 1, bool)
     opens[texts.bounds] = True

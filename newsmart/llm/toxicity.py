@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import math
 import re
+import uuid
 from collections import Counter
 from dataclasses import dataclass
 
@@ -21,7 +22,7 @@ from pyspark.ml.regression import IsotonicRegression
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from newsmart.llm.tables import annotate, small_batches, stage
+from newsmart.llm.tables import annotate, small_batches, stage, worker_state
 
 
 @dataclass(frozen=True)
@@ -79,7 +80,7 @@ class Lexicon(dict):
         found = self.words.get(word)
         if found is None:
             found = -max((self.starts.get(word[:n], 0.0) for n in self.lengths), default=0.0)
-        if len(self) > 500_000:
+        if len(self) > 60_000:
             self.clear()
         self[word] = found
         return found
@@ -222,10 +223,10 @@ def _fields() -> str:
 
 
 def _reader(model: Model):
-    words, starts, settings = model.words, model.starts, model.settings
+    words, starts, settings, key = model.words, model.starts, model.settings, uuid.uuid4().hex
 
     def read(column: pa.Array) -> list[pa.Array]:
-        lexicon = Lexicon(words, starts, settings.beginnings)
+        lexicon = worker_state("toxicity", key, lambda: Lexicon(words, starts, settings.beginnings))
         values = np.array([features(t.as_py() or "", lexicon, settings.near) for t in column], float)
         offsets = np.arange(len(column) + 1, dtype=np.int32) * len(FEATURES)
         return [pa.ListArray.from_arrays(pa.array(offsets), pa.array(values.ravel(), pa.float64()))]

@@ -138,7 +138,7 @@ def judge(pages: DataFrame, rules: DataFrame | Iterable[tuple[str, str, str]], o
     name = write_index(pages.sparkSession, rules)
 
     def look(column: pa.Array) -> list[pa.Array]:
-        index = worker_state(name, lambda: Index(SparkFiles.get(name)))
+        index = worker_state("urls", name, lambda: Index(SparkFiles.get(name)))
         parts = [host_and_path(url) for url in column.to_pylist()]
         pairs = [_candidates(host, path, index.lengths) for host, path in parts]
         found = index.find([_key(*p) for ps in pairs for p in ps])
