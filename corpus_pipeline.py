@@ -29,8 +29,9 @@ def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
 
 def cut_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Strings of 400 bytes and more that an earlier document or place has are cut out of the text."""
-    return suffixdedup.without_repeats(docs)
+    """Passages of 51 words and more, and strings of 400 bytes and more, that an earlier document or place has are cut out
+    of the text."""
+    return suffixdedup.without_repeats(docs, (suffixdedup.PASSAGES, suffixdedup.Repeats()))
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

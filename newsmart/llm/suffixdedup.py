@@ -14,12 +14,16 @@ so a text falls into runs of starts with one anchor, about 2 / (length - gram) o
 4. Removed starts become byte spans of their texts.
 
 ``copies="later"`` removes copies of an earlier string and keeps the first; ``copies="all"`` removes the first one too.
+With ``words`` the same is done over the words of the texts, as 64-bit hashes, instead of their bytes. Several settings
+may be given at once: each looks at the whole texts, and what any of them finds goes.
 """
 
 from __future__ import annotations
 
 import hashlib
+from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -34,20 +38,42 @@ from newsmart.llm.tables import annotate, small_batches, stage, whole_groups, wo
 @dataclass(frozen=True)
 class Repeats:
     """``length`` bytes make a repeated string; ``gram`` bytes are hashed for anchors. ``shard`` bounds the bytes under
-    one suffix array, ``runs_per_shard`` the runs of one anchor in it."""
+    one suffix array, ``runs_per_shard`` the runs of one anchor in it. With ``words`` all of them count words
+    (``[^\\x20\\x09-\\x0D]+`` as they are written) instead of bytes."""
 
     length: int = 400
     gram: int = 48
     shard: int = 1 << 19
     runs_per_shard: int = 700
+    words: bool = False
 
 
+#: Passages of over fifty words, however short the words are.
+PASSAGES = Repeats(length=51, gram=8, shard=1 << 16, words=True)
+
 PIECE = 1 << 20
+WORD_PIECE = 2 << 20
+AS_WRITTEN = np.arange(256, dtype=np.uint8)
+
+
+# -- units ---------------------------------------------------------------------------------------------
+def _units(texts: A.Texts, settings: Repeats) -> Iterator[np.ndarray]:
+    """The bytes of every text, or the hashes of its words."""
+    if not settings.words:
+        yield from (texts.one(i) for i in range(len(texts)))
+        return
+    for _, piece in texts.pieces(WORD_PIECE):
+        found = A.words(piece, A.NOT_SPACE, AS_WRITTEN)
+        yield from (found.hashes[a:b] for a, b in zip(found.bounds[:-1].tolist(), found.bounds[1:].tolist(), strict=True))
+
+
+def _unit_type(settings: Repeats) -> np.dtype:
+    return np.dtype(np.uint64 if settings.words else np.uint8)
 
 
 # -- anchors -------------------------------------------------------------------------------------------
 def gram_hashes(data: np.ndarray, gram: int) -> np.ndarray:
-    """A mixed hash of every ``gram`` bytes."""
+    """A mixed hash of every ``gram`` bytes or words."""
     n = len(data) - gram + 1
     up, down = _powers(len(data) + 1)
     sums = np.empty(len(data) + 1, np.uint64)
@@ -111,8 +137,7 @@ def _runs(docs: DataFrame, settings: Repeats) -> DataFrame:
         texts = A.Texts.of(column)
         counts, parts = [], []
         with np.errstate(over="ignore"):
-            for i in range(len(texts)):
-                data = texts.one(i)
+            for data in _units(texts, settings):
                 firsts, lasts, anchors = anchored_runs(data, settings)
                 counts.append(len(firsts))
                 if len(firsts):
@@ -132,7 +157,7 @@ def _runs(docs: DataFrame, settings: Repeats) -> DataFrame:
 
 # -- suffix arrays -------------------------------------------------------------------------------------
 def suffix_order(data: np.ndarray, depth: int) -> tuple[np.ndarray, np.ndarray]:
-    """(suffix array, rank) of codes below 2**17 - 1 compared as deep as ``depth``: equal so far, equal rank.
+    """(suffix array, rank) of codes below 2**21 - 1 compared as deep as ``depth``: equal so far, equal rank.
 
     Ranks of twice the depth come from pairs of ranks, starting with three codes at a time.
     """
@@ -142,7 +167,7 @@ def suffix_order(data: np.ndarray, depth: int) -> tuple[np.ndarray, np.ndarray]:
     key = padded[:n]
     reach = min(3, depth)
     for i in range(1, reach):
-        key = key * (1 << 17) + padded[i : n + i]
+        key = key * (1 << 21) + padded[i : n + i]
     order, rank = _ranked(key, reach >= depth)
     while reach < depth:
         step = min(reach, depth - reach)
@@ -218,11 +243,12 @@ def _factors(blocks: DataFrame, settings: Repeats) -> DataFrame:
     Starts are counted from the block's first. Blocks of an anchor dealt to several shards also return a digest of every
     string without an earlier copy in its shard.
     """
-    length = settings.length
+    length, unit = settings.length, _unit_type(settings)
+    width = unit.itemsize
 
     def search(batches):
         for table in whole_groups(batches, ["anchor", "salt"]):
-            sizes = np.array([len(x) for x in table.column("bytes").to_pylist()])
+            sizes = np.array([len(x) // width for x in table.column("bytes").to_pylist()])
             edges = np.append(np.flatnonzero(table.column("edge").to_numpy()), len(table))
             groups = np.add.reduceat(sizes + 1, edges[:-1])
             first = 0
@@ -240,23 +266,27 @@ def _factors(blocks: DataFrame, settings: Repeats) -> DataFrame:
         table = table.sort_by([(name, "ascending") for name in ("id", "tag", "first")])
         raw = table.column("bytes").to_pylist()
         shared = [p > 1 for p in table.column("parts").to_pylist()]
-        sizes = np.array([len(x) for x in raw])
+        sizes = np.array([len(x) // width for x in raw])
         begins = np.concatenate([[0], np.cumsum(sizes + 1)])
         data = np.zeros(begins[-1], np.int64)
         starts = np.zeros(begins[-1], bool)
-        for i, (x, at) in enumerate(zip(raw, begins.tolist(), strict=False)):
-            data[at : at + len(x)] = np.frombuffer(x, np.uint8)
-            data[at + len(x)] = 256 + i % 60000  # ends a block
-            starts[at : at + len(x) - length + 1] = True
+        codes, end = np.frombuffer(b"".join(raw), unit), 256
+        if settings.words:
+            known, codes = np.unique(codes, return_inverse=True)
+            end = len(known)
+        for i, (size, at) in enumerate(zip(sizes.tolist(), begins.tolist(), strict=False)):
+            data[at : at + size] = codes[at - i : at - i + size]
+            data[at + size] = end + i % 60000  # ends a block
+            starts[at : at + size - length + 1] = True
         order, rank = suffix_order(data, length)
         before, beside = earlier_copies(order, rank, starts)
         later, either, strings = [], [], []
         for i, at in enumerate(begins[:-1].tolist()):
-            count = len(raw[i]) - length + 1
+            count = int(sizes[i]) - length + 1
             later.append(_intervals(before[at : at + count]))
             either.append(_intervals(beside[at : at + count]))
             fresh = np.flatnonzero(~before[at : at + count]).tolist() if shared[i] else []
-            strings.append([{"at": s, "text": xxhash.xxh3_128_digest(raw[i][s : s + length])} for s in fresh])
+            strings.append([{"at": s, "text": xxhash.xxh3_128_digest(raw[i][s * width : (s + length) * width])} for s in fresh])
         return pa.RecordBatch.from_arrays(
             [
                 table.column("anchor").combine_chunks(), table.column("cover").combine_chunks(),
@@ -281,9 +311,10 @@ def _blocks(kinds: DataFrame, texts: DataFrame, settings: Repeats) -> DataFrame:
     def cut(batches):
         for batch in batches:
             raw = []
-            for text, runs in zip(batch.column("text"), batch.column("runs").to_pylist(), strict=True):
-                data = text.as_py().encode()
-                raw.append([data[r["first"] : r["last"] + length] for r in runs])
+            with np.errstate(over="ignore"):
+                units = _units(A.Texts.of(batch.column("text")), settings)
+                for data, runs in zip(units, batch.column("runs").to_pylist(), strict=True):
+                    raw.append([data[r["first"] : r["last"] + length].tobytes() for r in runs])
             yield pa.RecordBatch.from_arrays(
                 [batch.column("id"), batch.column("tag"), batch.column("runs"), pa.array(raw, slices)],
                 ["id", "tag", "runs", "raw"],
@@ -297,19 +328,31 @@ def _blocks(kinds: DataFrame, texts: DataFrame, settings: Repeats) -> DataFrame:
 
 
 # -- the operator --------------------------------------------------------------------------------------
-def _removals(docs: DataFrame, settings: Repeats, copies: str) -> DataFrame:
-    """Columns of ``docs`` as ``row`` and the removed starts of its runs, as pairs of first and last start."""
+def _removals(docs: DataFrame, settings: tuple[Repeats, ...], copies: str) -> DataFrame:
+    """Columns of ``docs`` as ``row`` and the removed starts of its runs, as pairs of first and last start.
+
+    ``kind`` is the number of the settings that a run belongs to.
+    """
     if copies not in ("later", "all"):
         raise ValueError("copies is 'later' or 'all'")
     small_batches(docs.sparkSession)
-    every = copies == "all"
     keyed = docs.select(F.struct("*").alias("row")).select(
         "row",
         F.coalesce(F.col("row.doc_id").cast("long"), F.lit(-(1 << 63))).alias("id"),
         F.xxhash64("row.text").alias("tag"),
     )
     texts = keyed.select("id", "tag", F.col("row.text").alias("text"))
-    runs = stage(_runs(texts.where(f"octet_length(text) >= {settings.length}"), settings), "runs")
+    marked = [_marked(texts, one, copies == "all").select(F.lit(kind).alias("kind"), "*") for kind, one in enumerate(settings)]
+    together = reduce(DataFrame.unionAll, marked)
+    by_text = together.groupBy("id", "tag").agg(F.collect_list(F.struct("kind", "first", "starts")).alias("removed"))
+
+    return keyed.join(by_text, ["id", "tag"], "left").select("row", "removed")
+
+
+def _marked(texts: DataFrame, settings: Repeats, every: bool) -> DataFrame:
+    """(id, tag, first, starts) of the runs of ``texts`` (id, tag, text) that have starts to remove."""
+    least = 2 * settings.length - 1 if settings.words else settings.length
+    runs = stage(_runs(texts.where(f"octet_length(text) >= {least}"), settings), "runs")
 
     anchors = runs.groupBy("anchor").agg(
         F.count("*").alias("times"), F.min("cover").alias("low"), F.max("cover").alias("high")
@@ -352,61 +395,74 @@ def _removals(docs: DataFrame, settings: Repeats, copies: str) -> DataFrame:
     where = repeated.join(stage(found, "found"), ["anchor", "cover"])
     first = F.struct("id", "tag", "first") == F.col("least")
     starts = F.col("starts") if every else F.when(first, F.col("starts")).otherwise(whole)
-    marked = where.select("id", "tag", "first", starts.alias("starts")).where("size(starts) > 0")
-    by_text = marked.groupBy("id", "tag").agg(F.collect_list(F.struct("first", "starts")).alias("removed"))
+    return where.select("id", "tag", "first", starts.alias("starts")).where("size(starts) > 0")
 
-    return keyed.join(by_text, ["id", "tag"], "left").select("row", "removed")
 
+def _spans(removed: list[dict] | None, data: np.ndarray, settings: tuple[Repeats, ...]) -> list[list[int]]:
+    """Byte spans that the strings at the removed starts cover, in order, joined where they touch.
 
-def _spans(removed: list[dict] | None, length: int) -> list[list[int]]:
-    """Byte spans that the strings at the removed starts cover, in order, joined where they touch."""
-    starts = sorted(
-        (r["first"] + a, r["first"] + b) for r in removed or [] for a, b in zip(r["starts"][::2], r["starts"][1::2], strict=True)
-    )
+    ``data`` has the bytes of the text; spans of words go from the first byte of the first one to the end of the last.
+    """
+    covered: list[tuple[int, int]] = []
+    words = None
+    for r in removed or []:
+        length = settings[r["kind"]].length
+        for a, b in zip(r["starts"][::2], r["starts"][1::2], strict=True):
+            low, high = r["first"] + a, r["first"] + b + length
+            if settings[r["kind"]].words:
+                words = words or A.words(A.Texts(data, np.array([0, len(data)])), A.NOT_SPACE, AS_WRITTEN)
+                low, high = int(words.starts[low]), int(words.ends[high - 1])
+            covered.append((low, high))
     spans: list[list[int]] = []
-    for a, b in starts:
-        if spans and a <= spans[-1][1]:
-            spans[-1][1] = max(spans[-1][1], b + length)
+    for low, high in sorted(covered):
+        if spans and low <= spans[-1][1]:
+            spans[-1][1] = max(spans[-1][1], high)
         else:
-            spans.append([a, b + length])
+            spans.append([low, high])
     return spans
 
 
 SPAN = pa.list_(pa.struct([("from", pa.int64()), ("to", pa.int64())]))
 
 
-def repeated_spans(docs: DataFrame, settings: Repeats = Repeats(), copies: str = "later") -> DataFrame:  # noqa: B008
+def _several(settings: Repeats | tuple[Repeats, ...]) -> tuple[Repeats, ...]:
+    return (settings,) if isinstance(settings, Repeats) else tuple(settings)
+
+
+def repeated_spans(docs: DataFrame, settings: Repeats | tuple[Repeats, ...] = Repeats(), copies: str = "later") -> DataFrame:  # noqa: B008
     """Columns of ``docs`` as ``row`` and ``found.spans``: the removed byte spans (from, to) in order, never touching.
 
     ``docs`` has doc_id and text. Texts are taken in the order of doc_id (NULL first), texts of one doc_id in the order of a
     hash; NULL and short texts have no spans. Rows equal in doc_id and text are two copies for ``copies="all"`` and one
     document for ``copies="later"``. Extra columns stay in ``row`` and clash with nothing.
     """
+    every = _several(settings)
+
     def spans(column: pa.Array) -> list[pa.Array]:
-        found = [_spans(removed, settings.length) for removed in column.to_pylist()]
+        texts = A.Texts.of(column.field("text"))
+        found = [_spans(removed, texts.one(i), every) for i, removed in enumerate(column.field("removed").to_pylist())]
         return [pa.array([[{"from": a, "to": b} for a, b in x] for x in found], SPAN)]
 
-    joined = _removals(docs, settings, copies)
-    done = annotate(joined, spans, "spans array<struct<`from`: long, `to`: long>>", "removed", ["row"])
+    joined = _removals(docs, every, copies)
+    both = joined.select("row", F.struct(F.col("row.text").alias("text"), "removed").alias("x"))
+    done = annotate(both, spans, "spans array<struct<`from`: long, `to`: long>>", "x", ["row"])
     return done.select("row.row", "found")
 
 
 KEPT = "text string, n_bytes long, n_removed long, n_spans long, kept_sha256 string"
 
 
-def _kept(docs: DataFrame, settings: Repeats, copies: str, keep: list[str] | None = None) -> DataFrame:
+def _kept(docs: DataFrame, settings: tuple[Repeats, ...], copies: str, keep: list[str] | None = None) -> DataFrame:
     """``docs`` as ``row`` and what is left of every text as ``found``; its text is NULL where nothing is removed.
 
     A character cut in two leaves U+FFFD in the text.
     """
-    length = settings.length
-
     def cut(column: pa.Array) -> list[pa.Array]:
         texts = A.Texts.of(column.field("text"))
         left, sizes, gone, counts, digests = [], [], [], [], []
         for i, removed in enumerate(column.field("removed").to_pylist()):
             data, at, parts = texts.one(i).tobytes(), 0, []
-            spans = _spans(removed, length)
+            spans = _spans(removed, texts.one(i), settings)
             for first, last in spans:
                 parts.append(data[at:first])
                 at = last
@@ -425,18 +481,22 @@ def _kept(docs: DataFrame, settings: Repeats, copies: str, keep: list[str] | Non
     return annotate(both, cut, KEPT, "x", ["row"]).select("row.row", "found")
 
 
-def removed(docs: DataFrame, settings: Repeats = Repeats(), copies: str = "all") -> DataFrame:  # noqa: B008
+def removed(docs: DataFrame, settings: Repeats | tuple[Repeats, ...] = Repeats(), copies: str = "all") -> DataFrame:  # noqa: B008
     """(doc_id, n_bytes, n_removed, n_spans, kept_sha256) of every row of ``docs``; see ``repeated_spans``."""
-    found = _kept(docs.select("doc_id", "text"), settings, copies, ["doc_id"])
+    found = _kept(docs.select("doc_id", "text"), _several(settings), copies, ["doc_id"])
     return found.select("row.doc_id", "found.n_bytes", "found.n_removed", "found.n_spans", "found.kept_sha256")
 
 
-def without_repeats(docs: DataFrame, settings: Repeats = Repeats(), copies: str = "later") -> DataFrame:  # noqa: B008
+def without_repeats(
+    docs: DataFrame,
+    settings: Repeats | tuple[Repeats, ...] = Repeats(),  # noqa: B008
+    copies: str = "later",
+) -> DataFrame:
     """``docs`` with the repeated strings cut out of ``text`` and ``n_chars`` (if there) counted anew.
 
     Texts without a span stay as they are; rows whose whole text goes stay with an empty text.
     """
-    found = _kept(docs, settings, copies)
+    found = _kept(docs, _several(settings), copies)
     columns = [
         F.coalesce("found.text", "row.text").alias(name) if name == "text"
         else F.coalesce(F.length("found.text").cast("long"), F.col("row.n_chars")).alias(name) if name == "n_chars"
