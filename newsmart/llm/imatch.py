@@ -125,15 +125,23 @@ def edited(text: str, following: str) -> str:
 def _in_order(docs: DataFrame) -> DataFrame:
     """Rows (key, doc_id, text, halo) in partitions by descending key; the halo row at a partition's end is what follows it.
 
-    Partition bounds are doc_ids found by one approximate percentile aggregate, so that each bound is the first row of its
+    An approximate percentile aggregate cuts the ids into ranges. It counts in doubles, which do not hold every 64-bit id, so
+    the bounds are the greatest ids that a second aggregate finds in each range: each bound is the first row of its
     partition; it is also sent to the partition before it, and the very first one to the last partition.
     """
     spark = docs.sparkSession
     keyed = docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(-(1 << 63))).alias("key"), "doc_id", "text")
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
     shares = F.array(*[F.lit((n + 1) / parts) for n in range(parts)])
-    told = keyed.agg(F.percentile_approx("key", shares, F.lit(max(20 * parts, 10_000))).alias("cuts"), F.max("key").alias("top")).first()
-    bounds = sorted({*(told["cuts"] or []), *([] if told["top"] is None else [told["top"]])})
+    cuts = keyed.agg(F.percentile_approx("key", shares, F.lit(max(20 * parts, 10_000))).alias("cuts")).first()["cuts"]
+    ends = np.unique(np.array(cuts or [], np.int64))
+
+    @F.pandas_udf("int")
+    def ranges(keys: pd.Series) -> pd.Series:
+        return pd.Series(np.searchsorted(ends, keys.to_numpy(np.int64)).astype(np.int32))
+
+    tops = keyed.select("key", ranges("key").alias("range")).groupBy("range").agg(F.max("key").alias("top"))
+    bounds = sorted(row["top"] for row in tops.collect())
 
     @F.pandas_udf("array<struct<part: int, halo: boolean>>")
     def places(keys: pd.Series) -> pd.Series:
