@@ -3,9 +3,10 @@
 A page is cut into blocks of text (block-level elements end a block). The blocks of one root-to-leaf tag path (tags with their
 classes) are aggregated: text per block, punctuation per block, and how both vary. The ratios are fused to one value per path,
 lowered for paths full of links, smoothed over the neighbouring blocks of the page, and compared with a threshold derived from the page's
-own values. The paths above it are content. Elements that are never article text (scripts, menus, forms, footers and the
-like, by tag or by the words in class, id and role) are taken out first, and the content is completed with the other blocks
-of its container (headings and short paragraphs belong to an article whatever their ratio is).
+own values. The paths above it are content. Elements that are never article text (scripts, menus, footers and the like, by
+tag) are taken out first, and so are forms and elements that a whole class, id or role names as something else, unless they
+hold most of the page: then the ratio decides. The content is completed with the other blocks of its container (headings
+and short paragraphs belong to an article whatever their ratio is).
 
 Pages are independent, so the work is one pass without a shuffle.
 """
@@ -43,7 +44,8 @@ INLINE = frozenset(
     "a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd label mark q rp rt ruby s samp small span "
     "strike strong sub sup time tt u var wbr".split()
 )
-NEVER = frozenset("head nav footer aside form button select option textarea dialog menu datalist fieldset audio video".split())
+NEVER = frozenset("head nav footer aside button select option textarea dialog menu datalist audio video".split())
+FORMS = frozenset(["form", "fieldset"])
 CLOSES_P = frozenset(
     "address article aside blockquote details div dl fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 header hr main "
     "menu nav ol p pre section table ul".split()
@@ -54,14 +56,20 @@ CLOSED_BY = {
     "tbody": frozenset(["tr", "td", "th", "thead", "tbody"]), "body": frozenset(["head"]),
 }
 SCOPES = frozenset("ul ol dl table div section article main body html".split())
-BOILERPLATE = re.compile(
-    r"(?:^|[\s_-])(?:ads?|adverts?|advertisements?|advertising|banners?|sponsor(?:ed|s)?|promos?|promotions?|cookies?|consent|gdpr|"
+_NAMED = (
+    r"(?:ads?|adverts?|advertisements?|advertising|banners?|sponsor(?:ed|s)?|promos?|promotions?|cookies?|consent|gdpr|"
     r"notices?|alerts?|newsletters?|subscri(?:be|ption)s?|signup|sign-up|paywall|sidebars?|side-bar|widgets?|menus?|nav|navbar|"
     r"navigation|breadcrumbs?|crumbs?|footers?|foot|masthead|site-header|page-header|topbar|toolbar|comments?|"
     r"commentlist|replies|respond|disqus|social|shar(?:e|ing)|related|recommended|recommendations?|popups?|modals?|overlay|"
-    r"login|search|pagination|pager|tags?|tagcloud|skip-link|hidden|complementary|contentinfo|dialog)(?:$|[\s_-])",
-    re.IGNORECASE,
+    r"login|search|pagination|pager|tags?|tagcloud|skip-link|hidden|complementary|contentinfo|dialog)"
 )
+# Words that may stand beside those in one name: a "comment-list" is named by it, a "with-sidebar" or "nav-fixed" is not.
+_BESIDE = (
+    r"(?:lists?|items?|box(?:es)?|blocks?|bars?|areas?|sections?|containers?|wrap(?:per)?|inner|outer|panels?|units?|slots?|links?|"
+    r"buttons?|icons?|titles?|posts?|articles?|stories|news|media|forms?|top|bottom|left|right|primary|secondary|main|site|page|"
+    r"global|user|author|text|content|header|\d+)"
+)
+BOILERPLATE = re.compile(rf"(?:{_BESIDE}[_-]+)*{_NAMED}(?:[_-]+(?:{_NAMED}|{_BESIDE}))*", re.IGNORECASE)
 CONTENT = frozenset(["article", "main"])
 CONTENT_WORDS = re.compile(r"(?:^|[\s_-])(?:article(?:-?body|-?content|-?text)?|post-?(?:body|content|text)|entry-?content|story-?body|main)(?:$|[\s_-])", re.IGNORECASE)  # noqa: E501
 
@@ -79,20 +87,43 @@ class Element:
     dropped: bool
     content: int
     level: int
+    doubtful: tuple[int, ...] = ()
 
 
 @dataclass
 class Block:
-    """Text of one block with its tag path and the number of its content container and parent."""
+    """Text of one block with its tag path and the number of its content container and parent.
+
+    A part is (text, is it inside a link, the doubtful elements around it).
+    """
 
     path: str
     parent: int
     content: int
-    parts: list[str] = field(default_factory=list)
+    parts: list[tuple[str, bool, tuple[int, ...]]] = field(default_factory=list)
     linked: int = 0
     text: str = ""
 
 
+def _main_elements(found: list[Block]) -> set[int]:
+    """The doubtful elements that hold most of the page: of the text of declared content, or of all text if none is declared.
+
+    Where the page has a first-level heading, they hold it too, or nearly all of the text: long comments are no article.
+    """
+    declared = any(b.content and raw.strip() for b in found for raw, _, _ in b.parts)
+    total, heads, size, headed = 0, 0, {}, {}
+    for block in found:
+        head = bool(re.search(r"/h1(?:\.|/|$)", block.path))
+        for raw, _, around in block.parts:
+            weight = len(raw.strip()) if block.content or not declared else 0
+            total += weight
+            heads += head
+            for number in around:
+                size[number] = size.get(number, 0) + weight
+                headed[number] = headed.get(number, 0) + head
+    return {n for n, x in size.items() if 2 * x > total and (headed[n] or not heads or 10 * x > 9 * total)}
+
+
 def blocks(page: str) -> list[Block]:
     """The blocks of a page in order, without those inside elements that are never article text."""
     out: list[Block] = []
@@ -111,9 +142,7 @@ def blocks(page: str) -> list[Block]:
             owner = next((e for e in reversed(stack) if e.tag not in INLINE), stack[0])
             out.append(Block(owner.path, owner.number, owner.content))
             fresh = False
-        out[-1].parts.append(raw)
-        if any(e.tag == "a" for e in stack):
-            out[-1].linked += len(raw)
+        out[-1].parts.append((raw, any(e.tag == "a" for e in stack), top.doubtful))
 
     def close_to(depth: int) -> None:
         nonlocal fresh
@@ -164,6 +193,7 @@ def blocks(page: str) -> list[Block]:
         number += 1
         marks = {m[1].lower(): m[2] or m[3] or m[4] or "" for m in MARKS.finditer(found[3])} if found[3] else {}
         words = " ".join(marks.values())
+        named = tag in FORMS or any(BOILERPLATE.fullmatch(word) for word in words.split())
         top = stack[-1]
         # Inside a declared article everything belongs to it; inside other declared content an article is told apart.
         content, level = top.content, top.level
@@ -173,13 +203,18 @@ def blocks(page: str) -> list[Block]:
         dropped = top.dropped or (
             tag in NEVER
             or (tag == "header" and not top.content)
-            or (bool(words) and tag not in ("html", "body", "article", "main") and content != number and bool(BOILERPLATE.search(words)))
             or (bool(found[3]) and bool(HIDDEN.search(found[3])))
         )
+        doubtful = top.doubtful
+        if named and tag not in ("html", "body", "article", "main") and content != number:
+            doubtful = (*doubtful, number)
         label = tag if tag in INLINE else f"{tag}.{'.'.join(sorted(marks.get('class', '').split()))}".rstrip(".")
-        stack.append(Element(tag, f"{top.path}/{label}" if tag not in INLINE else top.path, number, dropped, content, level))
+        stack.append(Element(tag, f"{top.path}/{label}" if tag not in INLINE else top.path, number, dropped, content, level, doubtful))
+    decided = _main_elements(out)
     for block in out:
-        block.text = " ".join(entities.unescape("".join(block.parts)).split())
+        parts = [(raw, link) for raw, link, around in block.parts if decided.issuperset(around)]
+        block.text = " ".join(entities.unescape("".join(raw for raw, _ in parts)).split())
+        block.linked = sum(len(raw) for raw, link in parts if link)
     return [b for b in out if b.text]
 
 
