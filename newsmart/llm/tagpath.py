@@ -71,6 +71,8 @@ _BESIDE = (
 )
 BOILERPLATE = re.compile(rf"(?:{_BESIDE}[_-]+)*{_NAMED}(?:[_-]+(?:{_NAMED}|{_BESIDE}))*", re.IGNORECASE)
 CONTENT = frozenset(["article", "main"])
+# Elements that hold whole articles; the page itself is the outermost one.
+CONTAINERS = frozenset(["", "div", "section", "article", "main", "td"])
 CONTENT_WORDS = re.compile(r"(?:^|[\s_-])(?:article(?:-?body|-?content|-?text)?|post-?(?:body|content|text)|entry-?content|story-?body|main)(?:$|[\s_-])", re.IGNORECASE)  # noqa: E501
 
 PIECE = re.compile(r"<!--.*?(?:-->|$)|<[!?][^>]*(?:>|$)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)(?:>|$)", re.DOTALL)
@@ -92,13 +94,13 @@ class Element:
 
 @dataclass
 class Block:
-    """Text of one block with its tag path and the number of its content container and parent.
+    """Text of one block with its tag path, the number of its content container and those of the containers around it.
 
     A part is (text, is it inside a link, the doubtful elements around it).
     """
 
     path: str
-    parent: int
+    around: tuple[int, ...]
     content: int
     parts: list[tuple[str, bool, tuple[int, ...]]] = field(default_factory=list)
     linked: int = 0
@@ -140,7 +142,8 @@ def blocks(page: str) -> list[Block]:
             if not raw.strip():
                 return
             owner = next((e for e in reversed(stack) if e.tag not in INLINE), stack[0])
-            out.append(Block(owner.path, owner.number, owner.content))
+            around = tuple(e.number for e in stack if e.tag in CONTAINERS and e is not owner)
+            out.append(Block(owner.path, around, owner.content))
             fresh = False
         out[-1].parts.append((raw, any(e.tag == "a" for e in stack), top.doubtful))
 
@@ -247,6 +250,22 @@ def _fused(found: list[Block], settings: Extraction) -> list[float]:
     ]
 
 
+def _beside(found: list[Block], picked: list[int]) -> set[int]:
+    """The blocks of the innermost container that holds nine tenths of the picked text.
+
+    If that is the page itself, containers inside it that hold nothing picked are no part of the article.
+    """
+    size: dict[int, int] = {}
+    for i in picked:
+        for number in found[i].around:
+            size[number] = size.get(number, 0) + len(found[i].text)
+    # A container's number is above those of the containers around it.
+    container = max((n for n, x in size.items() if 10 * x >= 9 * size[0]), default=0)
+    if container:
+        return {i for i, b in enumerate(found) if container in b.around}
+    return {i for i, b in enumerate(found) if all(n in size for n in b.around)}
+
+
 def main_text(page: str, settings: Extraction = Extraction()) -> str:  # noqa: B008
     """The article's blocks in page order, joined by line ends; empty if there is none."""
     found = blocks(page)
@@ -268,8 +287,9 @@ def main_text(page: str, settings: Extraction = Extraction()) -> str:  # noqa: B
     first, last = picked[0], picked[-1]
     while first and re.search(r"/h[1-6](\.|$)", found[first - 1].path):
         first -= 1
+    beside = _beside(found, picked)
     keep = set(picked) | {
-        i for i in range(first, last + 1) if found[i].linked <= settings.links * len(found[i].text)
+        i for i, b in enumerate(found) if (first <= i <= last or i in beside) and b.linked <= settings.links * len(b.text)
     }
     return "\n".join(found[i].text for i in sorted(keep))
 
