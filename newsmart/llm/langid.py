@@ -24,7 +24,7 @@ from newsmart.llm.toxicity import held_out
 
 @dataclass(frozen=True)
 class Profiles:
-    """``places`` per profile, about ``sample`` texts per language, and at most ``languages`` (the most frequent ones)."""
+    """``places`` per profile, about ``sample`` texts per language, and at most ``languages``; more is an error."""
 
     places: int = 300
     sample: int = 3000
@@ -60,7 +60,9 @@ def learn(docs: DataFrame, settings: Profiles = Profiles()) -> dict[str, list[in
     """Profiles by language from ``docs`` (doc_id, text, lang); rows with a NULL lang or doc_id teach nothing."""
     small_batches(docs.sparkSession)
     given = docs.where("lang is not null and doc_id is not null")
-    sizes = given.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(settings.languages).collect()
+    sizes = given.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(settings.languages + 1).collect()
+    if len(sizes) > settings.languages:
+        raise ValueError("there are more languages than profiles may be broadcast: raise the bound")
     if not sizes:
         return {}
     share = F.create_map(*[F.lit(x) for r in sizes for x in (r["lang"], min(1.0, settings.sample / r["count"]))])
