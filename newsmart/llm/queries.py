@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from newsmart.llm import bpe, decontam, imatch, langid, minhash, suffixdedup, tagpath, toxicity, urlfilter, warc
+from newsmart.llm import bpe, decontam, imatch, langid, merkle, minhash, suffixdedup, tagpath, toxicity, urlfilter, warc
 from newsmart.llm.tables import read
 
 #: The tokenizer file of the byte-pair query.
@@ -121,3 +121,60 @@ SELECT page_id, n AS payload_bytes, digest AS payload_digest,
     CASE WHEN n >= 100 AND page_id > least THEN least END AS refers_to
 FROM firsts
 """
+
+
+@query
+def op11_merkle_manifest(spark: SparkSession, folder: str) -> DataFrame:
+    """Leaf, root, proof and folded root of every document."""
+    return merkle.manifest(read(spark, folder, "documents"))
+
+
+ORACLES["op11_merkle_manifest"] = """
+WITH RECURSIVE rows_of AS (
+    SELECT *, coalesce('=' || lang, '') AS tree,
+        coalesce(strlen(CAST(doc_id AS VARCHAR)) || ':' || doc_id, '-') || coalesce(strlen(source) || ':' || source, '-')
+            || coalesce(strlen(lang) || ':' || lang, '-') AS head,
+        coalesce(strlen(text) || ':' || text, '-') AS tail,
+        n_chars IS NOT NULL AND xor(list_reduce(
+            list_prepend(4294967295::BIGINT, list_transform(regexp_extract_all(CAST(doc_id AS VARCHAR), '.'), lambda c: CAST(ascii(c) AS BIGINT))),
+            lambda crc, c: list_reduce(
+                list_prepend(xor(crc, c), CAST(range(8) AS BIGINT[])),
+                lambda x, i: CASE WHEN x % 2 = 1 THEN xor(x // 2, 3988292384) ELSE x // 2 END
+            )
+        ), 4294967295) % 7 = 0 AS tampered
+    FROM documents
+), leaves AS (
+    SELECT doc_id, tree, sha256(head || coalesce(strlen(CAST(n_chars AS VARCHAR)) || ':' || n_chars, '-') || tail) AS leaf,
+        CASE WHEN tampered THEN sha256(head || strlen(CAST(n_chars + 1 AS VARCHAR)) || ':' || (n_chars + 1) || tail) END AS changed
+    FROM rows_of
+), placed AS (
+    SELECT *, row_number() OVER (PARTITION BY tree ORDER BY doc_id NULLS FIRST, leaf) - 1 AS pos, count(*) OVER (PARTITION BY tree) AS n
+    FROM leaves
+), nodes AS (
+    SELECT tree, 0 AS level, pos, n, leaf AS node FROM placed
+    UNION ALL
+    SELECT tree, level + 1, pos // 2, (n + 1) // 2, sha256(string_agg(node, '' ORDER BY pos)) FROM nodes WHERE n > 1
+    GROUP BY tree, level, pos // 2, n
+), subroots AS (
+    SELECT tree, node, row_number() OVER (ORDER BY tree) - 1 AS pos, count(*) OVER () AS n FROM nodes WHERE n = 1
+), tops AS (
+    SELECT 0 AS level, pos, n, node FROM subroots
+    UNION ALL
+    SELECT level + 1, pos // 2, (n + 1) // 2, sha256(string_agg(node, '' ORDER BY pos)) FROM tops WHERE n > 1 GROUP BY level, pos // 2, n
+), folds AS (
+    SELECT doc_id, tree, leaf, 0 AS level, pos, pos AS place, n, coalesce(changed, leaf) AS node, '' AS siblings FROM placed
+    UNION ALL
+    SELECT f.doc_id, f.tree, f.leaf, f.level + 1, f.pos // 2, f.place, (f.n + 1) // 2,
+        sha256(CASE WHEN f.pos % 2 = 1 THEN s.node || f.node ELSE f.node || coalesce(s.node, '') END), f.siblings || coalesce(s.node, '')
+    FROM folds f LEFT JOIN nodes s ON s.tree = f.tree AND s.level = f.level AND s.pos = xor(f.pos, 1) WHERE f.n > 1
+), above AS (
+    SELECT f.doc_id, f.leaf, t.node AS subroot, 0 AS level, t.pos, f.tree, f.place, t.n, f.node, f.siblings
+    FROM folds f JOIN subroots t USING (tree) WHERE f.n = 1
+    UNION ALL
+    SELECT f.doc_id, f.leaf, f.subroot, f.level + 1, f.pos // 2, f.tree, f.place, (f.n + 1) // 2,
+        sha256(CASE WHEN f.pos % 2 = 1 THEN s.node || f.node ELSE f.node || coalesce(s.node, '') END), f.siblings || coalesce(s.node, '')
+    FROM above f LEFT JOIN tops s ON s.level = f.level AND s.pos = xor(f.pos, 1) WHERE f.n > 1
+)
+SELECT a.doc_id, a.leaf, a.subroot, t.node AS root, sha256(a.siblings) AS proof_sha256, a.node AS folded_root, a.node = t.node AS verified
+FROM above a, tops t WHERE a.n = 1 AND t.n = 1
+"""
