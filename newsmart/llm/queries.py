@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from newsmart.llm import bpe, decontam, imatch, langid, merkle, minhash, suffixdedup, tagpath, toxicity, urlfilter, warc
+from newsmart.llm import bpe, decontam, imatch, langid, merkle, minhash, simhash, suffixdedup, tagpath, toxicity, urlfilter, warc
 from newsmart.llm.tables import read
 
 #: The tokenizer file of the byte-pair query.
@@ -178,3 +178,9 @@ WITH RECURSIVE rows_of AS (
 SELECT a.doc_id, a.leaf, a.subroot, t.node AS root, sha256(a.siblings) AS proof_sha256, a.node AS folded_root, a.node = t.node AS verified
 FROM above a, tops t WHERE a.n = 1 AND t.n = 1
 """
+
+
+@query
+def op13_simhash_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    """Fingerprints of every document and the components of those that differ in three bits at most."""
+    return simhash.near_duplicates(read(spark, folder, "documents"))
