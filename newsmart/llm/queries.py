@@ -7,11 +7,15 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from newsmart.llm import bpe, decontam, imatch, langid, merkle, minhash, simhash, suffixdedup, tagpath, toxicity, urlfilter, warc
+from newsmart.llm import (
+    alignment, bpe, decontam, imatch, langid, merkle, minhash, simhash, suffixdedup, tagpath, toxicity, urlfilter, warc,
+)
 from newsmart.llm.tables import read
 
 #: The tokenizer file of the byte-pair query.
 VOCABULARY = public_tokenizers.path("byte_bpe_50k.json")
+#: The piece model of the alignment query.
+PIECES = public_tokenizers.path("piece_bpe_32k.model")
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
 
@@ -184,3 +188,9 @@ FROM above a, tops t WHERE a.n = 1 AND t.n = 1
 def op13_simhash_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
     """Fingerprints of every document and the components of those that differ in three bits at most."""
     return simhash.near_duplicates(read(spark, folder, "documents"))
+
+
+@query
+def op12_tokenizer_alignment(spark: SparkSession, folder: str) -> DataFrame:
+    """Groups and links between the tokens of two tokenizers in every document, and how common the links are."""
+    return alignment.alignment(read(spark, folder, "documents"), alignment.Tokenizers(VOCABULARY, PIECES))
