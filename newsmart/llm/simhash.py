@@ -6,10 +6,10 @@ either is among the one or six codewords around the other.
 
 1. One pass over the texts gives every text's fingerprint: a bit is set if it is set in more than half of the shingles' hashes.
 2. Equal fingerprints collapse to one row.
-3. A fingerprint is cut into three segments of 22, 21 and 21 bits. Of at most 3 differing bits one pair of segments has at most one
-   each (pigeonhole). For each pair a fingerprint is filed once under (codewords around the first segment, codeword of the second) and
-   once under (codeword of the first, codewords around the second): two fingerprints that differ in at most one bit of
-   either segment meet, one filed in the first way and the other in the second.
+3. A fingerprint is cut into four segments of 16 bits. However 3 differing bits fall, one of the pairs (1, 2), (2, 3), (3, 4) and
+   (4, 1) has none in its first segment and at most one in its second (pigeonhole). For each pair a fingerprint is filed once
+   under its first segment with every codeword around the second, and once under its first segment with the codeword of the
+   second: fingerprints that such a pair links meet, one filed in the first way and the other in the second.
 4. Fingerprints that meet are verified as matrices inside tasks, and only links that join two parts of a bucket leave it, so links grow
    with members and not with pairs.
 5. A bucket with more than ``crowd`` rows is not compared at once: its fingerprints are filed again under exact pieces of
@@ -46,8 +46,8 @@ class Near:
 
 #: Most differing bits of a link; segments and pieces follow from it.
 BITS = 3
-SEGMENTS = (22, 21, 21)
-PAIRS = ((0, 1), (0, 2), (1, 2))
+SEGMENTS = (16, 16, 16, 16)
+PAIRS = ((0, 1), (1, 2), (2, 3), (3, 0))
 #: Pieces of the finer buckets, step by step: all but BITS of them are equal. In the last step what is free is 12 bits, so
 #: a bucket has 4,096 fingerprints at most.
 PIECES = (8, 12, 16)
@@ -176,13 +176,10 @@ def filed(prints: DataFrame) -> DataFrame:
         for batch in batches:
             fps = batch.column("fp").to_numpy()
             words = segments(fps.view(np.uint64))
-            plain = [golay.message(w) for w in words]
-            near = [golay.messages_around(w, width) for w, width in zip(words, SEGMENTS, strict=True)]
             for number, (x, y) in enumerate(PAIRS):
-                for side, (at, first, second) in enumerate((
-                    (near[x][0], near[x][1], plain[y][near[x][0]]), (near[y][0], plain[x][near[y][0]], near[y][1])
-                )):
-                    bucket = (number << 24) | (first << 12) | second
+                ways = golay.messages_around(words[y], SEGMENTS[y]), (np.arange(len(fps)), golay.message(words[y]))
+                for side, (at, message) in enumerate(ways):
+                    bucket = (((number << 23) | words[x][at]) << 12) | message
                     columns = [bucket.astype(np.int64), np.full(len(at), side, np.int32), fps[at]]
                     yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], ["bucket", "side", "fp"])
 
