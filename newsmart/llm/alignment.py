@@ -30,7 +30,7 @@ from newsmart.llm.bpe import _byte_alphabet
 from newsmart.llm.tables import annotate, small_batches, stage, worker_state
 
 #: Bytes of texts that are encoded in one step, or one longer text.
-PIECE = 1 << 20
+PIECE = 1 << 19
 #: Rows of partial counts that a task holds.
 HELD = 1 << 20
 HOT = 1 << 15
@@ -156,6 +156,7 @@ class Aligned:
             wrong[np.searchsorted(ends, np.flatnonzero(side.only(valid).data != wanted), "right")] = True
         valid[np.flatnonzero(valid)[wrong]] = False
         self.valid, self.a, self.b, self.loaded = valid, a.only(valid), b.only(valid), loaded
+        self.n_bytes = int(sizes[valid].sum())
 
     @cached_property
     def shared(self) -> tuple[np.ndarray, np.ndarray]:
@@ -185,17 +186,21 @@ class Aligned:
         """SHA-256 of the groups as text: ``a1,a2|b1;a3|b2,b3``."""
         ended_a, ended_b = self.shared
         group_a, group_b = np.cumsum(ended_a) - ended_a, np.cumsum(ended_b) - ended_b
+        ends_a, begins_b = np.flatnonzero(ended_a) + 1, np.concatenate([[0], np.flatnonzero(ended_b) + 1])
         signs = np.empty(len(group_a) + len(group_b), np.int64)
-        signs[np.arange(len(group_a)) + np.searchsorted(group_b, group_a)] = self.a.ids.astype(np.int64) * 3 + ended_a
-        signs[np.arange(len(group_b)) + np.searchsorted(group_a, group_b, "right")] = self.b.ids.astype(np.int64) * 3 + 2 * ended_b
+        signs[np.arange(len(group_a)) + begins_b[group_a]] = self.a.ids.astype(np.int64) * 3 + ended_a
+        signs[np.arange(len(group_b)) + ends_a[group_b]] = self.b.ids.astype(np.int64) * 3 + 2 * ended_b
         shown = A.Texts.of(self.loaded.shown.take(pa.array(signs)))
         raw, cuts = shown.data, shown.bounds[self.a.bounds + self.b.bounds].tolist()
         return [hashlib.sha256(raw[x : y - 1]).hexdigest() for x, y in zip(cuts[:-1], cuts[1:], strict=True)]
 
     def pairs(self) -> tuple[np.ndarray, pa.Table]:
         """(links of every text, table of its distinct pairs): ``text``, ``pair`` (A id above B id) and ``times``."""
-        ends = np.union1d(self.a.all_ends, self.b.all_ends)
-        at_a, at_b = np.searchsorted(self.a.all_ends, ends), np.searchsorted(self.b.all_ends, ends)
+        ended = np.zeros((2, self.n_bytes + 1), bool)
+        for marks, side in zip(ended, (self.a, self.b), strict=True):
+            marks[side.all_ends] = True
+        ends = np.flatnonzero(ended.any(axis=0))
+        at_a, at_b = (np.cumsum(marks, dtype=np.int64)[ends] - marks[ends] for marks in ended)
         text = self.a.text[at_a]
         pair = (self.a.ids[at_a].astype(np.int64) << 32) | self.b.ids[at_b]
         counted = pa.table({"text": text, "pair": pair}).group_by(["text", "pair"], use_threads=False).aggregate([([], "count_all")])
