@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 
 from newsmart.llm import text_arrays as A
 from newsmart.llm.bpe import _byte_alphabet
-from newsmart.llm.tables import annotate, small_batches, stage, worker_state
+from newsmart.llm.tables import annotate, mapped, small_batches, stage, worker_state
 
 #: Bytes of texts that are encoded in one step, or one longer text.
 PIECE = 1 << 19
@@ -288,7 +288,7 @@ def pair_counts(found: DataFrame) -> DataFrame:
         if held:
             yield from added().to_batches()
 
-    counts = found.select("pairs").mapInArrow(partial, "pair long, n long").groupBy("pair").agg(F.sum("n").alias("n"))
+    counts = mapped(found.select("pairs"), partial, "pair long, n long").groupBy("pair").agg(F.sum("n").alias("n"))
     counts = stage(counts, "counts")
     a = F.shiftright("pair", 32)
     most = counts.groupBy(a.alias("a")).agg(F.max("n").alias("most"))

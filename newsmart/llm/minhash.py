@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 
 from newsmart.llm import text_arrays as A
 from newsmart.llm.components import components
-from newsmart.llm.tables import small_batches, stage, whole_groups
+from newsmart.llm.tables import mapped, small_batches, stage, whole_groups
 
 
 @dataclass(frozen=True)
@@ -118,9 +118,8 @@ def signed(docs: DataFrame, settings: Near) -> DataFrame:
                 ["doc_id", "n_shingles", "digest", "bands", "minima"],
             )
 
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(
-        rows, "doc_id long, n_shingles long, digest binary, bands array<long>, minima binary"
-    )
+    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+    return mapped(texts, rows, "doc_id long, n_shingles long, digest binary, bands array<long>, minima binary")
 
 
 def _agreeing(pairs: DataFrame, representatives: DataFrame, settings: Near) -> DataFrame:
@@ -153,7 +152,7 @@ def _sets(ids: DataFrame, docs: DataFrame, digests: DataFrame, settings: Near) -
             yield full.filter(pa.array(same, pa.bool_()))
 
     texts = docs.select(F.col("doc_id").cast("long").alias("id"), "text").join(ids.join(digests, "id"), "id")
-    found = texts.select("id", "digest", "text").mapInArrow(sets, "id long, shingles binary")
+    found = mapped(texts.select("id", "digest", "text"), sets, "id long, shingles binary")
     return stage(found.dropDuplicates(["id"]), "sets")
 
 
@@ -257,10 +256,10 @@ def _across(members: DataFrame, docs: DataFrame, digests: DataFrame, settings: N
             ends = [pa.array([f(pair) for pair in found], pa.int64()) for f in (min, max)]
             yield pa.RecordBatch.from_arrays(ends, ["a", "b"])
 
-    close = stage(sent.repartition(*GROUP).sortWithinPartitions(*GROUP).mapInArrow(agreeing, MEMBER), "close")
+    close = stage(mapped(sent.repartition(*GROUP).sortWithinPartitions(*GROUP), agreeing, MEMBER), "close")
     full = _sets(close.select("id").distinct(), docs, digests, settings)
     again = close.join(full, "id").repartition(*GROUP).sortWithinPartitions(*GROUP)
-    return again.mapInArrow(linked, "a long, b long").distinct()
+    return mapped(again, linked, "a long, b long").distinct()
 
 
 def _stars(crowded: DataFrame, settings: Near) -> DataFrame:

@@ -32,7 +32,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from newsmart.llm import text_arrays as A
-from newsmart.llm.tables import annotate, small_batches, stage, whole_groups, worker_state
+from newsmart.llm.tables import annotate, mapped, small_batches, stage, whole_groups, worker_state
 
 
 @dataclass(frozen=True)
@@ -83,8 +83,12 @@ def gram_hashes(data: np.ndarray, gram: int) -> np.ndarray:
 
 
 def _powers(count: int) -> tuple[np.ndarray, np.ndarray]:
-    size = max(1 << (count - 1).bit_length(), 1 << 16)
-    return worker_state("arrays", f"byte-powers-{size}", lambda: (A.powers(A.BASE, size), A.powers(A.INVERSE, size)))
+    """Powers of the base and of its inverse, ``count`` at least; a worker keeps one pair, for the longest text so far."""
+    kept = worker_state("arrays", "byte-powers", dict)
+    if len(kept.get("up", ())) < count:
+        size = max(1 << (count - 1).bit_length(), 1 << 16)
+        kept["up"], kept["down"] = A.powers(A.BASE, size), A.powers(A.INVERSE, size)
+    return kept["up"], kept["down"]
 
 
 def window_least(values: np.ndarray, width: int) -> np.ndarray:
@@ -297,7 +301,7 @@ def _factors(blocks: DataFrame, settings: Repeats) -> DataFrame:
         )
 
     dealt = blocks.repartition("anchor", "salt").sortWithinPartitions("anchor", "salt", "id", "tag", "first")
-    return dealt.mapInArrow(search, SHARD_ROW)
+    return mapped(dealt, search, SHARD_ROW)
 
 
 def _blocks(kinds: DataFrame, texts: DataFrame, settings: Repeats) -> DataFrame:
@@ -322,7 +326,7 @@ def _blocks(kinds: DataFrame, texts: DataFrame, settings: Repeats) -> DataFrame:
 
     joined = texts.dropDuplicates(["id", "tag"]).join(wanted, ["id", "tag"]).select("id", "tag", "runs", "text")
     run = "array<struct<first: int, last: int, anchor: long, cover: long, salt: int, parts: int>>"
-    out = joined.mapInArrow(cut, f"id long, tag long, runs {run}, raw array<binary>")
+    out = mapped(joined, cut, f"id long, tag long, runs {run}, raw array<binary>")
     pairs = out.select("id", "tag", F.explode(F.arrays_zip("runs", "raw")).alias("x"))
     return pairs.select("id", "tag", "x.runs.*", F.col("x.raw").alias("bytes"))
 

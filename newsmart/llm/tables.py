@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import ctypes
+import gc
 import sys
 import types
 import uuid
@@ -42,6 +44,30 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def release() -> None:
+    """Give memory that is free inside a Python worker back to the system.
+
+    Workers outlive a stage; what one stage needed would otherwise stay with them beside what the next one needs.
+    """
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim is not None:
+        trim(0)
+
+
+def mapped(df: DataFrame, function: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema: Any) -> DataFrame:
+    """``df.mapInArrow(function, schema)`` that leaves no free memory in the worker at the end of a partition."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        try:
+            yield from function(batches)
+        finally:
+            release()
+
+    return df.mapInArrow(run, schema)
+
+
 def worker_state(kind: str, key: str, build: Callable[[], Any]) -> Any:
     """What a Python worker keeps between its tasks (functions travel by value, so globals do not last).
 
@@ -50,6 +76,7 @@ def worker_state(kind: str, key: str, build: Callable[[], Any]) -> Any:
     held = sys.modules.setdefault("newsmart_worker_state", types.ModuleType("newsmart_worker_state")).__dict__
     if held.get("kind") != kind:
         held["kind"], held["state"] = kind, {}
+        release()
     state = held["state"]
     if key not in state:
         state[key] = build()
@@ -121,6 +148,6 @@ def annotate(
 
     else:
         full = docs.select(*columns, F.col(f"`{source}`").alias("source"))
-    out = full.mapInArrow(rows, target)
+    out = mapped(full, rows, target)
     row = F.struct(*[F.col(c).alias(n) for n, c in zip(names, inside, strict=True)])
     return out.select(row.alias("row"), "found")
