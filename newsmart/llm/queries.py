@@ -57,8 +57,9 @@ def op9_benchmark_decontamination(spark: SparkSession, folder: str) -> DataFrame
 
 @query
 def op10_suffix_array_dedup(spark: SparkSession, folder: str) -> DataFrame:
-    """Bytes of every document that a string of 400 bytes found elsewhere too covers."""
-    return suffixdedup.removed(read(spark, folder, "documents"))
+    """Bytes of every document that a string of 400 bytes found elsewhere too covers, and those that repeated passages of over
+    fifty words cover, however short the words are."""
+    return suffixdedup.removed(read(spark, folder, "documents"), beside=suffixdedup.PASSAGES)
 
 
 #: The rules of the url query (host, path, verdict). Fixed values.

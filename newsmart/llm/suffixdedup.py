@@ -453,20 +453,27 @@ def repeated_spans(docs: DataFrame, settings: Repeats | tuple[Repeats, ...] = Re
     return done.select("row.row", "found")
 
 
-KEPT = "text string, n_bytes long, n_removed long, n_spans long, kept_sha256 string"
+KEPT = "text string, n_bytes long, n_removed long, n_spans long, kept_sha256 string, n_beside long"
 
 
-def _kept(docs: DataFrame, settings: tuple[Repeats, ...], copies: str, keep: list[str] | None = None) -> DataFrame:
+def _kept(
+    docs: DataFrame, settings: tuple[Repeats, ...], copies: str, keep: list[str] | None = None, beside: tuple[Repeats, ...] = ()
+) -> DataFrame:
     """``docs`` as ``row`` and what is left of every text as ``found``; its text is NULL where nothing is removed.
 
-    A character cut in two leaves U+FFFD in the text.
+    A character cut in two leaves U+FFFD in the text. ``n_beside`` counts the bytes that repeats by the settings ``beside`` cover;
+    these are reported and not removed.
     """
+    every = (*settings, *beside)
+
     def cut(column: pa.Array) -> list[pa.Array]:
         texts = A.Texts.of(column.field("text"))
-        left, sizes, gone, counts, digests = [], [], [], [], []
+        left, sizes, gone, counts, digests, reported = [], [], [], [], [], []
         for i, removed in enumerate(column.field("removed").to_pylist()):
             data, at, parts = texts.one(i).tobytes(), 0, []
-            spans = _spans(removed, texts.one(i), settings)
+            spans = _spans([r for r in removed or [] if r["kind"] < len(settings)], texts.one(i), every)
+            others = _spans([r for r in removed or [] if r["kind"] >= len(settings)], texts.one(i), every)
+            reported.append(sum(last - first for first, last in others))
             for first, last in spans:
                 parts.append(data[at:first])
                 at = last
@@ -477,18 +484,28 @@ def _kept(docs: DataFrame, settings: tuple[Repeats, ...], copies: str, keep: lis
             counts.append(len(spans))
             digests.append(hashlib.sha256(rest).hexdigest())
         numbers = [pa.array(x, pa.int64()) for x in (sizes, gone, counts)]
-        return [pa.array(left, pa.large_string()), *numbers, pa.array(digests, pa.string())]
+        return [pa.array(left, pa.large_string()), *numbers, pa.array(digests, pa.string()), pa.array(reported, pa.int64())]
 
-    joined = _removals(docs, settings, copies)
+    joined = _removals(docs, every, copies)
     kept = F.struct(*[F.col(f"row.`{name}`").alias(name) for name in keep]) if keep else F.col("row")
     both = joined.select(kept.alias("row"), F.struct(F.col("row.text").alias("text"), "removed").alias("x"))
     return annotate(both, cut, KEPT, "x", ["row"]).select("row.row", "found")
 
 
-def removed(docs: DataFrame, settings: Repeats | tuple[Repeats, ...] = Repeats(), copies: str = "all") -> DataFrame:  # noqa: B008
-    """(doc_id, n_bytes, n_removed, n_spans, kept_sha256) of every row of ``docs``; see ``repeated_spans``."""
-    found = _kept(docs.select("doc_id", "text"), _several(settings), copies, ["doc_id"])
-    return found.select("row.doc_id", "found.n_bytes", "found.n_removed", "found.n_spans", "found.kept_sha256")
+def removed(
+    docs: DataFrame,
+    settings: Repeats | tuple[Repeats, ...] = Repeats(),  # noqa: B008
+    copies: str = "all",
+    beside: Repeats | None = None,
+) -> DataFrame:
+    """(doc_id, n_bytes, n_removed, n_spans, kept_sha256) of every row of ``docs``; see ``repeated_spans``.
+
+    With ``beside`` the column ``n_passage_bytes`` counts the bytes that repeats by these other settings cover; they are not removed.
+    """
+    others = () if beside is None else (beside,)
+    found = _kept(docs.select("doc_id", "text"), _several(settings), copies, ["doc_id"], others)
+    more = [F.col("found.n_beside").alias("n_passage_bytes")] if others else []
+    return found.select("row.doc_id", "found.n_bytes", "found.n_removed", "found.n_spans", "found.kept_sha256", *more)
 
 
 def without_repeats(

@@ -77,3 +77,12 @@ def test_frequent_passage_of_words_over_several_shards(spark, copies):
     settings = suffixdedup.Repeats(length=20, gram=5, shard=700, runs_per_shard=7, words=True)
     found = suffixdedup.without_repeats(spark.createDataFrame(rows, SCHEMA), settings, copies).collect()
     assert {r.doc_id: r.text.encode() for r in found} == spans(rows, 20, copies)
+
+
+def test_passages_are_reported_beside_the_removed_strings(spark):
+    rows = duckdb.sql(f"SELECT doc_id, text FROM '{FOLDER}/documents.parquet'").fetchall()
+    found = {r.doc_id: r for r in suffixdedup.removed(spark.createDataFrame(rows, SCHEMA), beside=suffixdedup.PASSAGES).collect()}
+    plain, wanted = brute.repeats(rows, 400), spans(rows, 51, "all")
+    assert {i: tuple(r)[1:5] for i, r in found.items()} == plain
+    assert {i: r.n_passage_bytes for i, r in found.items()} == {i: len((t or "").encode()) - len(wanted[i]) for i, t in rows}
+    assert any(r.n_passage_bytes and not r.n_removed for r in found.values())
