@@ -12,11 +12,16 @@ How a block of any size is handled:
   block are resolved together, then the block's other undecided titles, spread over slots of bounded
   size, are compared with the primaries just found. Matched titles leave. A block up to the chunk
   size is done in the first wave, and a cluster of near copies disappears with its first primary.
+* A title's place in its block comes from a sort over ranges, and the first titles of a wave from the
+  counts of undecided titles in buckets of places: no task sorts or holds a block.
+* A similarity of 0.75 bounds the lengths of two titles by 5/3. Titles are dealt by length bands of
+  that ratio, and a primary only goes to its own band and the two beside it.
 * Nothing is dropped or capped; a wave only bounds what one task holds.
 """
 
 from __future__ import annotations
 
+from fractions import Fraction
 from functools import reduce
 
 import numpy as np
@@ -27,6 +32,7 @@ from pyspark.sql import functions as F
 from newsmart.config import DEDUP, Dedup
 from newsmart.functions import text as X
 from newsmart.functions.similarity import assign, resolve
+from newsmart.operators.ordering import placed
 from newsmart.session import cut
 
 BLOCK = ["cc", "art_date"]
@@ -108,55 +114,84 @@ def _resolve_heads(heads: DataFrame, threshold: float) -> DataFrame:
 
 
 def _compare_rest(rest: DataFrame, primaries: DataFrame, threshold: float) -> DataFrame:
-    """``primary_id`` of the undecided titles among new primaries, one slot of a block per call."""
+    """``primary_id`` of the undecided titles among new primaries, one slot of a block's length band per call."""
 
     def run(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
         right = right.sort_values(_RANK, ignore_index=True)
         found = assign(right["title_key"].tolist(), left["title_key"].tolist(), threshold)
         return _marked(left, found, right["id"].to_numpy())
 
-    keys = [*BLOCK, "slot"]
+    keys = [*BLOCK, "band", "slot"]
     sides = [_tasks(_ranked(side, *keys), keys).groupBy(*keys) for side in (rest, primaries)]
     return sides[0].cogroup(sides[1]).applyInPandas(run, _RESOLVED)
 
 
+def band_edges(threshold: float, longest: int = 1 << 31) -> list[int]:
+    """First lengths of the length bands 1, 2, ...: titles two bands or more apart cannot reach ``threshold``.
+
+    Of lengths a < b the ratio is 2a / (a + b) at most, so it misses the threshold t if b > a (2 - t) / t. Ratios are
+    rounded, so t is taken a trifle lower.
+    """
+    if threshold <= 0:
+        return []
+    least = Fraction(threshold) * (1 - Fraction(1, 10**12))
+    ratio, edges = (2 - least) / least, [1]
+    while edges[-1] <= longest:
+        edges.append(max(edges[-1] + 1, int(ratio * (edges[-1] - 1)) + 1))
+    return edges
+
+
+def _banded(titles: DataFrame, threshold: float) -> DataFrame:
+    edges = ", ".join(f"{edge}L" for edge in band_edges(threshold))
+    band = F.expr(f"size(filter(array({edges}), edge -> edge <= length(title_key)))") if edges else F.lit(0)
+    return titles.withColumn("band", band)
+
+
+def _cutoffs(open_titles: DataFrame, chunk: int) -> DataFrame:
+    """Per block the last bucket of places whose titles, with all before them, are at most ``chunk``; and all its titles."""
+    counts = open_titles.groupBy(*BLOCK, "bucket").agg(F.count("*").alias("titles"))
+    whole = Window.partitionBy(*BLOCK)
+    summed = counts.select(
+        *BLOCK, "bucket", F.sum("titles").over(whole.orderBy("bucket")).alias("so_far"), F.sum("titles").over(whole).alias("all"),
+    )
+    fits = F.col("so_far") <= chunk
+    return summed.groupBy(*BLOCK).agg(F.max(F.when(fits, F.col("bucket"))).alias("last"), F.max("all").alias("titles"))
+
+
 def resolve_titles(titles: DataFrame, settings: Dedup = DEDUP) -> DataFrame:
     """``cc, art_date, title_key, rank_id, primary_id`` for distinct titles of all blocks.
 
     ``titles`` must be cheap to read again (a stored or checkpointed table).
     """
-    sizes = titles.groupBy(*BLOCK).agg(F.count("*").alias("titles"))
-    slots = F.ceil(F.col("titles") / settings.slot_rows)
-    slot = F.pmod(F.xxhash64("title_key"), F.col("slots")).cast("int")
-    open_titles = (
-        titles.select(*BLOCK, "title_key", "rank")
-        .join(sizes.select(*BLOCK, slots.alias("slots")), BLOCK)
-        .withColumn("slot", slot)
-    )
-    first_in_rank = Window.partitionBy(*BLOCK).orderBy("rank")
-    every_slot = F.explode(F.sequence(F.lit(0), (F.col("slots") - 1).cast("int")))
-    done: list[DataFrame] = []
-    largest = sizes.agg(F.max("titles")).first()[0] or 0
-    # Up to this rank Spark limits a window inside every task, before a block's rows meet.
-    conf, limit = titles.sparkSession.conf, "spark.sql.optimizer.windowGroupLimitThreshold"
-    conf.set(limit, str(max(int(conf.get(limit, "1000")), settings.chunk_rows)))
-    while largest > settings.chunk_rows:
-        # The row limit runs inside every task before the block meets in one.
-        numbered = open_titles.withColumn("place", F.row_number().over(first_in_rank))
-        heads = cut(numbered.filter(F.col("place") <= settings.chunk_rows).drop("place"))
+    largest = titles.groupBy(*BLOCK).count().agg(F.max("count")).first()[0] or 0
+    if largest <= settings.chunk_rows:
+        return _resolve_heads(titles, settings.threshold)
+    # A bucket has no more titles than a chunk, so every wave takes one bucket of each block at least.
+    width = max(settings.chunk_rows // 16, 1)
+    numbered = placed(_banded(titles.select(*BLOCK, "title_key", "rank"), settings.threshold), BLOCK, ["rank"])
+    open_titles = cut(numbered.withColumn("bucket", F.expr(f"place div {width}")).drop("place"))
+    keys, done = [*BLOCK, "title_key"], []
+    while True:
+        cutoffs = cut(_cutoffs(open_titles, settings.chunk_rows))
+        if (cutoffs.agg(F.max("titles")).first()[0] or 0) <= settings.chunk_rows:
+            break
+        split = open_titles.join(cutoffs.select(*BLOCK, "last"), BLOCK)
+        heads = cut(split.filter(F.col("bucket") <= F.col("last")).drop("last"))
         resolved = cut(_resolve_heads(heads, settings.threshold))
         done.append(resolved)
-        found = resolved.filter(F.col("primary_id").isNull()).select(*BLOCK, "title_key")
-        primaries = heads.join(found, [*BLOCK, "title_key"], "left_semi").withColumn("slot", every_slot)
-        last = heads.groupBy(*BLOCK).agg(F.max("rank").alias("last"))
-        rest = open_titles.join(last, BLOCK).filter(F.col("rank") > F.col("last")).drop("last")
-        compared = cut(_compare_rest(rest, primaries, settings.threshold))
+        primaries = heads.join(resolved.filter(F.col("primary_id").isNull()).select(*keys), keys, "left_semi")
+        rest = split.filter(F.col("bucket") > F.col("last")).drop("last")
+        slots = cut(rest.groupBy(*BLOCK, "band").agg(F.ceil(F.count("*") / settings.slot_rows).cast("int").alias("slots")))
+        slot = F.pmod(F.xxhash64("title_key"), F.col("slots")).cast("int")
+        near = F.explode(F.sequence(F.col("band") - 1, F.col("band") + 1))
+        every_slot = F.explode(F.sequence(F.lit(0), F.col("slots") - 1))
+        sent = primaries.withColumn("band", near).join(slots, [*BLOCK, "band"]).withColumn("slot", every_slot)
+        dealt = rest.join(slots, [*BLOCK, "band"]).withColumn("slot", slot)
+        compared = cut(_compare_rest(dealt, sent, settings.threshold))
         done.append(compared.filter(F.col("primary_id").isNotNull()))
-        still = compared.filter(F.col("primary_id").isNull()).select(*BLOCK, "title_key")
-        open_titles = cut(rest.join(still, [*BLOCK, "title_key"], "left_semi"))
-        largest = open_titles.groupBy(*BLOCK).count().agg(F.max("count")).first()[0] or 0
-    if largest or not done:
-        done.append(_resolve_heads(open_titles if done else titles, settings.threshold))
+        still = compared.filter(F.col("primary_id").isNull()).select(*keys)
+        open_titles = cut(rest.join(still, keys, "left_semi"))
+    done.append(_resolve_heads(open_titles, settings.threshold))
     return reduce(DataFrame.unionByName, done)
 
 

@@ -161,4 +161,4 @@ f_scored AS (
 
 
 def with_views(*views: str, body: str) -> str:
-    return "WITH " + ",\n".join(views) + "\n" + body.strip()
+    return "WITH RECURSIVE " + ",\n".join(views) + "\n" + body.strip()

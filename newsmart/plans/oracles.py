@@ -41,6 +41,80 @@ FIRSTS = """f_firsts AS (
   FROM f_candidates
   WINDOW block AS (PARTITION BY cc, art_date, title_key
                    ORDER BY tier, published_at DESC NULLS LAST, article_id))"""
+# Near duplicates: matching blocks as relations. Every maximal run of equal characters on a diagonal of two titles is a row; the
+# longest match of a range is the best run clipped to it, and the ranges on either side of it come next. Frequent characters of
+# a second title of 200 and more do not begin a match, they only extend one.
+NEAR = """f_ordered AS MATERIALIZED (
+  SELECT cc, art_date, title_key, first_id,
+         row_number() OVER (PARTITION BY cc, art_date ORDER BY tier, published_at DESC NULLS LAST, first_id) AS n
+  FROM f_firsts WHERE nth = 1 AND title_key <> ''),
+f_pairs AS MATERIALIZED (
+  SELECT row_number() OVER () AS p, a, b, length(a) AS size_a, length(b) AS size_b
+  FROM (SELECT DISTINCT x.title_key AS a, y.title_key AS b FROM f_ordered x JOIN f_ordered y USING (cc, art_date)
+        WHERE x.n < y.n AND 2.0 * least(length(x.title_key), length(y.title_key))
+              / (length(x.title_key) + length(y.title_key)) >= 0.75)),
+f_chars AS MATERIALIZED (
+  SELECT title_key, i, substr(title_key, i + 1, 1) AS ch
+  FROM (SELECT DISTINCT title_key, unnest(range(CAST(length(title_key) AS BIGINT))) AS i FROM f_ordered)),
+f_frequent AS (
+  SELECT title_key, ch FROM f_chars GROUP BY ALL
+  HAVING length(title_key) >= 200 AND count(*) > length(title_key) // 100 + 1),
+f_cells AS MATERIALIZED (
+  SELECT p, x.i, y.i AS j, x.i - y.i AS d, f.ch IS NULL AS begins
+  FROM f_pairs JOIN f_chars x ON x.title_key = a JOIN f_chars y ON y.title_key = b AND y.ch = x.ch
+  LEFT JOIN f_frequent f ON f.title_key = b AND f.ch = y.ch),
+f_runs AS MATERIALIZED (
+  SELECT p, d, min(i) AS s, max(i) + 1 AS e
+  FROM (SELECT p, d, i, i - row_number() OVER (PARTITION BY p, d ORDER BY i) AS island FROM f_cells)
+  GROUP BY p, d, island),
+f_cores AS MATERIALIZED (
+  SELECT c.p, c.d, c.s, c.e, r.s AS run_s, r.e AS run_e
+  FROM (SELECT p, d, min(i) AS s, max(i) + 1 AS e
+        FROM (SELECT p, d, i, i - row_number() OVER (PARTITION BY p, d ORDER BY i) AS island FROM f_cells WHERE begins)
+        GROUP BY p, d, island) c
+  JOIN f_runs r ON r.p = c.p AND r.d = c.d AND r.s <= c.s AND r.e >= c.e),
+f_ranges AS (
+  SELECT p, 0::BIGINT AS alo, size_a::BIGINT AS ahi, 0::BIGINT AS blo, size_b::BIGINT AS bhi, 0::BIGINT AS k FROM f_pairs
+  UNION ALL
+  SELECT p, part.alo, part.ahi, part.blo, part.bhi, part.k
+  FROM (
+    SELECT p, unnest([{'alo': alo, 'ahi': m, 'blo': blo, 'bhi': m - d, 'k': e - m},
+                      {'alo': e, 'ahi': ahi, 'blo': e - d, 'bhi': bhi, 'k': 0::BIGINT}]) AS part
+    FROM (
+      SELECT q.p, alo, ahi, blo, bhi, coalesce(best.d, r.d) AS d,
+             CASE WHEN best.d IS NULL THEN alo ELSE greatest(best.run_s, alo, blo + best.d) END AS m,
+             least(coalesce(best.run_e, r.e), ahi, bhi + coalesce(best.d, r.d)) AS e
+      FROM (
+        SELECT w.p, w.alo, w.ahi, w.blo, w.bhi,
+               arg_max({'d': c.d, 'run_s': c.run_s, 'run_e': c.run_e},
+                       ROW(least(c.e, w.ahi, w.bhi + c.d) - greatest(c.s, w.alo, w.blo + c.d),
+                           -greatest(c.s, w.alo, w.blo + c.d), c.d)) AS best
+        FROM f_ranges w LEFT JOIN f_cores c
+          ON c.p = w.p AND least(c.e, w.ahi, w.bhi + c.d) > greatest(c.s, w.alo, w.blo + c.d)
+        WHERE w.alo < w.ahi AND w.blo < w.bhi
+        GROUP BY ALL) q
+      LEFT JOIN f_runs r ON best.d IS NULL AND r.p = q.p AND r.d = q.alo - q.blo AND r.s <= q.alo AND r.e > q.alo)
+    WHERE d IS NOT NULL AND e > m)),
+f_similar AS MATERIALIZED (
+  SELECT a, b FROM f_pairs JOIN (SELECT p, sum(k) AS matched FROM f_ranges GROUP BY p) USING (p)
+  WHERE 2.0 * matched / (size_a + size_b) >= 0.75),
+f_earlier AS MATERIALIZED (
+  SELECT y.cc, y.art_date, y.n, list(x.n) FILTER (s.a IS NOT NULL) AS alike
+  FROM f_ordered y LEFT JOIN f_ordered x ON x.cc = y.cc AND x.art_date = y.art_date AND x.n < y.n
+  LEFT JOIN f_similar s ON s.a = x.title_key AND s.b = y.title_key
+  GROUP BY ALL),
+f_greedy AS (
+  SELECT cc, art_date, n, [n] AS primaries, NULL::BIGINT AS found FROM f_earlier WHERE n = 1
+  UNION ALL
+  SELECT cc, art_date, n, CASE WHEN found IS NULL THEN list_append(primaries, n) ELSE primaries END, found
+  FROM (SELECT e.cc, e.art_date, e.n, g.primaries, list_min(list_intersect(g.primaries, coalesce(e.alike, []))) AS found
+        FROM f_greedy g JOIN f_earlier e ON e.cc = g.cc AND e.art_date = g.art_date AND e.n = g.n + 1)),
+f_near AS (
+  SELECT f.article_id, f.cc, f.art_date, nullif(coalesce(p.first_id, f.first_id), f.article_id) AS duplicate_of
+  FROM f_firsts f JOIN f_ordered t USING (cc, art_date, title_key)
+  JOIN f_greedy g ON g.cc = t.cc AND g.art_date = t.art_date AND g.n = t.n
+  LEFT JOIN f_ordered p ON p.cc = g.cc AND p.art_date = g.art_date AND p.n = g.found
+  UNION ALL SELECT article_id, cc, art_date, NULL FROM f_firsts WHERE title_key = '')"""
 MARKS = """f_marks AS (
   SELECT article_id, CASE WHEN title_key <> '' AND first_id <> article_id THEN first_id END AS duplicate_of
   FROM f_firsts)"""
@@ -174,6 +248,11 @@ _oracle("dedup_blocks", *SCORED, CANDIDATES, FIRSTS, body="""
 SELECT cc, art_date, title_key, copies, first_id FROM f_firsts WHERE nth = 1 AND title_key <> ''""")
 _oracle("dedup_equal_titles", *SCORED, CANDIDATES, FIRSTS, MARKS,
         body="SELECT article_id, duplicate_of FROM f_marks")
+ALL_CANDIDATES = CANDIDATES.replace(" JOIN f_scored r USING (article_id)", "").replace(
+    "WHERE r.filter_decision = 'passed'", "")
+_oracle("dedup_marks", *SCORED, CANDIDATES, FIRSTS, NEAR, body="SELECT * FROM f_near")
+for _name in ("dedup_all_titles", "dedup_in_waves", "stream_dedup"):
+    _oracle(_name, SOURCES, ARTICLES, ALL_CANDIDATES, FIRSTS, NEAR, body="SELECT * FROM f_near")
 
 # -- text, time and identity --------------------------------------------------------------------------------
 _oracle("strip_html_pages", body=f"""

@@ -12,6 +12,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from newsmart.config import Dedup
 from newsmart.functions import offices, taxonomy
 from newsmart.functions import text as X
 from newsmart.operators import dedup, enrich, export, queues, reports
@@ -166,6 +167,13 @@ def dedup_all_titles(spark, folder):
     return dedup.mark_duplicates(_rows(spark, folder).withColumn("filter_decision", F.lit("passed")))
 
 
+@query
+def dedup_in_waves(spark, folder):
+    """The same marks with small chunks and slots: every block takes several waves, bands and slots."""
+    articles = _rows(spark, folder).withColumn("filter_decision", F.lit("passed"))
+    return dedup.mark_duplicates(articles, settings=Dedup(chunk_rows=32, slot_rows=24))
+
+
 # -- text, time and identity --------------------------------------------------------------------------------
 @query
 def strip_html_pages(spark, folder):

@@ -13,7 +13,8 @@ from pyspark.sql import functions as F
 
 from newsmart.config import Dedup
 from newsmart.functions import similarity
-from newsmart.operators.dedup import candidates, mark_duplicates, mark_equal_titles
+from newsmart.operators.dedup import band_edges, candidates, mark_duplicates, mark_equal_titles
+from newsmart.operators.ordering import placed
 
 WORDS = "fed signals rate hike hold bank japan raises rates boj yen profit rises slowly indonesia growth".split()
 
@@ -181,3 +182,38 @@ def test_new_articles_meet_the_stored_ones_of_their_blocks(spark):
     fresh = spark.createDataFrame([(10,), (11,)], "article_id long")
     marks = {r.article_id: r.duplicate_of for r in mark_duplicates(frame, touched_by=fresh).collect()}
     assert marks == {1: None, 10: 1, 11: None}
+
+
+@pytest.mark.parametrize("threshold", [0.5, 0.75, 0.8, 0.9, 1.0])
+def test_titles_two_length_bands_apart_are_never_similar(threshold):
+    edges = band_edges(threshold, 400)
+    band = [sum(edge <= length for edge in edges) for length in range(401)]
+    for a in range(1, 401):
+        for b in range(a, 401):
+            assert band[b] - band[a] <= 1 or 2.0 * a / (a + b) < threshold
+
+
+def test_places_of_a_hot_group_come_from_several_partitions(spark):
+    rng = random.Random(6)
+    rows = [("hot" if rng.random() < 0.9 else rng.choice("abc"), rng.random(), n) for n in range(4000)]
+    frame = spark.createDataFrame(rows, "k string, v double, n long").repartition(7)
+    groups = {}
+    for k, v, n in sorted(rows):
+        groups.setdefault(k, []).append(n)
+    expected = {(k, i): n for k, ns in groups.items() for i, n in enumerate(ns)}
+    merging = "spark.sql.adaptive.coalescePartitions.enabled"
+    try:
+        for merged in ("true", "false"):  # such small partitions would all be merged
+            spark.conf.set(merging, merged)
+            assert {(r.k, r.place): r.n for r in placed(frame, ["k"], ["v", "n"]).collect()} == expected
+        by_range = frame.repartitionByRange(F.col("k"), F.col("v")).select("k", F.spark_partition_id().alias("p"))
+        assert by_range.where("k = 'hot'").select("p").distinct().count() > 1
+    finally:
+        spark.conf.set(merging, "true")
+
+
+def test_marking_leaves_the_session_as_it_was(spark):
+    limit = "spark.sql.optimizer.windowGroupLimitThreshold"
+    before = spark.conf.get(limit)
+    mark_duplicates(_articles(spark, count=60)[1], settings=Dedup(chunk_rows=5, slot_rows=4)).count()
+    assert spark.conf.get(limit) == before
