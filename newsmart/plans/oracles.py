@@ -28,7 +28,7 @@ def _pct(part: str, whole: str) -> str:
     return f"CASE WHEN {whole} = 0 THEN '-' ELSE printf('%.1f%%', {part} * 100.0 / {whole}) END"
 
 
-# Articles with filter results and equal-title marks.
+# Articles with filter results and near-duplicate marks.
 CANDIDATES = f"""f_candidates AS (
   SELECT a.article_id, s.primary_country_code AS cc,
          CAST(CAST(coalesce(a.published_at, a.fetched_at) + INTERVAL 9 HOUR AS DATE) AS VARCHAR) AS art_date,
@@ -115,15 +115,16 @@ f_near AS (
   JOIN f_greedy g ON g.cc = t.cc AND g.art_date = t.art_date AND g.n = t.n
   LEFT JOIN f_ordered p ON p.cc = g.cc AND p.art_date = g.art_date AND p.n = g.found
   UNION ALL SELECT article_id, cc, art_date, NULL FROM f_firsts WHERE title_key = '')"""
-MARKS = """f_marks AS (
+EQUAL = """f_equal AS (
   SELECT article_id, CASE WHEN title_key <> '' AND first_id <> article_id THEN first_id END AS duplicate_of
   FROM f_firsts)"""
+MARKS = "f_marks AS MATERIALIZED (SELECT article_id, duplicate_of FROM f_near)"
 MARKED_ROWS = """f_marked AS (
   SELECT a.*, s.media_name, s.primary_country_code, s.tier, r.filter_stage, r.filter_decision, r.filter_reason,
          r.filter_score, m.duplicate_of
   FROM f_articles a JOIN f_sources s USING (source_id) JOIN f_scored r USING (article_id)
   LEFT JOIN f_marks m USING (article_id))"""
-MARKED = (*SCORED, CANDIDATES, FIRSTS, MARKS, MARKED_ROWS)
+MARKED = (*SCORED, CANDIDATES, FIRSTS, NEAR, MARKS, MARKED_ROWS)
 
 # Stored replies, parsed with DuckDB's JSON functions.
 REPLIES = """f_texts_of_replies AS (
@@ -246,8 +247,7 @@ SELECT count(*) AS total, count(*) FILTER (filter_decision = 'passed') AS passed
 # -- near duplicates --------------------------------------------------------------------------------------
 _oracle("dedup_blocks", *SCORED, CANDIDATES, FIRSTS, body="""
 SELECT cc, art_date, title_key, copies, first_id FROM f_firsts WHERE nth = 1 AND title_key <> ''""")
-_oracle("dedup_equal_titles", *SCORED, CANDIDATES, FIRSTS, MARKS,
-        body="SELECT article_id, duplicate_of FROM f_marks")
+_oracle("dedup_equal_titles", *SCORED, CANDIDATES, FIRSTS, EQUAL, body="SELECT article_id, duplicate_of FROM f_equal")
 ALL_CANDIDATES = CANDIDATES.replace(" JOIN f_scored r USING (article_id)", "").replace(
     "WHERE r.filter_decision = 'passed'", "")
 _oracle("dedup_marks", *SCORED, CANDIDATES, FIRSTS, NEAR, body="SELECT * FROM f_near")

@@ -54,10 +54,17 @@ def _filtered(spark, folder) -> DataFrame:
 
 
 def _marked(spark, folder) -> DataFrame:
-    """Articles with filter results and equal-title duplicates."""
-    filtered = _filtered(spark, folder)
-    marks = dedup.mark_equal_titles(dedup.candidates(filtered))
-    return filtered.drop("duplicate_of").join(marks, "article_id", "left")
+    """Articles without their bodies, with filter results and near-duplicate marks.
+
+    Both are stored once as narrow tables; all later stages read these and fetch bodies for the rows that are left.
+    """
+    heads = cut(_filtered(spark, folder).drop("summary"))
+    marks = cut(dedup.mark_duplicates(heads).select("article_id", "duplicate_of"))
+    return heads.drop("duplicate_of").join(marks, "article_id", "left")
+
+
+def _with_body(rows: DataFrame, spark, folder) -> DataFrame:
+    return rows.join(V.articles(spark, folder).select("article_id", "summary"), "article_id")
 
 
 def _without_enrichment(marked: DataFrame) -> DataFrame:
@@ -66,21 +73,21 @@ def _without_enrichment(marked: DataFrame) -> DataFrame:
 
 def _triaged(spark, folder) -> DataFrame:
     waiting = queues.untriaged(_marked(spark, folder))
-    return enrich.triage(waiting, V.responses(V.articles(spark, folder), enrich.TRIAGE))
+    return enrich.triage(waiting, V.responses(waiting, enrich.TRIAGE))
 
 
 def _kept(spark, folder) -> DataFrame:
     """Articles with filter, duplicate and triage results; every stage result is stored once."""
     marked = _marked(spark, folder)
-    responses = V.responses(V.articles(spark, folder), enrich.TRIAGE)
-    triaged = cut(enrich.triage(queues.untriaged(marked), responses))
+    waiting = queues.untriaged(marked)
+    triaged = cut(enrich.triage(waiting, V.responses(waiting, enrich.TRIAGE)))
     base, triaged = _without_enrichment(marked), triaged.withColumnRenamed("decision", "triage_decision")
     return base.join(triaged, "article_id", "left").withColumn("ai_score", F.lit(None).cast("int"))
 
 
 def _rank(kept: DataFrame, spark, folder) -> DataFrame:
-    responses = V.responses(V.articles(spark, folder), enrich.RANK)
-    return enrich.rank(queues.unranked(kept), responses, V.sample_topics())
+    waiting = queues.unranked(kept)
+    return enrich.rank(_with_body(waiting, spark, folder), V.responses(waiting, enrich.RANK), V.sample_topics())
 
 
 def _ranked(spark, folder) -> DataFrame:
@@ -88,7 +95,7 @@ def _ranked(spark, folder) -> DataFrame:
 
 
 def _final(spark, folder) -> DataFrame:
-    kept = _kept(spark, folder)
+    kept = cut(_kept(spark, folder))
     return kept.drop("ai_score").join(cut(_rank(kept, spark, folder)), "article_id", "left")
 
 
@@ -323,7 +330,7 @@ def triage_queue(spark, folder):
 
 @query
 def triage_requests(spark, folder):
-    return enrich.triage_requests(queues.untriaged(_marked(spark, folder)))
+    return enrich.triage_requests(_with_body(queues.untriaged(_marked(spark, folder)), spark, folder))
 
 
 @query
@@ -336,7 +343,7 @@ def triage_without_replies(spark, folder):
     """The offline stub answers every request with an empty object: everything is kept."""
     waiting = queues.untriaged(_marked(spark, folder))
     model, completer = enrich.get_completer("fast")
-    answered = enrich.complete(enrich.triage_requests(waiting), completer, model)
+    answered = enrich.complete(enrich.triage_requests(_with_body(waiting, spark, folder)), completer, model)
     return enrich.triage(waiting, answered)
 
 
@@ -347,7 +354,7 @@ def rank_queue(spark, folder):
 
 @query
 def rank_requests(spark, folder):
-    return enrich.rank_requests(queues.unranked(_kept(spark, folder)))
+    return enrich.rank_requests(_with_body(queues.unranked(_kept(spark, folder)), spark, folder))
 
 
 @query
@@ -528,7 +535,7 @@ def enrich_chain_rows(spark, folder):
     countries = V.sources(spark, folder).select(F.col("primary_country_code").alias("key")).distinct()
     brief = countries.select(F.lit(enrich.BRIEFING).alias("stage"), "key",
                              F.lit('{"summary": "weekly"}').alias("raw_text"), F.lit("stored:sample").alias("model"))
-    marked = _marked(spark, folder)
+    marked = cut(_marked(spark, folder))
     results = marked.select("article_id", "filter_stage", "filter_decision", "filter_reason", "filter_score")
     done = enrich_chain(
         _rows(spark, folder), results, marked.select("article_id", "duplicate_of"), stored.unionByName(brief),
