@@ -40,7 +40,7 @@ SPACE = 32
 def grams(text: str) -> tuple[np.ndarray, np.ndarray]:
     """Distinct n-grams (as numbers, ascending) of a text and how often each occurs; none without a letter."""
     letters = NO_LETTER.sub(" ", text.lower()).strip()
-    if not letters:
+    if not any(map(str.isalpha, letters)):  # other numbers, like fractions, are left but are no letters
         return np.zeros(0, np.int64), np.zeros(0, np.int64)
     codes = np.frombuffer(f" {letters} ".encode("utf-32-le", "replace"), np.uint32).astype(np.int64)
     pairs = (codes[:-1] << 21) | codes[1:]
