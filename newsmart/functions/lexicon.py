@@ -3,8 +3,9 @@
 A keyword made of ``[a-z0-9 ]`` only matches between characters outside ``[a-z0-9]``; any other
 keyword matches as a plain substring. All boundary keywords of a vocabulary are found in ONE regex
 pass over the text: a look-ahead captures the longest keyword after each separator, and the shorter
-keywords it begins with are added from a small constant map. List order is applied on the few hits,
-so the text is never rescanned per list.
+keywords it begins with are added from a small constant map. List order is applied on the few hits
+through a constant map from keyword to list and position, so neither the text nor a list is scanned
+again per list.
 """
 
 from __future__ import annotations
@@ -30,12 +31,9 @@ def text_array(texts: Iterable[str]) -> Column:
     return F.expr(f"array({', '.join(map(quoted, texts))})")
 
 
-def country_array(countries) -> Column:
-    """Constant array of (cc, keywords) in list order."""
-    structs = (
-        f"named_struct('cc', {quoted(cc)}, 'keywords', array({', '.join(map(quoted, keywords))}))"
-        for cc, keywords in countries
-    )
+def country_array(numbered: Iterable[tuple[str, int]]) -> Column:
+    """Constant array of (cc, number of its list) in list order."""
+    structs = (f"named_struct('cc', {quoted(cc)}, 'number', {number})" for cc, number in numbered)
     return F.expr(f"array({', '.join(structs)})")
 
 
@@ -103,9 +101,50 @@ def hits(text: Column, keywords: Iterable[str]) -> Column:
     return F.concat(token_hits(text, vocabulary), phrase_hits(text, vocabulary))
 
 
-def first_hit(found: Column, keywords: Sequence[str]) -> Column:
-    """First keyword of the list, in list order, that is among the hits; else NULL."""
-    return F.get(F.array_intersect(text_array(_unique(keywords)), found), F.lit(0))
+class Lists:
+    """Numbered keyword lists behind one constant map from keyword to its places.
+
+    A place is an int: the number of a list and the position in it. Lists are looked up by the few hits of a text, so the
+    work per row does not grow with the lists.
+    """
+
+    _WIDTH = 16
+
+    def __init__(self) -> None:
+        self._lists: list[list[str]] = []
+        self._places: dict[str, list[int]] = defaultdict(list)
+
+    def add(self, keywords: Iterable[str]) -> int:
+        """Number of a new list."""
+        unique = _unique(keywords)
+        if len(unique) >= 1 << self._WIDTH:
+            raise ValueError(f"a list has {len(unique)} keywords, {(1 << self._WIDTH) - 1} at most can be numbered")
+        number = len(self._lists)
+        for position, keyword in enumerate(unique):
+            self._places[keyword].append((number << self._WIDTH) + position)
+        self._lists.append(unique)
+        return number
+
+    def places(self, found: Column) -> Column:
+        """Places of the keywords found, on every list that has them; NULL where ``found`` is."""
+        none = F.expr("cast(array() as array<int>)")
+        if not self._places:
+            return F.when(found.isNotNull(), none)
+        pairs = (f"{quoted(key)}, array({', '.join(map(str, places))})" for key, places in self._places.items())
+        known = F.expr(f"map({', '.join(pairs)})")
+        return F.flatten(F.transform(F.array_distinct(found), lambda hit: F.coalesce(F.try_element_at(known, hit), none)))
+
+    def first(self, places: Column, number: int) -> Column:
+        """First keyword of a list, in list order, among the places; else NULL."""
+        if not self._lists[number]:
+            return F.lit(None).cast("string")
+        low = number << self._WIDTH
+        own = F.filter(places, lambda place: place.between(low, low + len(self._lists[number]) - 1))
+        return F.get(text_array(self._lists[number]), F.array_min(own) - low)
+
+    def numbers(self, places: Column) -> Column:
+        """Numbers of the lists that have any of the places."""
+        return F.array_distinct(F.transform(places, lambda place: F.shiftright(place, self._WIDTH)))
 
 
 @dataclass(frozen=True)

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from newsmart.config import WEIGHTS, Weights
 from newsmart.functions import text as X
-from newsmart.functions.lexicon import Lexicon, country_array, first_hit, hits, phrase_hits, token_hits
+from newsmart.functions.lexicon import Lexicon, Lists, country_array, hits, phrase_hits, token_hits
 from newsmart.session import counted
 
 RESULT_COLUMNS = ("article_id", "filter_stage", "filter_decision", "filter_reason", "filter_score")
@@ -44,23 +44,25 @@ def _text_hits(text: Column, language: Column, lexicon: Lexicon) -> Column:
     return _by_language(language, own, found)
 
 
-def _country_places(countries, title_hits: Column, body_hits: Column) -> Column:
-    """Countries found, in list order, each with the place ('title' before 'body') it was found in."""
-    listed = country_array(countries)
+def _country_places(numbered, in_title: Column, in_body: Column) -> Column:
+    """Countries found, in list order, each with the place ('title' before 'body') it was found in.
+
+    ``numbered`` pairs each country with the number of its list; the columns hold the numbers of the lists found.
+    """
+    if not numbered:
+        return F.expr("cast(array() as array<struct<cc: string, place: string>>)")
 
     def place(country: Column) -> Column:
-        found = F.when(F.arrays_overlap(country["keywords"], title_hits), "title").when(
-            F.arrays_overlap(country["keywords"], body_hits), "body"
+        found = F.when(F.array_contains(in_title, country["number"]), "title").when(
+            F.array_contains(in_body, country["number"]), "body"
         )
         return F.struct(country["cc"].alias("cc"), found.alias("place"))
 
-    return F.filter(F.transform(listed, place), lambda country: country["place"].isNotNull())
+    return F.filter(F.transform(country_array(numbered), place), lambda country: country["place"].isNotNull())
 
 
-def _list_result(keywords, title_hits: Column, body_hits: Column, label: str, weights: Weights) -> Column:
+def _list_result(in_title: Column, in_body: Column, label: str, weights: Weights) -> Column:
     """Struct (points, reason, in_title) of one finance list; the body counts only if the title missed."""
-    in_title = first_hit(title_hits, keywords)
-    in_body = first_hit(body_hits, keywords)
     points = (
         F.when(in_title.isNotNull(), weights.title_finance)
         .when(in_body.isNotNull(), weights.body_finance)
@@ -90,33 +92,54 @@ def score_text(df: DataFrame, lexicon: Lexicon, weights: Weights = WEIGHTS, skip
         *carried, language.alias("_language"), cleaned("title").alias("_title"), cleaned("summary").alias("_body")
     )
     full = F.concat_ws(" ", "_title", "_body")
+    lists, excluding = Lists(), Lists()
+    exclusion = excluding.add(lexicon.exclusion)
+    main_list = lists.add(lexicon.finance)
+    own_list = {code: lists.add(own.finance) for code, own in lexicon.own.items()}
+    extra_list = {code: lists.add(keywords) for code, keywords in lexicon.extra.items()}
+
+    def numbered(countries) -> list[tuple[str, int]]:
+        return [(cc, lists.add(keywords)) for cc, keywords in countries]
+
+    countries, own_countries = numbered(lexicon.countries), {c: numbered(own.countries) for c, own in lexicon.own.items()}
     scanned = texts.select(
         *carried,
         "_language",
         _text_hits(F.col("_title"), F.col("_language"), lexicon).alias("_title_hits"),
         _text_hits(F.col("_body"), F.col("_language"), lexicon).alias("_body_hits"),
-        F.when(F.col("_title").isNotNull(), first_hit(hits(full, lexicon.exclusion), lexicon.exclusion)).alias(
-            "_excluded"
-        ),
+        F.when(F.col("_title").isNotNull(), hits(full, lexicon.exclusion)).alias("_excluding"),
+    )
+    placed = scanned.select(
+        *carried,
+        "_language",
+        lists.places(F.col("_title_hits")).alias("_in_title"),
+        lists.places(F.col("_body_hits")).alias("_in_body"),
+        excluding.places(F.col("_excluding")).alias("_excluding"),
+    )
+    in_title, in_body = F.col("_in_title"), F.col("_in_body")
+    found = placed.select(
+        "*", lists.numbers(in_title).alias("_title_lists"), lists.numbers(in_body).alias("_body_lists")
     )
-    in_title, in_body = F.col("_title_hits"), F.col("_body_hits")
     spoken = F.col("_language")
 
-    def finance(label: str, keywords) -> Column:
-        return _list_result(keywords, in_title, in_body, label, weights)
+    def finance(label: str, number: int) -> Column:
+        return _list_result(lists.first(in_title, number), lists.first(in_body, number), label, weights)
 
-    main = {code: finance(f"{code}_fin", lists.finance) for code, lists in lexicon.own.items()}
-    extra = {code: finance(f"{code}_fin", keywords) for code, keywords in lexicon.extra.items()}
+    def placed_countries(pairs) -> Column:
+        return _country_places(pairs, F.col("_title_lists"), F.col("_body_lists"))
+
+    main = {code: finance(f"{code}_fin", number) for code, number in own_list.items()}
+    extra = {code: finance(f"{code}_fin", number) for code, number in extra_list.items()}
     nothing = F.struct(
         F.lit(0).alias("points"), F.lit(None).cast("string").alias("reason"), F.lit(False).alias("in_title")
     )
-    places = {code: _country_places(lists.countries, in_title, in_body) for code, lists in lexicon.own.items()}
-    matched = scanned.select(
+    places = {code: placed_countries(pairs) for code, pairs in own_countries.items()}
+    matched = found.select(
         *carried,
-        "_excluded",
-        _by_language(spoken, main, finance("fin", lexicon.finance)).alias("_main"),
+        excluding.first(F.col("_excluding"), exclusion).alias("_excluded"),
+        _by_language(spoken, main, finance("fin", main_list)).alias("_main"),
         _by_language(spoken, extra, nothing).alias("_extra"),
-        _by_language(spoken, places, _country_places(lexicon.countries, in_title, in_body)).alias("_places"),
+        _by_language(spoken, places, placed_countries(countries)).alias("_places"),
     )
     titled = F.size(F.filter("_places", lambda country: country["place"] == "title"))
     score = (

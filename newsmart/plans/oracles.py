@@ -9,7 +9,7 @@ from newsmart.plans.oracle_base import (
     ARTICLES, CATEGORIES, COUNTRY_CODES, FEEDS, SOURCES, cleaned, decoded, matches, normalized, quoted, scored,
     stripped, with_views,
 )
-from newsmart.sources.sample_views import sample_topics
+from newsmart.sources.sample_views import published_sample, sample_topics
 
 ORACLES: dict[str, str] = {}
 
@@ -208,6 +208,9 @@ def _oracle(name: str, *views: str, body: str) -> None:
 # -- filter ---------------------------------------------------------------------------------------------
 _RESULTS = "article_id, filter_stage, filter_decision, filter_reason, filter_score"
 _oracle("score_articles", *SCORED, body=f"SELECT {_RESULTS} FROM f_scored")
+_oracle(
+    "score_published_lexicon", SOURCES, ARTICLES, scored(published_sample()), body=f"SELECT {_RESULTS} FROM f_scored"
+)
 _oracle("refilter_pending", *SCORED, body=f"SELECT {_RESULTS} FROM f_scored WHERE filter_stage = 2")
 _oracle("filter_totals", *MARKED, body=f"""
 SELECT *, {_pct('passed', 'total')} AS passed_pct, {_pct('rejected', 'total')} AS rejected_pct,

@@ -105,6 +105,12 @@ def score_articles(spark, folder):
     return _scores(spark, folder)
 
 
+@query
+def score_published_lexicon(spark, folder):
+    """The published lists, long as they are, with a main list of over 300 words."""
+    return score(V.articles(spark, folder), V.sources(spark, folder), V.published_sample())
+
+
 @query
 def refilter_pending(spark, folder):
     """Only articles without a stored decision are scored; those of the first tier already have one."""

@@ -15,6 +15,7 @@ from newsmart.config import WIDTHS
 from newsmart.functions.lexicon import LanguageLists, Lexicon
 from newsmart.functions.taxonomy import TOPICS, Topic
 from newsmart.functions.text import content_hash, strip
+from newsmart.functions.wordlists import published_lexicon
 from newsmart.session import prepare, spread
 
 COUNTRY_CODES = ["KR", "US", "CN", "JP", "ID", "VN", "KH", "MM", "IN", "GB", "HK", "SG"]
@@ -36,6 +37,32 @@ TEST_LEXICON = Lexicon(
 )
 
 
+def published_sample() -> Lexicon:
+    """All published lists with words of the invented prose behind their own, so that each list is met.
+
+    "de", "es" and "fr" play the languages that have lists of their own. The main list, a parameter, is made by a rule: all
+    words of two of the syllables that the prose is made of, and some words of it.
+    """
+    syllables = "an at en er es he in is it le nd on or ou re st te th ti".split()
+    finance = [first + second for first in syllables for second in syllables if first != second]
+    published = published_lexicon([*finance, *TEST_LEXICON.finance])
+    sample = dict(_TEST_COUNTRIES)
+
+    def longer(countries):
+        return tuple((cc, (*keywords, *sample[cc])) for cc, keywords in countries)
+
+    (_, own), = published.own.items()
+    german, (spanish, french) = TEST_LEXICON.own["de"], TEST_LEXICON.extra.values()
+    indonesian, vietnamese = published.extra["id"], published.extra["vi"]
+    return Lexicon(
+        finance=published.finance,
+        countries=longer(published.countries),
+        exclusion=(*published.exclusion, *TEST_LEXICON.exclusion),
+        own={"de": LanguageLists((*own.finance, *german.finance), longer(own.countries))},
+        extra={"es": (*indonesian, *spanish), "fr": (*vietnamese, *french)},
+    )
+
+
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return prepare(spark).read.parquet(f"{folder}/{name}.parquet")
 

@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from newsmart.functions import wordlists
-from newsmart.functions.lexicon import Lexicon, first_hit, has_boundaries, hits
+from newsmart.functions.lexicon import Lexicon, Lists, has_boundaries, hits
 from newsmart.operators.scoring import score_articles, score_text
 
 FINANCE = ["inflation", "rate hike", "bank", "revenue", "currency", "m&a", "sanction", "commodit", "bank of japan"]
@@ -73,11 +73,19 @@ def test_one_pass_matching_equals_one_regex_per_keyword(spark, seed):
     pieces = [*vocabulary, " ", " ", "  ", ",", "x", "9", "é", "won", "bank", "of", "."]
     texts = ["".join(rng.choice(pieces) + rng.choice(["", " ", ", "]) for _ in range(rng.randint(0, 9))) for _ in range(400)]
     frame = spark.createDataFrame([(n, t) for n, t in enumerate(texts)], "n int, t string").orderBy("n")
-    rows = frame.select("t", hits(F.col("t"), vocabulary).alias("h")).select("t", "h", first_hit(F.col("h"), vocabulary).alias("f"))
-    for row in rows.collect():
+    lists = Lists()
+    numbers = [lists.add(part) for part in (vocabulary, vocabulary[::-1], [], vocabulary[:3])]
+    found = frame.select("t", hits(F.col("t"), vocabulary).alias("h")).select("t", "h", lists.places(F.col("h")).alias("p"))
+    firsts = F.array(*[lists.first(F.col("p"), number) for number in numbers])
+    for row in found.select("t", "h", firsts.alias("f"), lists.numbers(F.col("p")).alias("n")).collect():
         expected = [keyword for keyword in vocabulary if _expected(row.t, keyword)]
         assert set(row.h) == set(expected), row.t
-        assert row.f == (expected[0] if expected else None)
+        some = [keyword for keyword in vocabulary[:3] if keyword in expected]
+        ends = (expected[0], expected[-1]) if expected else (None, None)
+        assert row.f == [*ends, None, some[0] if some else None]
+        assert sorted(row.n) == ([0, 1] if expected else []) + ([3] if some else [])
+    missing = frame.limit(1).select(lists.places(F.lit(None).cast("array<string>")).alias("p"))
+    assert missing.select("p", lists.first(F.col("p"), 0), lists.numbers(F.col("p"))).first() == (None, None, None)
 
 
 def test_scores_do_not_depend_on_the_partitioning(spark):
