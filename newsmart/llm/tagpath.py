@@ -55,6 +55,7 @@ CLOSED_BY = {
     "td": frozenset(["td", "th"]), "th": frozenset(["td", "th"]), "option": frozenset(["option"]),
     "tbody": frozenset(["tr", "td", "th", "thead", "tbody"]), "body": frozenset(["head"]),
 }
+CLOSABLE = frozenset(["p", *(tag for tags in CLOSED_BY.values() for tag in tags)])
 SCOPES = frozenset("ul ol dl table div section article main body html".split())
 _NAMED = (
     r"(?:ads?|adverts?|advertisements?|advertising|banners?|sponsor(?:ed|s)?|promos?|promotions?|cookies?|consent|gdpr|"
@@ -71,67 +72,116 @@ _BESIDE = (
 )
 BOILERPLATE = re.compile(rf"(?:{_BESIDE}[_-]+)*{_NAMED}(?:[_-]+(?:{_NAMED}|{_BESIDE}))*", re.IGNORECASE)
 CONTENT = frozenset(["article", "main"])
+HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 # Elements that hold whole articles; the page itself is the outermost one.
 CONTAINERS = frozenset(["", "div", "section", "article", "main", "td"])
 CONTENT_WORDS = re.compile(r"(?:^|[\s_-])(?:article(?:-?body|-?content|-?text)?|post-?(?:body|content|text)|entry-?content|story-?body|main)(?:$|[\s_-])", re.IGNORECASE)  # noqa: E501
 
-PIECE = re.compile(r"<!--.*?(?:-->|$)|<[!?][^>]*(?:>|$)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)(?:>|$)", re.DOTALL)
+START = re.compile(r"<(?:/?[a-zA-Z]|[!?])")
+_OTHER = r"<!--.*?(?:-->|$)|<[!?][^>]*(?:>|$)"
+_TAG = r"<(/?)([a-zA-Z][^\s/>]*+)"
+PIECE = re.compile(rf"{_OTHER}|{_TAG}((?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+)(?:>|$)", re.DOTALL)
+# From a quote on that never closes, the next > ends a tag.
+BROKEN = re.compile(rf"{_OTHER}|{_TAG}([^>]*)(?:>|$)", re.DOTALL)
 MARKS = re.compile(r"(class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>\"']+))", re.IGNORECASE)
 HIDDEN = re.compile(r"(?:^|\s)hidden(?:\s|=|$)|display\s*:\s*none|aria-hidden\s*=\s*[\"']?true", re.IGNORECASE)
 PUNCTUATION = re.compile(r"[.,;:!?…。，！？、؛،]")
 
 
-@dataclass
+@dataclass(slots=True)
 class Element:
-    tag: str
-    path: str
-    number: int
-    dropped: bool
-    content: int
-    level: int
-    doubtful: tuple[int, ...] = ()
-
+    """An open element. ``path`` numbers its tag path, ``box`` is its innermost container, ``outer`` the one around it, and
+    ``doubt`` its innermost doubtful element (itself included, each). ``near`` has the depths of open elements that a start
+    tag may close. ``block`` is the element whose text it holds: itself, or what is around an inline element."""
 
-@dataclass
+    tag: str
+    path: int = 0
+    number: int = 0
+    dropped: bool = False
+    content: int = 0
+    level: int = 0
+    box: int = 0
+    outer: int = 0
+    doubt: int = 0
+    link: bool = False
+    heading: bool = False
+    near: dict[str, int] = field(default_factory=dict)
+    block: Element | None = None
+
+
+@dataclass(slots=True)
 class Block:
-    """Text of one block with its tag path, the number of its content container and those of the containers around it.
-
-    A part is (text, is it inside a link, the doubtful elements around it).
-    """
+    """Text of one block: its tag path, the number of its content element, the container around it, and its own element
+    if that is a container (else -1). A part is (text, is it inside a link, the innermost doubtful element around it)."""
 
-    path: str
-    around: tuple[int, ...]
+    path: int
+    tag: str
+    heading: bool
     content: int
-    parts: list[tuple[str, bool, tuple[int, ...]]] = field(default_factory=list)
+    around: int
+    holder: int
+    parts: list[tuple[str, bool, int]] = field(default_factory=list)
     linked: int = 0
     text: str = ""
 
 
-def _main_elements(found: list[Block]) -> set[int]:
+@dataclass(frozen=True)
+class Page:
+    """Blocks of a page, and the number of the container around each container (0 is the page)."""
+
+    blocks: list[Block]
+    outer: dict[int, int]
+
+
+def _summed(sizes: dict[int, int], parents: dict[int, int]) -> dict[int, int]:
+    """Sizes with those of everything inside; a number is above those of the elements around it."""
+    total = dict(sizes)
+    for number in sorted(parents, reverse=True):
+        if number in total:
+            around = parents[number]
+            total[around] = total.get(around, 0) + total[number]
+    return total
+
+
+def _main_elements(found: list[Block], doubts: dict[int, int]) -> set[int]:
     """The doubtful elements that hold most of the page: of the text of declared content, or of all text if none is declared.
 
     Where the page has a first-level heading, they hold it too, or nearly all of the text: long comments are no article.
+    Those inside another that does not are left out.
     """
     declared = any(b.content and raw.strip() for b in found for raw, _, _ in b.parts)
-    total, heads, size, headed = 0, 0, {}, {}
+    size, headed = {}, {}
     for block in found:
-        head = bool(re.search(r"/h1(?:\.|/|$)", block.path))
-        for raw, _, around in block.parts:
+        for raw, _, doubt in block.parts:
             weight = len(raw.strip()) if block.content or not declared else 0
-            total += weight
-            heads += head
-            for number in around:
-                size[number] = size.get(number, 0) + weight
-                headed[number] = headed.get(number, 0) + head
-    return {n for n, x in size.items() if 2 * x > total and (headed[n] or not heads or 10 * x > 9 * total)}
-
-
-def blocks(page: str) -> list[Block]:
-    """The blocks of a page in order, without those inside elements that are never article text."""
+            size[doubt] = size.get(doubt, 0) + weight
+            headed[doubt] = headed.get(doubt, 0) + block.heading
+    size, headed = _summed(size, doubts), _summed(headed, doubts)
+    total, heads = size.get(0, 0), headed.get(0, 0)
+    main = {0}
+    for number, around in sorted(doubts.items()):
+        x = size.get(number, 0)
+        if around in main and 2 * x > total and (headed[number] or not heads or 10 * x > 9 * total):
+            main.add(number)
+    return main
+
+
+def read_page(page: str) -> Page:
+    """The blocks of a page in order, without those inside elements that are never article text.
+
+    The work grows with the page, however deep its elements are nested.
+    """
     out: list[Block] = []
-    stack = [Element("", "", 0, False, 0, 0)]
+    root = Element("")
+    root.block = root
+    stack = [root]
+    opened: dict[str, int] = {}
+    paths: dict[tuple[int, str], int] = {}
+    boxes: dict[int, int] = {}
+    doubts: dict[int, int] = {}
     number, at, size = 0, 0, len(page)
     fresh = True
+    piece = PIECE
 
     def add(raw: str) -> None:
         nonlocal fresh
@@ -141,32 +191,37 @@ def blocks(page: str) -> list[Block]:
         if fresh:
             if not raw.strip():
                 return
-            owner = next((e for e in reversed(stack) if e.tag not in INLINE), stack[0])
-            around = tuple(e.number for e in stack if e.tag in CONTAINERS and e is not owner)
-            out.append(Block(owner.path, around, owner.content))
+            owner = top.block
+            holder = owner.number if owner.tag in CONTAINERS else -1
+            out.append(Block(owner.path, owner.tag, owner.heading, owner.content, owner.outer, holder))
             fresh = False
-        out[-1].parts.append((raw, any(e.tag == "a" for e in stack), top.doubtful))
+        out[-1].parts.append((raw, top.link, top.doubt))
 
     def close_to(depth: int) -> None:
         nonlocal fresh
         while len(stack) > depth:
-            fresh |= stack.pop().tag not in INLINE
+            tag = stack.pop().tag
+            opened[tag] -= 1
+            fresh |= tag not in INLINE
 
     while at < size:
-        found = PIECE.search(page, at)
-        end = found.start() if found else size
+        start = START.search(page, at)
+        end = start.start() if start else size
         add(page[at:end])
-        if not found:
+        if not start:
             break
+        found = piece.match(page, end)
+        if not found:
+            piece = BROKEN
+            found = piece.match(page, end)
         at = found.end()
         tag = found[2]
         if not tag:
             continue
         tag = tag.lower()
         if found[1]:
-            depth = next((d for d in range(len(stack) - 1, 0, -1) if stack[d].tag == tag), 0)
-            if depth:
-                close_to(depth)
+            if opened.get(tag):
+                close_to(next(d for d in range(len(stack) - 1, 0, -1) if stack[d].tag == tag))
             elif tag == "p":
                 fresh = True
             continue
@@ -174,14 +229,10 @@ def blocks(page: str) -> list[Block]:
             add(" ")
             continue
         if tag in CLOSES_P or tag in CLOSED_BY:
-            closed = CLOSED_BY.get(tag, frozenset()) | (frozenset(["p"]) if tag in CLOSES_P else frozenset())
-            for depth in range(len(stack) - 1, 0, -1):
-                if stack[depth].tag in closed:
-                    close_to(depth)
-                    if tag not in ("tr", "tbody", "body"):
-                        break
-                elif stack[depth].tag in SCOPES:
-                    break
+            near = stack[-1].near
+            closed = [near[t] for t in CLOSED_BY.get(tag, ("p",)) if t in near]
+            if closed:
+                close_to(min(closed) if tag in ("tr", "tbody", "body") else max(closed))
         if tag not in INLINE:
             fresh = True
         if tag in VOID:
@@ -208,24 +259,38 @@ def blocks(page: str) -> list[Block]:
             or (tag == "header" and not top.content)
             or (bool(found[3]) and bool(HIDDEN.search(found[3])))
         )
-        doubtful = top.doubtful
+        new = Element(
+            tag, top.path, number, dropped, content, level, top.box, top.box, top.doubt, top.link or tag == "a",
+            top.heading or tag == "h1", top.near, top.block,
+        )
+        if tag not in INLINE:
+            label = f"{tag}.{'.'.join(sorted(marks.get('class', '').split()))}".rstrip(".")
+            new.path, new.block = paths.setdefault((top.path, label), len(paths) + 1), new
+        if tag in CONTAINERS:
+            new.box = number
+            boxes[number] = top.box
         if named and tag not in ("html", "body", "article", "main") and content != number:
-            doubtful = (*doubtful, number)
-        label = tag if tag in INLINE else f"{tag}.{'.'.join(sorted(marks.get('class', '').split()))}".rstrip(".")
-        stack.append(Element(tag, f"{top.path}/{label}" if tag not in INLINE else top.path, number, dropped, content, level, doubtful))
-    decided = _main_elements(out)
+            new.doubt = number
+            doubts[number] = top.doubt
+        if tag in SCOPES:
+            new.near = {}
+        elif tag in CLOSABLE:
+            new.near = {**top.near, tag: len(stack)}
+        opened[tag] = opened.get(tag, 0) + 1
+        stack.append(new)
+    decided = _main_elements(out, doubts)
     for block in out:
-        parts = [(raw, link) for raw, link, around in block.parts if decided.issuperset(around)]
+        parts = [(raw, link) for raw, link, doubt in block.parts if doubt in decided]
         block.text = " ".join(entities.unescape("".join(raw for raw, _ in parts)).split())
         block.linked = sum(len(raw) for raw, link in parts if link)
-    return [b for b in out if b.text]
+    return Page([b for b in out if b.text], boxes)
 
 
 def _fused(found: list[Block], settings: Extraction) -> list[float]:
     """The fused tag-path ratio of every block: how long and punctuated the texts of its path are, and how much they vary."""
-    lengths: dict[str, list[int]] = {}
-    marks: dict[str, list[int]] = {}
-    linked: dict[str, int] = {}
+    lengths: dict[int, list[int]] = {}
+    marks: dict[int, list[int]] = {}
+    linked: dict[int, int] = {}
     for block in found:
         lengths.setdefault(block.path, []).append(len(block.text))
         marks.setdefault(block.path, []).append(len(PUNCTUATION.findall(block.text)))
@@ -250,25 +315,32 @@ def _fused(found: list[Block], settings: Extraction) -> list[float]:
     ]
 
 
-def _beside(found: list[Block], picked: list[int]) -> set[int]:
+def _beside(page: Page, picked: list[int]) -> set[int]:
     """The blocks of the innermost container that holds nine tenths of the picked text.
 
-    If that is the page itself, containers inside it that hold nothing picked are no part of the article.
+    Text that stands in a container directly, beside other blocks, belongs to it; an element that holds only text is a
+    paragraph, whatever its tag. If the container is the page itself, containers inside it that hold nothing picked are no
+    part of the article.
     """
+    found = page.blocks
+    inside = _summed({b.around: 1 for b in found}, page.outer)
+    own = [b.holder if b.holder in inside else b.around for b in found]
     size: dict[int, int] = {}
     for i in picked:
-        for number in found[i].around:
-            size[number] = size.get(number, 0) + len(found[i].text)
-    # A container's number is above those of the containers around it.
+        size[own[i]] = size.get(own[i], 0) + len(found[i].text)
+    size = _summed(size, page.outer)
     container = max((n for n, x in size.items() if 10 * x >= 9 * size[0]), default=0)
-    if container:
-        return {i for i, b in enumerate(found) if container in b.around}
-    return {i for i, b in enumerate(found) if all(n in size for n in b.around)}
+    kept = {container}
+    for number, around in sorted(page.outer.items()):
+        if around in kept and (container or number in size):
+            kept.add(number)
+    return {i for i, n in enumerate(own) if n in kept}
 
 
 def main_text(page: str, settings: Extraction = Extraction()) -> str:  # noqa: B008
     """The article's blocks in page order, joined by line ends; empty if there is none."""
-    found = blocks(page)
+    read = read_page(page)
+    found = read.blocks
     if not found:
         return ""
     fused = _fused(found, settings)
@@ -285,9 +357,9 @@ def main_text(page: str, settings: Extraction = Extraction()) -> str:  # noqa: B
         return "\n".join(b.text for b in found if b.content in declared)
     # Headings, lists and short paragraphs between content blocks, or a heading just before them, belong to the article.
     first, last = picked[0], picked[-1]
-    while first and re.search(r"/h[1-6](\.|$)", found[first - 1].path):
+    while first and found[first - 1].tag in HEADINGS:
         first -= 1
-    beside = _beside(found, picked)
+    beside = _beside(read, picked)
     keep = set(picked) | {
         i for i, b in enumerate(found) if (first <= i <= last or i in beside) and b.linked <= settings.links * len(b.text)
     }

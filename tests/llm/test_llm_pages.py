@@ -2,6 +2,7 @@
 
 import html
 import re
+import time
 
 import compare
 import duckdb
@@ -117,3 +118,43 @@ def test_pages_that_are_awkward(awkward):
     assert (rows[2].text, rows[3].text, rows[6].n_chars) == ("", "", 1) and rows[8].text == "x"
     assert tagpath.extracted(awkward).select("row.*").columns == awkward.columns
     assert tagpath.texts(awkward.limit(0)).count() == 0
+
+
+LONG = "This is a long paragraph, with commas and stops. It goes on for a while; then it ends, at last."
+UNDECLARED = f"""<body><div class=x1><div>Home</div><div>About us</div><div>Contact</div></div>
+<div class=x2>Opening words, bare.<h2>Head</h2><p>{LONG} One.</p><p>{LONG} Two.</p><p>Short.</p><p>{LONG} Three.</p>Closing words, bare.</div>
+<div class=x3><span>Copyright notice</span><div>All rights</div><div>Imprint</div></div></body>"""
+
+
+def test_the_ratio_decides_where_nothing_is_declared(monkeypatch):
+    expected = ["Opening words, bare.", "Head", f"{LONG} One.", f"{LONG} Two.", "Short.", f"{LONG} Three.", "Closing words, bare."]
+    assert tagpath.main_text(UNDECLARED) == "\n".join(expected)
+    monkeypatch.setattr(tagpath, "_fused", lambda found, settings: [1.0] * len(found))
+    assert "Imprint" in tagpath.main_text(UNDECLARED)
+
+
+def test_bare_text_of_the_container_stays():
+    page = f"<body><div>Bare, to begin with.<h1>T</h1><p>{LONG}</p><p>{LONG}</p>and to end with</div><div>Other</div></body>"
+    assert tagpath.main_text(page) == f"Bare, to begin with.\nT\n{LONG}\n{LONG}\nand to end with"
+    leaves = f"<body><div><div>{LONG} {LONG}</div><div>Short one.</div></div><div class=z><div>Foot</div></div></body>"
+    assert tagpath.main_text(leaves) == f"{LONG} {LONG}\nShort one."
+
+
+@pytest.mark.parametrize("broken", ['<p title="abc>', "<p title='abc>", '<p a="x" b="y>', '<p title="a > b">', "<p title='<b>'>"])
+def test_markup_with_quotes_is_no_text(broken):
+    text = tagpath.main_text(f"<article>{broken}Some text, it says.</p><p>And more.</p></article>")
+    assert text == "Some text, it says.\nAnd more."
+
+
+@pytest.mark.parametrize(
+    "page",
+    [
+        "<div>" * 20_000 + "<p>x, y.</p>" * 20_000, "".join(f"<div>t{i}, u." for i in range(20_000)),
+        "<div class=ad>" * 20_000 + "x" * 9, "<b>" * 20_000 + "<p>x" * 20_000, "<b>" * 20_000 + "<h2>x</h2></i>" * 20_000,
+        "<p a='>' " * 20_000 + '"', "<a href='" * 20_001, "<" * 20_000, "<ul><li>x" * 20_000, "<a" * 20_000 + '"',
+    ],
+)
+def test_broken_pages_take_time_in_proportion(page):
+    begun = time.process_time()
+    tagpath.main_text(page)
+    assert time.process_time() - begun < 3
