@@ -270,7 +270,7 @@ def active_feeds(spark, folder):
 # -- ingest --------------------------------------------------------------------------------------------------
 @query
 def parse_feed_xml(spark, folder):
-    return parse_payloads(V.payloads(spark, folder)).entries.select(
+    return parse_payloads(V.payloads(spark, folder), store=None).entries.select(
         "feed_id", "source_id", "pos", X.strip(F.col("title")).alias("title"), "link",
         X.strip(F.col("summary")).alias("summary"), "published",
     )
@@ -278,7 +278,7 @@ def parse_feed_xml(spark, folder):
 
 @query
 def parse_feed_status(spark, folder):
-    return parse_payloads(V.payloads(spark, folder)).feeds.select("feed_id", "status", "error", "entry_count")
+    return parse_payloads(V.payloads(spark, folder), store=None).feeds.select("feed_id", "status", "error", "entry_count")
 
 
 @query
@@ -317,7 +317,7 @@ def ingest_run_metrics(spark, folder):
 def feed_health(spark, folder):
     """Feeds of the first section were fetched now; all others keep their earlier outcome."""
     feeds = V.feeds(spark, folder).withColumn("last_fetched", F.to_timestamp(F.lit("2024-01-01 00:00:00")))
-    outcome = parse_payloads(V.payloads(spark, folder)).feeds
+    outcome = parse_payloads(V.payloads(spark, folder), store=None).feeds
     counts = outcome.withColumn("feed_id", F.col("source_id") * 2).select("feed_id", "status", "fetched_at", "error")
     updated = ingesting.update_feed_health(feeds, counts)
     return updated.withColumn("last_fetched", stamp("last_fetched"))

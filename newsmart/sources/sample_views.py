@@ -219,13 +219,18 @@ def _xml(text: Column) -> Column:
 
 
 def payload_columns(rows: DataFrame) -> DataFrame:
-    """One stored payload per article: RSS, Atom, a broken RSS body, or a failed fetch."""
-    kind = F.col("article_id") % 10
+    """One stored payload per article: RSS, Atom, a broken body of either, or a failed fetch.
+
+    Some RSS bodies have their text in ``content:encoded``, and some broken ones an undefined entity in a whole item.
+    """
+    kind, half = F.col("article_id") % 10, F.col("article_id") % 20
     title, summary = _xml(F.col("title")), _xml(F.col("summary"))
     date = _rfc(F.col("published_at"), 0, " GMT")
+    body_tag = F.when(half == 5, "content:encoded").otherwise("description")
     item = F.concat(
-        F.lit("<item><title>"), title, F.lit("</title><link>"), "link", F.lit("</link><description>"), summary,
-        F.lit("</description><pubDate>"), date, F.lit("</pubDate></item>"),
+        F.lit("<item><title>"), title, F.lit("</title><link>"), "link", F.lit("</link><"), body_tag, F.lit(">"), summary,
+        F.lit("</"), body_tag, F.lit("><pubDate>"), date, F.lit("</pubDate>"),
+        F.when(half == 17, "<category>R&D&nbsp;x</category>").otherwise(""), F.lit("</item>"),
     )
     rss = F.concat(F.lit('<?xml version="1.0"?><rss version="2.0"><channel><title>feed</title>'), item,
                    F.lit("</channel></rss>"))
@@ -233,7 +238,7 @@ def payload_columns(rows: DataFrame) -> DataFrame:
         F.lit('<feed xmlns="http://www.w3.org/2005/Atom"><entry><title>'), title,
         F.lit('</title><link rel="self" href="https://self.example.com/"/><link href="'), "link",
         F.lit('"/><summary>'), summary, F.lit("</summary><published>"), _iso(F.col("published_at"), 0, "Z"),
-        F.lit("</published></entry></feed>"),
+        F.lit("</published></entry>"), F.when(half == 16, "<entry><title>cut").otherwise("</feed>"),
     )
     broken = F.concat(F.lit("<rss><channel>"), item, F.lit("<item><title>cut"))
     body = F.when(kind < 6, rss).when(kind == 6, atom).when(kind == 7, broken).when(kind == 8, "no feed at all")

@@ -48,9 +48,9 @@ def ingest_stream(
 
     def write(batch: DataFrame, batch_id: int) -> None:
         own = batch.sparkSession
-        # Each body is parsed once: fetches and entries are stored before they are counted and numbered.
+        # Each body is parsed once, into a stage table that both the fetches and the entries are read from.
         parsed = parse_payloads(batch)
-        fetched, rows = cut(parsed.feeds), cut(entry_rows(parsed.entries))
+        fetched, rows = parsed.feeds, cut(entry_rows(parsed.entries))
         new = insert_new(rows, _history(own, articles_path, SCHEMAS["articles"], batch_id))
         folder = f"{articles_path}/batch={batch_id}"
         conform(new, "articles").write.mode("overwrite").parquet(folder)

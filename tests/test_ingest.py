@@ -84,6 +84,12 @@ RSS = """<?xml version="1.0"?><rss version="2.0"><channel><title>t</title>
 ATOM = """<feed xmlns="http://www.w3.org/2005/Atom"><entry><title type="html">E</title><link rel="self" href="http://s"/>
 <link href="http://y/1"/><content type="html">body</content><updated>2024-01-02T00:00:00Z</updated></entry></feed>"""
 RDF = """<rdf:RDF xmlns:rdf="r"><channel><title>t</title></channel><item><title>F</title><link>http://z/1</link></item></rdf:RDF>"""
+XHTML = """<feed xmlns="http://www.w3.org/2005/Atom"><entry><title type="xhtml"><div xmlns="http://www.w3.org/1999/xhtml">H <b>i</b></div>
+</title><link href="http://h/1"/><content type="xhtml"><div xmlns="http://www.w3.org/1999/xhtml"><p>in</p> it</div></content></entry></feed>"""
+BROKEN_ATOM = """<feed><entry><title>J</title><link href="http://j/1"/></entry><entry><title>K & L</title><link href="http://j/2?a=1&b=2"/>
+<summary>x&nbsp;y</summary></entry><entry><title>M<i></title><link href="http://j/3"/></entry><entry><title>cut"""
+ENCODED = """<rss xmlns:content="c"><channel><item><title>N</title><link>http://n/1</link><description></description>
+<content:encoded><![CDATA[<p>whole & full</p>]]></content:encoded></item></channel></rss>"""
 BROKEN = "<rss><channel><item><title>G</title><link>http://b/1</link></item><item><title>cut"
 
 
@@ -106,6 +112,17 @@ def test_payloads(spark):
     assert (rows["E"].link, rows["E"].summary, rows["E"].published_at) == ("http://y/1", "body", dt.datetime(2024, 1, 2))
 
 
+def test_rescued_entries_markup_and_full_contents(spark):
+    rows = [(n, 1, NOW, 200, None, body) for n, body in enumerate([XHTML, BROKEN_ATOM, ENCODED])]
+    payloads = spark.createDataFrame(rows, SCHEMAS["feed_payloads"])
+    for parsed in (parse_payloads(payloads), parse_payloads(payloads, store=None)):
+        assert {r.feed_id: (r.error, r.entry_count) for r in parsed.feeds.collect()} == {0: (None, 1), 1: (None, 2), 2: (None, 1)}
+        got = {r.title: (r.link, r.summary) for r in ingest.entry_rows(parsed.entries).collect()}
+        assert got == {"H <b>i</b>": ("http://h/1", "in it"), "J": ("http://j/1", ""), "N": ("http://n/1", "whole & full"),
+                       "K & L": ("http://j/2?a=1&b=2", "x\xa0y")}
+    assert "from_xml" not in parse_payloads(payloads).entries._jdf.queryExecution().optimizedPlan().toString()
+
+
 def _entries(spark, rows):
     full = [(feed, 1, pos, title, link, None, None, None, NOW) for feed, pos, title, link in rows]
     return spark.createDataFrame(
