@@ -33,7 +33,7 @@ from newsmart.config import DEDUP, Dedup
 from newsmart.functions import text as X
 from newsmart.functions.similarity import assign, resolve
 from newsmart.operators.ordering import placed
-from newsmart.session import cut
+from newsmart.session import Counters, counted, cut
 
 BLOCK = ["cc", "art_date"]
 
@@ -224,7 +224,8 @@ def _salted(rows: DataFrame, resolved: DataFrame, titles: DataFrame, settings: D
 
 
 def mark_duplicates(
-    articles: DataFrame, recheck: bool = False, settings: Dedup = DEDUP, touched_by: DataFrame | None = None
+    articles: DataFrame, recheck: bool = False, settings: Dedup = DEDUP, touched_by: DataFrame | None = None,
+    counters: Counters | None = None,
 ) -> DataFrame:
     """``article_id, cc, art_date, duplicate_of`` for every checked article (NULL: not a duplicate).
 
@@ -238,6 +239,9 @@ def mark_duplicates(
     resolved = resolve_titles(titles, settings)
     joined = _with_titles(rows, resolved, titles, settings)
     primary = F.coalesce(F.col("primary_id"), F.col("rank_id"))
-    return joined.select(
+    marks = joined.select(
         "article_id", *BLOCK, F.when(primary != F.col("article_id"), primary).alias("duplicate_of")
     )
+    if counters is None:
+        return marks
+    return counted(marks, "dedup", counters, checked=F.count(F.lit(1)), duplicates=F.count("duplicate_of"))

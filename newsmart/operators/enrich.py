@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from newsmart.config import LIMITS, WIDTHS
 from newsmart.functions import offices, replies, taxonomy
 from newsmart.functions import text as X
-from newsmart.session import counted
+from newsmart.session import Counters, counted
 
 Completer = Callable[[str, str, int, float], str]
 
@@ -82,7 +82,7 @@ def triage_requests(queue: DataFrame) -> DataFrame:
     )
 
 
-def triage(queue: DataFrame, responses: DataFrame) -> DataFrame:
+def triage(queue: DataFrame, responses: DataFrame, counters: Counters | None = None) -> DataFrame:
     """``article_id, decision, reject_reason``; without a usable reply the article is kept."""
     joined = _with_reply(queue.select("article_id"), responses, TRIAGE)
     keep = replies.keep_flag(F.col("reply"))
@@ -94,7 +94,7 @@ def triage(queue: DataFrame, responses: DataFrame) -> DataFrame:
         F.when(~F.col("keep"), F.col("reason")).alias("reject_reason"),
     )
     return counted(
-        results, TRIAGE, total=F.count(F.lit(1)), keep=F.count_if(F.col("decision") == "keep"),
+        results, TRIAGE, counters, total=F.count(F.lit(1)), keep=F.count_if(F.col("decision") == "keep"),
         drop=F.count_if(F.col("decision") == "drop"),
     )
 
@@ -119,6 +119,7 @@ def rank(
     topics: Sequence[taxonomy.Topic] = taxonomy.TOPICS,
     default_model: str = "stub:smart",
     implication_field: str = IMPLICATION_FIELD,
+    counters: Counters | None = None,
 ) -> DataFrame:
     """Score, summary, topics and implication per queued article.
 
@@ -146,7 +147,7 @@ def rank(
         "model",
     )
     return counted(
-        results, RANK, ranked=F.count(F.lit(1)), active=F.count_if(F.col("ai_score") >= LIMITS.active_score)
+        results, RANK, counters, ranked=F.count(F.lit(1)), active=F.count_if(F.col("ai_score") >= LIMITS.active_score)
     )
 
 
@@ -199,7 +200,8 @@ def briefing_requests(inputs: DataFrame) -> DataFrame:
 
 
 def briefings(
-    inputs: DataFrame, responses: DataFrame, briefing_date: str, generated_at: Column, briefing_type: str = "weekly"
+    inputs: DataFrame, responses: DataFrame, briefing_date: str, generated_at: Column, briefing_type: str = "weekly",
+    counters: Counters | None = None,
 ) -> DataFrame:
     """Briefing rows of the countries that have a non-empty reply."""
     own = _replies(responses, BRIEFING).withColumnRenamed("_key", "cc")
@@ -209,7 +211,7 @@ def briefings(
     def cut_text(name: str, size: int) -> Column:
         return F.substring(X.or_empty(replies.text_of(reply, name)), 1, size).alias(name)
 
-    return inputs.join(usable, "cc").select(
+    results = inputs.join(usable, "cc").select(
         "cc",
         F.lit(briefing_date).cast("date").alias("briefing_date"),
         F.lit(briefing_type).alias("briefing_type"),
@@ -223,6 +225,7 @@ def briefings(
         "article_count",
         "source_articles",
     )
+    return counted(results, BRIEFING, counters, written=F.count(F.lit(1)), articles=F.sum("article_count"))
 
 
 BRIEFING_KEY = ["cc", "briefing_date", "briefing_type"]

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from newsmart.config import WEIGHTS, Weights
 from newsmart.functions import text as X
 from newsmart.functions.lexicon import Lexicon, Lists, country_array, hits, phrase_hits, token_hits
-from newsmart.session import counted
+from newsmart.session import Counters, counted
 
 RESULT_COLUMNS = ("article_id", "filter_stage", "filter_decision", "filter_reason", "filter_score")
 
@@ -181,6 +181,7 @@ def score_articles(
     lexicon: Lexicon,
     refilter_all: bool = False,
     weights: Weights = WEIGHTS,
+    counters: Counters | None = None,
 ) -> DataFrame:
     """Filter results of the pending articles (all of them with ``refilter_all``).
 
@@ -204,6 +205,6 @@ def score_articles(
     )
     decision = F.col("filter_decision")
     return counted(
-        results, "filter", total=F.count(F.lit(1)), passed=F.count_if(decision == "passed"),
+        results, "filter", counters, total=F.count(F.lit(1)), passed=F.count_if(decision == "passed"),
         rejected=F.count_if(decision == "rejected"),
     )

@@ -14,7 +14,7 @@ from newsmart.operators.dedup import mark_duplicates
 from newsmart.operators.ingest import IngestResult, ingest, update_feed_health
 from newsmart.operators.lifecycle import current_articles, with_source
 from newsmart.operators.scoring import score_articles
-from newsmart.session import cut
+from newsmart.session import Counters, cut
 from newsmart.sources.payloads import parse_payloads
 
 
@@ -45,13 +45,14 @@ def collect_chain(
     filter_results: DataFrame | None = None,
     duplicates: DataFrame | None = None,
     feeds: DataFrame | None = None,
+    counters: Counters | None = None,
 ) -> Collected:
     """Ingest one run's payloads, score every pending article and mark duplicates among all stored ones.
 
     ``articles``, ``filter_results`` and ``duplicates`` are the stored tables of earlier runs. All articles without a
     filter result are scored, whether new or not. Near duplicates are looked for in the country and day blocks of the
     articles just scored, with all passed and unmarked stored articles of these blocks. With ``feeds`` the outcome of the
-    fetches is written back to them. Each stage's result is stored once and read by the later stages.
+    fetches is written back to them; ``counters`` takes what the stages count. Each stage's result is stored once and read by the later stages.
     """
     parsed = parse_payloads(payloads)
     outcome = ingest(parsed.feeds, parsed.entries, articles, redirects)
@@ -59,9 +60,9 @@ def collect_chain(
     pending = everything
     if filter_results is not None:
         pending = everything.join(filter_results.select("article_id"), "article_id", "left_anti")
-    scores = cut(score_articles(pending, sources, lexicon))
+    scores = cut(score_articles(pending, sources, lexicon, counters=counters))
     current = current_articles(with_source(everything, sources), _after(filter_results, scores), duplicates)
-    marks = mark_duplicates(current, settings=dedup, touched_by=scores.select("article_id"))
+    marks = mark_duplicates(current, settings=dedup, touched_by=scores.select("article_id"), counters=counters)
     health = None if feeds is None else update_feed_health(feeds, outcome.feed_counts)
     return Collected(outcome, scores, marks, health)
 
@@ -83,6 +84,7 @@ def enrich_chain(
     topics=TOPICS,
     triage_results: DataFrame | None = None,
     rank_results: DataFrame | None = None,
+    counters: Counters | None = None,
 ) -> Enriched:
     """Triage, rank and brief one run's queues from stored replies; ``articles`` carry source columns.
 
@@ -90,11 +92,11 @@ def enrich_chain(
     queues again, and the briefings see them. The results returned are those of this run alone.
     """
     waiting = current_articles(articles, filter_results, duplicates, triage_results)
-    triaged = cut(enrich.triage(queues.triage_queue(waiting), responses))
+    triaged = cut(enrich.triage(queues.triage_queue(waiting), responses, counters))
     all_triaged = _after(triage_results, triaged)
     kept = current_articles(articles, filter_results, duplicates, all_triaged, rank_results)
-    ranked = cut(enrich.rank(queues.rank_queue(kept), responses, topics))
+    ranked = cut(enrich.rank(queues.rank_queue(kept), responses, topics, counters=counters))
     final = current_articles(articles, filter_results, duplicates, all_triaged, _after(rank_results, ranked))
     inputs = enrich.briefing_inputs(final)
-    written = enrich.briefings(inputs, responses, briefing_date, generated_at)
+    written = enrich.briefings(inputs, responses, briefing_date, generated_at, counters=counters)
     return Enriched(triaged, ranked, written)

@@ -513,6 +513,22 @@ f_briefings AS (
   FROM f_inputs WHERE cc < 'S' AND cc <> 'IN')"""
 _oracle("briefing_inputs", *FINAL_ROWS, INPUTS, body="SELECT * FROM f_inputs")
 _oracle("briefing_rows", *FINAL_ROWS, INPUTS, body="SELECT * FROM f_briefings")
+_COUNTED = [
+    ("filter", "f_scored", {
+        "total": "count(*)", "passed": "count(*) FILTER (filter_decision = 'passed')",
+        "rejected": "count(*) FILTER (filter_decision = 'rejected')",
+    }),
+    ("dedup", "f_near", {"checked": "count(*)", "duplicates": "count(duplicate_of)"}),
+    ("triage", "f_triage", {
+        "total": "count(*)", "keep": "count(*) FILTER (decision = 'keep')", "drop": "count(*) FILTER (decision = 'drop')",
+    }),
+    ("rank", "f_rank", {"ranked": "count(*)", "active": "count(*) FILTER (ai_score >= 60)"}),
+    ("briefing", "f_briefings", {"written": "count(*)", "articles": "sum(article_count)"}),
+]
+_oracle("run_counters", *FINAL_ROWS, INPUTS, body=" UNION ALL ".join(
+    f"SELECT '{stage}' AS stage, '{name}' AS counter, CAST({value} AS BIGINT) AS value FROM {table}"
+    for stage, table, counters in _COUNTED for name, value in counters.items()
+))
 _oracle("briefing_upsert", *FINAL_ROWS, INPUTS, body="""
 SELECT cc, briefing_date, briefing_type, summary, article_count FROM f_briefings
 UNION ALL

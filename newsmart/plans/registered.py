@@ -21,7 +21,7 @@ from newsmart.operators.lifecycle import current_articles, with_source
 from newsmart.operators.registry import SyncResult, sync_registry
 from newsmart.operators.scoring import score_articles as score
 from newsmart.plans.jobs import collect_chain, enrich_chain
-from newsmart.session import checkpoint_dir, cut
+from newsmart.session import Counters, checkpoint_dir, cut
 from newsmart.sources import sample_views as V
 from newsmart.sources import tables
 from newsmart.sources.payloads import parse_payloads
@@ -40,26 +40,26 @@ def stamp(column: str | Column) -> Column:
 
 
 # -- shared inputs -------------------------------------------------------------------------------------
-def _scores(spark, folder) -> DataFrame:
-    return score(V.articles(spark, folder), V.sources(spark, folder), V.TEST_LEXICON)
+def _scores(spark, folder, counters=None) -> DataFrame:
+    return score(V.articles(spark, folder), V.sources(spark, folder), V.TEST_LEXICON, counters=counters)
 
 
 def _rows(spark, folder) -> DataFrame:
     return with_source(V.articles(spark, folder), V.sources(spark, folder))
 
 
-def _filtered(spark, folder) -> DataFrame:
+def _filtered(spark, folder, counters=None) -> DataFrame:
     """Articles with filter results, no duplicates marked."""
-    return current_articles(_rows(spark, folder), cut(_scores(spark, folder)))
+    return current_articles(_rows(spark, folder), cut(_scores(spark, folder, counters)))
 
 
-def _marked(spark, folder) -> DataFrame:
+def _marked(spark, folder, counters=None) -> DataFrame:
     """Articles without their bodies, with filter results and near-duplicate marks.
 
     Both are stored once as narrow tables; all later stages read these and fetch bodies for the rows that are left.
     """
-    heads = cut(_filtered(spark, folder).drop("summary"))
-    marks = cut(dedup.mark_duplicates(heads).select("article_id", "duplicate_of"))
+    heads = cut(_filtered(spark, folder, counters).drop("summary"))
+    marks = cut(dedup.mark_duplicates(heads, counters=counters).select("article_id", "duplicate_of"))
     return heads.drop("duplicate_of").join(marks, "article_id", "left")
 
 
@@ -76,27 +76,28 @@ def _triaged(spark, folder) -> DataFrame:
     return enrich.triage(waiting, V.responses(waiting, enrich.TRIAGE))
 
 
-def _kept(spark, folder) -> DataFrame:
+def _kept(spark, folder, counters=None) -> DataFrame:
     """Articles with filter, duplicate and triage results; every stage result is stored once."""
-    marked = _marked(spark, folder)
+    marked = _marked(spark, folder, counters)
     waiting = queues.untriaged(marked)
-    triaged = cut(enrich.triage(waiting, V.responses(waiting, enrich.TRIAGE)))
+    triaged = cut(enrich.triage(waiting, V.responses(waiting, enrich.TRIAGE), counters))
     base, triaged = _without_enrichment(marked), triaged.withColumnRenamed("decision", "triage_decision")
     return base.join(triaged, "article_id", "left").withColumn("ai_score", F.lit(None).cast("int"))
 
 
-def _rank(kept: DataFrame, spark, folder) -> DataFrame:
+def _rank(kept: DataFrame, spark, folder, counters=None) -> DataFrame:
     waiting = queues.unranked(kept)
-    return enrich.rank(_with_body(waiting, spark, folder), V.responses(waiting, enrich.RANK), V.sample_topics())
+    rows, replies = _with_body(waiting, spark, folder), V.responses(waiting, enrich.RANK)
+    return enrich.rank(rows, replies, V.sample_topics(), counters=counters)
 
 
 def _ranked(spark, folder) -> DataFrame:
     return _rank(_kept(spark, folder), spark, folder)
 
 
-def _final(spark, folder) -> DataFrame:
-    kept = cut(_kept(spark, folder))
-    return kept.drop("ai_score").join(cut(_rank(kept, spark, folder)), "article_id", "left")
+def _final(spark, folder, counters=None) -> DataFrame:
+    kept = cut(_kept(spark, folder, counters))
+    return kept.drop("ai_score").join(cut(_rank(kept, spark, folder, counters)), "article_id", "left")
 
 
 # -- filter ---------------------------------------------------------------------------------------------
@@ -438,10 +439,10 @@ def _briefing_replies(inputs: DataFrame) -> DataFrame:
     )
 
 
-def _briefings(spark, folder) -> DataFrame:
-    inputs = enrich.briefing_inputs(_final(spark, folder))
+def _briefings(spark, folder, counters=None) -> DataFrame:
+    inputs = enrich.briefing_inputs(_final(spark, folder, counters))
     now = F.to_timestamp(F.lit("2024-02-01 00:00:00"))
-    return enrich.briefings(inputs, _briefing_replies(inputs), "2024-02-01", now)
+    return enrich.briefings(inputs, _briefing_replies(inputs), "2024-02-01", now, counters=counters)
 
 
 @query
@@ -453,6 +454,14 @@ def briefing_rows(spark, folder):
     )
 
 
+@query
+def run_counters(spark, folder):
+    """What all stages of one run counted while their results were stored."""
+    counters = Counters()
+    cut(_briefings(spark, folder, counters))
+    return counters.to_frame(spark)
+
+
 @query
 def briefing_upsert(spark, folder):
     """Existing briefings of two dates for every country; those of the new date are replaced."""

@@ -6,7 +6,7 @@ import re
 import tempfile
 import uuid
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 
 SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
@@ -66,11 +66,42 @@ def cut(df: DataFrame) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def counted(results: DataFrame, stage: str, **counters: Column) -> DataFrame:
+class Counters:
+    """Counters of the stages of one run.
+
+    A stage observes them while its result is computed; they can be read, without a second pass, once the result was stored,
+    and are those of its first action. A task that is repeated after a lost executor may be counted again.
+    """
+
+    def __init__(self) -> None:
+        self._observed: dict[str, Observation] = {}
+
+    def observe(self, results: DataFrame, stage: str, *counters: Column) -> DataFrame:
+        """``results`` with the counters of a stage that this run has not counted yet."""
+        if stage in self._observed:
+            raise ValueError(f"stage {stage} is counted already")
+        self._observed[stage] = Observation(_observed_name(stage))
+        return results.observe(self._observed[stage], *counters)
+
+    def of(self, stage: str) -> dict[str, int]:
+        """The counters of a stage whose result was stored; waits for it otherwise."""
+        return self._observed[stage].get
+
+    def to_frame(self, spark: SparkSession) -> DataFrame:
+        """(stage, counter, value) of all stages; their results were stored."""
+        rows = [(stage, name, value or 0) for stage in self._observed for name, value in self.of(stage).items()]
+        return spark.createDataFrame(rows, "stage string, counter string, value long")
+
+
+def _observed_name(stage: str) -> str:
+    return f"{stage}-{uuid.uuid4().hex[:12]}"
+
+
+def counted(results: DataFrame, stage: str, into: Counters | None = None, **counters: Column) -> DataFrame:
     """Stage results with their counters observed while they are computed.
 
-    Listeners get the counters without a second pass. The node also keeps later filters above the
+    Listeners and ``into`` get the counters without a second pass. The node also keeps later filters above the
     stage: pushed below it they would evaluate the stage's expressions a second time.
     """
     named = [value.alias(name) for name, value in counters.items()]
-    return results.observe(f"{stage}-{uuid.uuid4().hex[:12]}", *named)
+    return into.observe(results, stage, *named) if into else results.observe(_observed_name(stage), *named)

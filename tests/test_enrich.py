@@ -138,3 +138,19 @@ def test_briefings_skip_empty_replies_and_upsert_is_idempotent(spark):
     assert once.collect() == row
     counted = reports.briefing_counters(enrich.ranked_countries(_articles(spark)), new).first()
     assert tuple(counted) == (3, 1)
+
+
+def test_counters_are_read_from_the_run_itself(spark):
+    from newsmart.session import Counters, counted, cut
+
+    counters = Counters()
+    frame = spark.range(100).repartition(4)
+    even = counted(frame, "numbers", counters, total=F.count(F.lit(1)), even=F.count_if(F.col("id") % 2 == 0))
+    none = counted(frame.limit(0), "none", counters, total=F.count(F.lit(1)), most=F.max("id"))
+    stored = cut(even.filter("id < 10"))
+    cut(none)
+    assert stored.count() == 10 and counters.of("numbers") == {"total": 100, "even": 50}
+    rows = {tuple(r) for r in counters.to_frame(spark).collect()}
+    assert rows == {("numbers", "total", 100), ("numbers", "even", 50), ("none", "total", 0), ("none", "most", 0)}
+    with pytest.raises(ValueError, match="counted already"):
+        counted(frame, "numbers", counters, total=F.count(F.lit(1)))
