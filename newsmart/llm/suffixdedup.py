@@ -52,19 +52,21 @@ class Repeats:
 PASSAGES = Repeats(length=51, gram=8, shard=1 << 16, words=True)
 
 PIECE = 1 << 20
-WORD_PIECE = 2 << 20
+#: Bytes of whole texts, or bytes whose words, go through one vector step; longer texts go alone.
+GROUP = 1 << 16
+WORD_PIECE = 1 << 18
 AS_WRITTEN = np.arange(256, dtype=np.uint8)
 
 
 # -- units ---------------------------------------------------------------------------------------------
-def _units(texts: A.Texts, settings: Repeats) -> Iterator[np.ndarray]:
-    """The bytes of every text, or the hashes of its words."""
-    if not settings.words:
-        yield from (texts.one(i) for i in range(len(texts)))
-        return
-    for _, piece in texts.pieces(WORD_PIECE):
-        found = A.words(piece, A.NOT_SPACE, AS_WRITTEN)
-        yield from (found.hashes[a:b] for a, b in zip(found.bounds[:-1].tolist(), found.bounds[1:].tolist(), strict=True))
+def _units(texts: A.Texts, settings: Repeats) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """The bytes of consecutive texts, or the hashes of their words, with the bounds of the texts; about ``GROUP`` at once."""
+    for _, piece in texts.pieces(WORD_PIECE if settings.words else GROUP):
+        if settings.words:
+            found = A.words(piece, A.NOT_SPACE, AS_WRITTEN)
+            yield found.hashes, found.bounds
+        else:
+            yield piece.data, piece.bounds
 
 
 def _unit_type(settings: Repeats) -> np.dtype:
@@ -103,33 +105,68 @@ def window_least(values: np.ndarray, width: int) -> np.ndarray:
     return np.minimum(to_come[:n], so_far[width - 1 : width - 1 + n])
 
 
+def _least_places(data: np.ndarray, settings: Repeats) -> tuple[np.ndarray, np.ndarray]:
+    """The anchor place of every start, and the hashes of all places.
+
+    The place rides in the low bits of the hashes, so the least value of a window names its leftmost least place.
+    """
+    low_bits = np.uint64((1 << 22) - 1)
+    grams = gram_hashes(data, settings.gram)
+    marked = (grams & ~low_bits) | np.arange(len(grams), dtype=np.uint64)
+    place = (window_least(marked, settings.length - settings.gram + 1) & low_bits).astype(np.int64)
+    return place, grams.view(np.int64)
+
+
 def anchored_runs(data: np.ndarray, settings: Repeats) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(first start, last start, anchor hash) of the runs of starts that share an anchor place, for one text.
 
-    The place rides in the low bits of the hashes, so the least value of a window names its leftmost least place. Long
-    texts are handled in overlapping parts; a run that a part's end divides is joined again.
+    Long texts are handled in overlapping parts; a run that a part's end divides is joined again.
     """
     starts = len(data) - settings.length + 1
     if starts <= 0:
         none = np.zeros(0, np.int64)
         return none, none, none
     places, firsts, hashes = [], [], []
-    low_bits = np.uint64((1 << 22) - 1)
     for low in range(0, starts, PIECE):
         count = min(PIECE, starts - low)
-        grams = gram_hashes(data[low : low + count + settings.length - 1], settings.gram)
-        marked = (grams & ~low_bits) | np.arange(len(grams), dtype=np.uint64)
-        place = (window_least(marked, settings.length - settings.gram + 1) & low_bits).astype(np.int64)
+        place, grams = _least_places(data[low : low + count + settings.length - 1], settings)
         edges = np.concatenate([[0], np.flatnonzero(place[1:] != place[:-1]) + 1])
         places.append(place[edges] + low)
         firsts.append(edges + low)
-        hashes.append(grams[place[edges]].view(np.int64))
+        hashes.append(grams[place[edges]])
     places, firsts, hashes = (np.concatenate(x) for x in (places, firsts, hashes))
     fresh = np.concatenate([[True], places[1:] != places[:-1]])
     firsts, hashes = firsts[fresh], hashes[fresh]
     return firsts, np.append(firsts[1:] - 1, starts - 1), hashes
 
 
+def runs_of_texts(
+    data: np.ndarray, bounds: np.ndarray, settings: Repeats
+) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """``anchored_runs`` of consecutive texts in one step: (text, first start, last start, anchor hash), starts counted in ``data``.
+
+    Places whose window leaves its text take part in the arithmetic and are no starts.
+    """
+    ends = bounds[1:] - settings.length + 1  # past the last start of each text
+    if len(data) > PIECE or len(data) < settings.length:
+        found = [anchored_runs(data[a:b], settings) for a, b in zip(bounds[:-1].tolist(), bounds[1:].tolist(), strict=True)]
+        text = np.repeat(np.arange(len(found)), [len(x[0]) for x in found])
+        first, last, anchor = (np.concatenate(x) for x in zip(*found, strict=True))
+        return text, first + bounds[text], last + bounds[text], anchor
+    place, grams = _least_places(data, settings)
+    some = ends > bounds[:-1]
+    change = np.zeros(len(place) + 1, np.int64)
+    change[bounds[:-1][some]] += 1
+    change[ends[some]] -= 1
+    starts = np.cumsum(change[:-1]) > 0
+    fresh = np.concatenate([[True], place[1:] != place[:-1]])
+    fresh[bounds[:-1][some]] = True
+    first = np.flatnonzero(starts & fresh)
+    text = np.searchsorted(bounds, first, "right") - 1
+    last = np.minimum(np.append(first[1:], len(data)), ends[text]) - 1
+    return text, first, last, grams[place[first]]
+
+
 RUNS = "runs array<struct<first: int, last: int, anchor: long, cover: long>>"
 RUN = pa.struct([("first", pa.int32()), ("last", pa.int32()), ("anchor", pa.int64()), ("cover", pa.int64())])
 
@@ -138,19 +175,16 @@ def _runs(docs: DataFrame, settings: Repeats) -> DataFrame:
     """(id, tag, first, last, anchor, cover) of every run of every text."""
 
     def find(column: pa.Array) -> list[pa.Array]:
-        texts = A.Texts.of(column)
-        counts, parts = [], []
-        with np.errstate(over="ignore"):
-            for data in _units(texts, settings):
-                firsts, lasts, anchors = anchored_runs(data, settings)
-                counts.append(len(firsts))
-                if len(firsts):
-                    cover = [
-                        xxhash.xxh3_64_intdigest(data[a : b + settings.length])
-                        for a, b in zip(firsts.tolist(), lasts.tolist(), strict=True)
-                    ]
-                    parts.append((firsts, lasts, anchors, np.array(cover, np.uint64).view(np.int64)))
-        offsets = pa.array(np.concatenate([[0], np.cumsum(counts)]), pa.int32())
+        counts, parts = [np.zeros(1, np.int64)], []
+        for data, bounds in _units(A.Texts.of(column), settings):
+            with np.errstate(over="ignore"):
+                text, first, last, anchor = runs_of_texts(data, bounds, settings)
+            counts.append(np.bincount(text, minlength=len(bounds) - 1))
+            raw, width = memoryview(np.ascontiguousarray(data).view(np.uint8)), data.itemsize
+            cuts = zip((first * width).tolist(), ((last + settings.length) * width).tolist(), strict=True)
+            cover = np.array([xxhash.xxh3_64_intdigest(raw[a:b]) for a, b in cuts], np.uint64)
+            parts.append((first - bounds[text], last - bounds[text], anchor, cover.view(np.int64)))
+        offsets = pa.array(np.cumsum(np.concatenate(counts)), pa.int32())
         columns = [np.concatenate(x) for x in zip(*parts, strict=True)] or [np.zeros(0, np.int64)] * 4
         flat = pa.StructArray.from_arrays([pa.array(c, f.type) for c, f in zip(columns, RUN, strict=True)], fields=list(RUN))
         return [pa.ListArray.from_arrays(offsets, flat)]
@@ -314,11 +348,10 @@ def _blocks(kinds: DataFrame, texts: DataFrame, settings: Repeats) -> DataFrame:
 
     def cut(batches):
         for batch in batches:
-            raw = []
-            with np.errstate(over="ignore"):
-                units = _units(A.Texts.of(batch.column("text")), settings)
-                for data, runs in zip(units, batch.column("runs").to_pylist(), strict=True):
-                    raw.append([data[r["first"] : r["last"] + length].tobytes() for r in runs])
+            raw, wanted = [], iter(batch.column("runs").to_pylist())
+            for data, bounds in _units(A.Texts.of(batch.column("text")), settings):
+                for low, runs in zip(bounds[:-1].tolist(), wanted, strict=False):
+                    raw.append([data[low + r["first"] : low + r["last"] + length].tobytes() for r in runs])
             yield pa.RecordBatch.from_arrays(
                 [batch.column("id"), batch.column("tag"), batch.column("runs"), pa.array(raw, slices)],
                 ["id", "tag", "runs", "raw"],
