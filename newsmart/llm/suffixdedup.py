@@ -10,7 +10,8 @@ so a text falls into runs of starts with one anchor, about 2 / (length - gram) o
 3. The other anchors' runs, one of each digest, are read as bytes and dealt by anchor into shards. A shard's suffix array
    (sorted as deep as ``length``) is searched for the longest previous factor of every start: in suffix order, the
    previous and the next smaller position give the longest earlier match; a factor of ``length`` or more is an earlier copy.
-   Runs of one very frequent anchor are dealt to several shards, which then exchange digests of single strings.
+   Runs of one very frequent anchor are dealt to several shards, which then exchange digests: first of what neighbouring
+   strings have in common, then of the single strings where that occurs in another shard.
 4. Removed starts become byte spans of their texts.
 
 ``copies="later"`` removes copies of an earlier string and keeps the first; ``copies="all"`` removes the first one too.
@@ -195,17 +196,18 @@ def _runs(docs: DataFrame, settings: Repeats) -> DataFrame:
 
 # -- suffix arrays -------------------------------------------------------------------------------------
 def suffix_order(data: np.ndarray, depth: int) -> tuple[np.ndarray, np.ndarray]:
-    """(suffix array, rank) of codes below 2**21 - 1 compared as deep as ``depth``: equal so far, equal rank.
+    """(suffix array, rank) of codes compared as deep as ``depth``: equal so far, equal rank.
 
-    Ranks of twice the depth come from pairs of ranks, starting with three codes at a time.
+    Ranks of twice the depth come from pairs of ranks, starting with as many codes at a time as one key holds.
     """
     n = len(data)
-    padded = np.zeros(n + 4, np.int64)
+    bits = (int(data.max(initial=0)) + 1).bit_length()
+    reach = min(63 // bits, depth)
+    padded = np.zeros(n + reach, np.int64)
     padded[:n] = data.astype(np.int64) + 1
     key = padded[:n]
-    reach = min(3, depth)
     for i in range(1, reach):
-        key = key * (1 << 21) + padded[i : n + i]
+        key = (key << bits) | padded[i : n + i]
     order, rank = _ranked(key, reach >= depth)
     while reach < depth:
         step = min(reach, depth - reach)
@@ -272,14 +274,37 @@ def _intervals(mask: np.ndarray) -> list[int]:
     return edges.tolist()
 
 
-SHARD_ROW = "anchor long, cover long, later array<int>, any array<int>, strings array<struct<at: int, text: binary>>"
+SHARD_ROW = (
+    "anchor long, cover long, later array<int>, any array<int>, "
+    "cores array<struct<slot: int, core: binary, strings: array<struct<cover: long, at: int, text: binary>>>>"
+)
+STRING = pa.struct([("cover", pa.int64()), ("at", pa.int32()), ("text", pa.binary())])
+CORE = pa.struct([("slot", pa.int32()), ("core", pa.binary()), ("strings", pa.list_(STRING))])
+
+
+def _cores(raw: bytes, fresh: np.ndarray, settings: Repeats) -> Iterator[tuple[int, bytes, list[int]]]:
+    """The strings that start at ``fresh`` (not empty) in slots of their distance to the anchor: slot, digest of what the slot's
+    strings have in common, starts.
+
+    Equal strings have their anchor at equal distances, so they share slot and core; a core that no other shard has settles
+    all strings of its slot at once.
+    """
+    data = np.frombuffer(raw, _unit_type(settings))
+    width, slots = data.itemsize, max(settings.length // 6, 1)
+    with np.errstate(over="ignore"):
+        place = int(_least_places(data[: settings.length], settings)[0][0])
+    slot = (place - fresh) // slots
+    for one in np.unique(slot).tolist():
+        first = place - one * slots  # the last start of the slot; its strings share what the first start's string still has of it
+        core = raw[first * width : (first - slots + 1 + settings.length) * width]
+        yield one, xxhash.xxh3_128_digest(core), fresh[slot == one].tolist()
 
 
 def _factors(blocks: DataFrame, settings: Repeats) -> DataFrame:
     """Per block (anchor, cover, salt, id, tag, first, bytes, parts, copies): starts with an earlier copy, starts with any copy.
 
-    Starts are counted from the block's first. Blocks of an anchor dealt to several shards also return a digest of every
-    string without an earlier copy in its shard.
+    Starts are counted from the block's first. Of an anchor dealt to several shards, each shard also returns the strings without
+    an earlier copy in it, as digests under its distinct cores (see ``_cores``); a core's strings stand with its first block.
     """
     length, unit = settings.length, _unit_type(settings)
     width = unit.itemsize
@@ -314,24 +339,33 @@ def _factors(blocks: DataFrame, settings: Repeats) -> DataFrame:
             end = len(known)
         for i, (size, at) in enumerate(zip(sizes.tolist(), begins.tolist(), strict=False)):
             data[at : at + size] = codes[at - i : at - i + size]
-            data[at + size] = end + i % 60000  # ends a block
+            data[at + size] = end  # strings end before it
             starts[at : at + size - length + 1] = True
         order, rank = suffix_order(data, length)
         before, beside = earlier_copies(order, rank, starts)
-        later, either, strings = [], [], []
+        later, either, cores, known_cores = [], [], [], {}
+        anchors, covers = table.column("anchor").to_pylist(), table.column("cover").to_pylist()
         for i, at in enumerate(begins[:-1].tolist()):
             count = int(sizes[i]) - length + 1
             later.append(_intervals(before[at : at + count]))
             either.append(_intervals(beside[at : at + count]))
-            fresh = np.flatnonzero(~before[at : at + count]).tolist() if shared[i] else []
-            strings.append([{"at": s, "text": xxhash.xxh3_128_digest(raw[i][s * width : (s + length) * width])} for s in fresh])
+            cores.append([])
+            fresh = np.flatnonzero(~before[at : at + count]) if shared[i] else ()
+            for slot, core, found in _cores(raw[i], fresh, settings) if len(fresh) else ():
+                held = known_cores.get((anchors[i], slot, core))
+                if held is None:
+                    held = known_cores[anchors[i], slot, core] = []
+                    cores[i].append({"slot": slot, "core": core, "strings": held})
+                for s in found:
+                    text = xxhash.xxh3_128_digest(raw[i][s * width : (s + length) * width])
+                    held.append({"cover": covers[i], "at": s, "text": text})
         return pa.RecordBatch.from_arrays(
             [
                 table.column("anchor").combine_chunks(), table.column("cover").combine_chunks(),
                 pa.array(later, pa.list_(pa.int32())), pa.array(either, pa.list_(pa.int32())),
-                pa.array(strings, pa.list_(pa.struct([("at", pa.int32()), ("text", pa.binary())]))),
+                pa.array(cores, pa.list_(CORE)),
             ],
-            ["anchor", "cover", "later", "any", "strings"],
+            ["anchor", "cover", "later", "any", "cores"],
         )
 
     dealt = blocks.repartition("anchor", "salt").sortWithinPartitions("anchor", "salt", "id", "tag", "first")
@@ -407,11 +441,13 @@ def _marked(texts: DataFrame, settings: Repeats, every: bool) -> DataFrame:
     blocks = _blocks(dealt, texts, settings)
     factors = stage(_factors(blocks, settings), "factors")
 
-    # Strings of the anchors that several shards hold: which of them occur in another shard, and where first.
-    shared = factors.where("size(strings) > 0").join(kinds, ["anchor", "cover"])
-    strings = shared.select(
-        "anchor", "cover", F.explode("strings").alias("s"), F.struct("id", "tag", F.col("first") + F.col("s.at")).alias("place")
-    ).select("anchor", "cover", "s.*", "place")
+    # Strings of the anchors that several shards hold: which of them occur in another shard, and where first. Only strings
+    # whose core another shard has too are compared.
+    split = factors.where("size(cores) > 0").select("anchor", F.explode("cores").alias("c")).select("anchor", "c.*")
+    met = split.groupBy("anchor", "slot", "core").agg(F.count("*").alias("shards")).where("shards > 1").drop("shards")
+    near = split.join(met, ["anchor", "slot", "core"]).select("anchor", F.explode("strings").alias("s")).select("anchor", "s.*")
+    place = F.struct("id", "tag", F.col("first") + F.col("at"))
+    strings = near.join(kinds, ["anchor", "cover"]).select("anchor", "cover", "at", "text", place.alias("place"))
     held = strings.groupBy("anchor", "text").agg(F.count("*").alias("shards"), F.min("place").alias("least"))
     crossing = strings.join(held.where("shards > 1"), ["anchor", "text"])
     crossing = crossing if every else crossing.where("place <> least")
