@@ -38,19 +38,19 @@ from newsmart.llm.tables import annotate, mapped, small_batches, stage, whole_gr
 
 @dataclass(frozen=True)
 class Repeats:
-    """``length`` bytes make a repeated string; ``gram`` bytes are hashed for anchors. ``shard`` bounds the bytes under
-    one suffix array, ``runs_per_shard`` the runs of one anchor in it. With ``words`` all of them count words
-    (``[^\\x20\\x09-\\x0D]+`` as they are written) instead of bytes."""
+    """``length`` bytes make a repeated string; ``gram`` bytes are hashed for anchors. ``shard`` bounds the bytes of small
+    groups of runs that share one suffix array, ``runs_per_shard`` the runs of one anchor in it. With ``words`` all of them
+    count words (``[^\\x20\\x09-\\x0D]+`` as they are written) instead of bytes."""
 
     length: int = 400
     gram: int = 48
-    shard: int = 1 << 19
+    shard: int = 1 << 15
     runs_per_shard: int = 700
     words: bool = False
 
 
 #: Passages of over fifty words, however short the words are.
-PASSAGES = Repeats(length=51, gram=8, shard=1 << 16, words=True)
+PASSAGES = Repeats(length=51, gram=8, words=True)
 
 PIECE = 1 << 20
 #: Bytes of whole texts, or bytes whose words, go through one vector step; longer texts go alone.
@@ -267,11 +267,13 @@ def previous_factors(data: bytes) -> list[int]:
     return [max(common(i, previous[i]), common(i, following[i])) for i in range(n)]
 
 
-def _intervals(mask: np.ndarray) -> list[int]:
-    """First and last positions of the true runs, one after the other."""
+def _intervals(mask: np.ndarray, begins: np.ndarray) -> pa.ListArray:
+    """First and last positions of the true runs of each block, one after the other, counted from where the block begins."""
     edges = np.flatnonzero(np.diff(np.concatenate([[0], mask.view(np.int8), [0]])))
     edges[1::2] -= 1
-    return edges.tolist()
+    block = np.searchsorted(begins, edges, "right") - 1
+    offsets = np.searchsorted(block, np.arange(len(begins)))
+    return pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(edges - begins[block], pa.int32()))
 
 
 SHARD_ROW = (
@@ -343,12 +345,10 @@ def _factors(blocks: DataFrame, settings: Repeats) -> DataFrame:
             starts[at : at + size - length + 1] = True
         order, rank = suffix_order(data, length)
         before, beside = earlier_copies(order, rank, starts)
-        later, either, cores, known_cores = [], [], [], {}
+        cores, known_cores = [], {}
         anchors, covers = table.column("anchor").to_pylist(), table.column("cover").to_pylist()
         for i, at in enumerate(begins[:-1].tolist()):
             count = int(sizes[i]) - length + 1
-            later.append(_intervals(before[at : at + count]))
-            either.append(_intervals(beside[at : at + count]))
             cores.append([])
             fresh = np.flatnonzero(~before[at : at + count]) if shared[i] else ()
             for slot, core, found in _cores(raw[i], fresh, settings) if len(fresh) else ():
@@ -362,7 +362,7 @@ def _factors(blocks: DataFrame, settings: Repeats) -> DataFrame:
         return pa.RecordBatch.from_arrays(
             [
                 table.column("anchor").combine_chunks(), table.column("cover").combine_chunks(),
-                pa.array(later, pa.list_(pa.int32())), pa.array(either, pa.list_(pa.int32())),
+                _intervals(before, begins), _intervals(beside, begins),
                 pa.array(cores, pa.list_(CORE)),
             ],
             ["anchor", "cover", "later", "any", "cores"],
