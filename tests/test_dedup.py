@@ -6,6 +6,7 @@ import subprocess
 import sys
 from difflib import SequenceMatcher
 
+import numpy as np
 import pytest
 from hypothesis import given, settings, strategies as st
 from pyspark import cloudpickle
@@ -217,3 +218,24 @@ def test_marking_leaves_the_session_as_it_was(spark):
     before = spark.conf.get(limit)
     mark_duplicates(_articles(spark, count=60)[1], settings=Dedup(chunk_rows=5, slot_rows=4)).count()
     assert spark.conf.get(limit) == before
+
+
+def test_long_titles_of_one_language_are_told_apart_before_any_subsequence():
+    rng = random.Random(11)
+    syllables = "an at en er es he in is it le nd on or ou re st te th ti ka".split()
+    words = ["".join(rng.choice(syllables) for _ in range(rng.randint(1, 3))) for _ in range(400)]
+    keys = [" ".join(rng.choice(words) for _ in range(rng.randint(70, 130))) for _ in range(60)]
+    titles = similarity.TitleSet(keys)
+    left = [titles.possible(key, np.arange(place + 1, 60), 0.75) for place, key in enumerate(keys)]
+    assert sum(map(len, left)) < 0.02 * 60 * 59 / 2
+    near = [key[: len(key) // 2] + rng.choice(["", " x7 ", "k" * 40]) + key[len(key) // 2 + rng.randint(0, 60) :] for key in keys]
+    mixed = rng.sample(keys + near, 120)
+    expected = brute_force(mixed, 0.75)
+    assert max(expected) >= 0 and similarity.resolve(mixed, 0.75).tolist() == expected
+
+
+@given(st.lists(st.text("abqxz 7é", min_size=150, max_size=420), max_size=6), st.sampled_from([0.5, 0.75]))
+@settings(max_examples=60, deadline=None)
+def test_the_block_bound_never_changes_the_result(keys, threshold):
+    keys += [key[::-1] for key in keys[:2]] + [key[7:] + key[:90] for key in keys]
+    assert similarity.resolve(keys, threshold).tolist() == brute_force(keys, threshold)
