@@ -70,3 +70,23 @@ def test_a_late_better_article_reopens_its_block(spark, tmp_path):
     batch = mark_duplicates(spark.read.schema(schema).parquet(str(tmp_path / "in")), recheck=True)
     assert sorted(map(tuple, marks), key=str) == sorted(map(tuple, batch.select("article_id", "duplicate_of").collect()), key=str)
     assert dict(map(tuple, marks))[1] == 4
+
+
+def test_document_stream_files_grow_with_the_table(spark, tmp_path):
+    from newsmart.plans import registered
+
+    spark.range(0, 4000, numPartitions=9).selectExpr("id AS doc_id", "repeat('x', 50) AS text").write.parquet(
+        str(tmp_path / "in" / "documents.parquet")
+    )
+    spark.conf.set("spark.sql.files.openCostInBytes", "128m")
+    try:
+        stream = registered._document_stream(spark, str(tmp_path / "in"), str(tmp_path / "run"))
+    finally:
+        spark.conf.unset("spark.sql.files.openCostInBytes")
+    assert len(list((tmp_path / "run" / "documents").glob("part-*.parquet"))) >= 9
+    query = stream.writeStream.format("noop").option("checkpointLocation", str(tmp_path / "state")).trigger(
+        availableNow=True
+    ).start()
+    query.awaitTermination()
+    assert [row["numInputRows"] > 0 for row in query.recentProgress].count(True) == registered.STREAM_BATCHES
+    assert sum(row["numInputRows"] for row in query.recentProgress) == 4000
