@@ -239,3 +239,9 @@ def test_long_titles_of_one_language_are_told_apart_before_any_subsequence():
 def test_the_block_bound_never_changes_the_result(keys, threshold):
     keys += [key[::-1] for key in keys[:2]] + [key[7:] + key[:90] for key in keys]
     assert similarity.resolve(keys, threshold).tolist() == brute_force(keys, threshold)
+
+
+def test_equal_titles_are_joined_without_reading_the_articles_again(spark, tmp_path):
+    path = str(tmp_path / "articles")
+    _articles(spark, count=60)[1].write.parquet(path)
+    assert not any(path in name for name in mark_equal_titles(candidates(spark.read.parquet(path))).inputFiles())
