@@ -75,3 +75,13 @@ def test_collect_chain_goes_on_across_runs(spark):
     run = {r.article_id: r.run for r in rows}
     assert set(run.values()) == {1, 2}
     assert all(r.duplicate_of is None or r.duplicate_of in run for r in rows)
+
+
+def test_stage_counters_mark_once(spark, monkeypatch):
+    """Both stages read the marks of one run."""
+    from newsmart.plans import registered
+
+    calls = []
+    marked = registered._marked
+    monkeypatch.setattr(registered, "_marked", lambda *given: calls.append(given) or marked(*given))
+    assert QUERIES["stage_counters"](spark, FOLDER).count() == 2 and len(calls) == 1
