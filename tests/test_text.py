@@ -114,3 +114,21 @@ def test_csv_and_percent(spark):
         X.percent(F.lit(1), F.lit(3)), X.percent(F.lit(0), F.lit(0)), X.percent(F.lit(2), F.lit(None).cast("int")),
     ).first()
     assert tuple(row) == (["A", "B"], [], "A,B", "33.3%", "-", "-")
+
+
+def test_guarded_classes_match_what_the_plain_ones_do(spark):
+    """One range stands before each class that every character of a body meets, and changes no result."""
+    from newsmart.functions.lexicon import _scan_pattern
+
+    guarded = {
+        X._ANY_WIDE_BLANK: rf"[\x{{a0}}{X._WIDE_BLANKS}]",
+        X._BLANK_RUNS: rf"[{X._BLANKS}]{{2,}}|[\t-\r\x1c-\x1f]",
+        _scan_pattern(["that"]): _scan_pattern(["that"]).replace("(?![a-z])", "", 1),
+    }
+    assert all(pattern.startswith("(?") and pattern != plain for pattern, plain in guarded.items())
+    chars = spark.range(1, 0x3100).select(F.decode(F.unhex(F.lpad(F.hex("id"), 4, "0")), "UTF-16BE").alias("c"))
+    texts = chars.select(F.explode(F.array("c", F.concat("c", "c"), F.concat(F.lit("x"), "c", F.lit("that"), "c", F.lit(" ")))).alias("t"))
+    for pattern, plain in guarded.items():
+        changed = texts.filter(F.regexp_replace("t", pattern, "|") != F.regexp_replace("t", plain, "|"))
+        assert changed.count() == 0
+        assert texts.filter(F.col("t").rlike(pattern)).count() > 0
