@@ -123,6 +123,7 @@ def test_guarded_classes_match_what_the_plain_ones_do(spark):
     guarded = {
         X._ANY_WIDE_BLANK: rf"[\x{{a0}}{X._WIDE_BLANKS}]",
         X._BLANK_RUNS: rf"[{X._BLANKS}]{{2,}}|[\t-\r\x1c-\x1f]",
+        X._NO_KEY: "[^a-z0-9 ]",
         _scan_pattern(["that"]): _scan_pattern(["that"]).replace("(?![a-z])", "", 1),
     }
     assert all(pattern.startswith("(?") and pattern != plain for pattern, plain in guarded.items())
