@@ -90,3 +90,17 @@ def test_document_stream_files_grow_with_the_table(spark, tmp_path):
     query.awaitTermination()
     assert [row["numInputRows"] > 0 for row in query.recentProgress].count(True) == registered.STREAM_BATCHES
     assert sum(row["numInputRows"] for row in query.recentProgress) == 4000
+
+
+def test_a_block_of_marks_is_one_file(spark, tmp_path):
+    """Not one file of every task: a batch of many small blocks would write tasks times blocks files."""
+    rows = [(n, f"title {chr(97 + n)} {'xyz'[n % 3] * 9}", "2024-01-02 00:00:00", n % 3) for n in range(24)]
+    frame = spark.createDataFrame(rows, "article_id long, title string, at string, tier int").selectExpr(
+        "article_id", "title", "timestamp(at) published_at", "timestamp(at) fetched_at", "'KR' primary_country_code", "tier",
+        "'passed' filter_decision",
+    )
+    frame.repartition(6).write.parquet(f"{tmp_path}/in")
+    stream = spark.readStream.schema(frame.schema).parquet(f"{tmp_path}/in")
+    incremental.dedup_stream(stream, *(f"{tmp_path}/{name}" for name in ("store", "marks", "state"))).awaitTermination()
+    assert len(list((tmp_path / "marks").rglob("part-*.parquet"))) == 1
+    assert spark.read.parquet(f"{tmp_path}/marks").count() == 24
