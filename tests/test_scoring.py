@@ -103,3 +103,32 @@ def test_lexicon_rows_round_trip(spark):
         {"ko": type(LEXICON.own["ko"])(tuple(dict.fromkeys(LEXICON.own["ko"].finance)), LEXICON.own["ko"].countries)},
         LEXICON.extra,
     )
+
+
+def test_exclusions_across_title_and_body_equal_those_of_one_text(spark):
+    rng = random.Random(4)
+    excluded = ("food bank", "bank of river", "river", "of the", "apache", "r&d", "the end of it all")
+    lexicon = Lexicon(("bank",), (("KR", ("won",)),), excluded)
+    pieces = ["food", "bank", "of", "river", "the", "end", "it", "all", "apache", "r&", "d", "x", "proof", " ", " ", " ", ".", "é"]
+    draw = lambda: "".join(rng.choice(pieces) + rng.choice(["", " "]) for _ in range(rng.randint(0, 14)))
+    cuts = [(keyword[:at], keyword[at + 1 :]) for keyword in excluded for at, char in enumerate(keyword) if char == " "]
+    ends = [rng.choice([("", ""), *cuts]) for _ in range(600)]
+    texts = [(n, "en", f"{draw()}{rng.choice(['', ' '])}{a}", f"{b}{rng.choice(['', ' '])}{draw()}") for n, (a, b) in enumerate(ends)]
+    frame = spark.createDataFrame(texts, "n int, language string, title string, summary string")
+    seams = 0
+    for row in score_text(frame, lexicon).collect():
+        title, body = (re.sub(" +", " ", text.strip()) for text in (row.title, row.summary))
+        title, body = (re.sub(r"\s+-\s+[A-Za-z][\w\s]{1,60}$", "", text) for text in (title, body))
+        first = next((keyword for keyword in excluded if _expected(f"{title} {body}", keyword)), None)
+        seams += first is not None and not _expected(title, first) and not _expected(body, first)
+        if row.decision == "rejected":
+            assert row.reason.startswith(f"excl:{first}(") == (first is not None), (row, first)
+        assert row.score == (-4 if first else 0) + (5 if _expected(title, "bank") else 3 if _expected(body, "bank") else 0)
+    assert seams > 10
+
+
+def test_a_body_is_scanned_once_for_all_words(spark, capsys):
+    frame = spark.createDataFrame([("en", "a", "b")], "language string, title string, summary string")
+    score_text(frame, Lexicon(("bank",), (("KR", ("won",)),), ("food bank", "river"))).explain()
+    plan = capsys.readouterr().out
+    assert plan.count("regexp_extract_all(concat( , _body") == 1 and "concat_ws" not in plan
