@@ -123,6 +123,14 @@ def test_rescued_entries_markup_and_full_contents(spark):
     assert "from_xml" not in parse_payloads(payloads).entries._jdf.queryExecution().optimizedPlan().toString()
 
 
+def test_no_filter_parses_the_payloads_once_more(spark):
+    entries = parse_payloads(_payloads(spark).repartition(2), store=None).entries
+    lines = entries._jdf.queryExecution().optimizedPlan().toString().split("\n")
+    assert any("from_xml" in line for line in lines)
+    assert not any("from_xml" in line for line in lines if "Filter" in line or "Join" in line)
+    assert "pos" in entries.columns and entries.filter("pos IS NULL").count() == 0
+
+
 def _entries(spark, rows):
     full = [(feed, 1, pos, title, link, None, None, None, NOW) for feed, pos, title, link in rows]
     return spark.createDataFrame(
