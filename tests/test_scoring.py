@@ -58,6 +58,16 @@ def test_official_sources_pass_and_only_pending_rows_are_scored(spark):
     assert again.filter("article_id = 3").first().filter_decision == "passed"
 
 
+def test_a_language_with_own_lists_names_its_countries_in_their_order(spark):
+    """The reason is the first country of the list that the language is scored with; lists of two languages may differ in order."""
+    rows = [("ko", "한국 미국", ""), ("en", "America and Korea", ""), ("ko", "America and Korea", ""), ("ko", "한국", "미국")]
+    frame = spark.createDataFrame([(n, *row) for n, row in enumerate(rows)], "n int, language string, title string, summary string")
+    got = [(row.reason, row.score) for row in score_text(frame, LEXICON).orderBy("n").collect()]
+    assert got == [
+        ("score:4|country_title:US", 4), ("score:4|country_title:KR", 4), ("score:0|no_match", 0), ("score:3|country_body:US", 3),
+    ]
+
+
 def _expected(text, keyword):
     if has_boundaries(keyword):
         return re.search(rf"(?<![a-z0-9]){re.escape(keyword)}(?![a-z0-9])", text) is not None
