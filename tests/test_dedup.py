@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from newsmart.config import Dedup
 from newsmart.functions import similarity
+from newsmart.operators import dedup
 from newsmart.operators.dedup import band_edges, candidates, mark_duplicates, mark_equal_titles
 from newsmart.operators.ordering import placed
 
@@ -245,3 +246,22 @@ def test_equal_titles_are_joined_without_reading_the_articles_again(spark, tmp_p
     path = str(tmp_path / "articles")
     _articles(spark, count=60)[1].write.parquet(path)
     assert not any(path in name for name in mark_equal_titles(candidates(spark.read.parquet(path))).inputFiles())
+
+
+def test_small_chunks_take_few_waves(spark, monkeypatch):
+    """Chunks double with every wave, so the waves of a block grow with the logarithm of its titles."""
+    waves = []
+    compare_rest = dedup._compare_rest
+    monkeypatch.setattr(dedup, "_compare_rest", lambda *given: waves.append(given) or compare_rest(*given))
+    rng = random.Random(5)
+    day = dt.datetime(2024, 1, 1)
+    titles = ["".join(rng.choice("abcdefghijklmnopqrstuvwxyz0123456789") for _ in range(12)) for _ in range(160)]
+    rows = [(n, title, day, day, "KR", 1, "passed") for n, title in enumerate(titles + titles[:20])]
+    frame = spark.createDataFrame(
+        rows,
+        "article_id long, title string, published_at timestamp, fetched_at timestamp,"
+        "primary_country_code string, tier int, filter_decision string",
+    )
+    marked = {r.article_id: r.duplicate_of for r in mark_duplicates(frame, settings=Dedup(chunk_rows=8, slot_rows=8)).collect()}
+    assert marked == {n: n - 160 if n >= 160 else None for n in range(180)}
+    assert 3 <= len(waves) <= 5
