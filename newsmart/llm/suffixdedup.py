@@ -11,7 +11,7 @@ so a text falls into runs of starts with one anchor, about 2 / (length - gram) o
    (sorted as deep as ``length``) is searched for the longest previous factor of every start: in suffix order, the
    previous and the next smaller position give the longest earlier match; a factor of ``length`` or more is an earlier copy.
    Runs of one very frequent anchor are dealt to several shards, which then exchange digests: first of what neighbouring
-   strings have in common, then of the single strings where that occurs in another shard.
+   strings have in common, the wide neighbourhood before the narrow one, then of the single strings where that occurs in another shard.
 4. Removed starts become byte spans of their texts.
 
 ``copies="later"`` removes copies of an earlier string and keeps the first; ``copies="all"`` removes the first one too.
@@ -278,35 +278,48 @@ def _intervals(mask: np.ndarray, begins: np.ndarray) -> pa.ListArray:
 
 SHARD_ROW = (
     "anchor long, cover long, later array<int>, any array<int>, "
-    "cores array<struct<slot: int, core: binary, strings: array<struct<cover: long, at: int, text: binary>>>>"
+    "cores array<struct<slot: int, core: binary, parts: array<struct<part: int, inner: binary, "
+    "strings: array<struct<cover: long, at: int, text: binary>>>>>>"
 )
 STRING = pa.struct([("cover", pa.int64()), ("at", pa.int32()), ("text", pa.binary())])
-CORE = pa.struct([("slot", pa.int32()), ("core", pa.binary()), ("strings", pa.list_(STRING))])
+PART = pa.struct([("part", pa.int32()), ("inner", pa.binary()), ("strings", pa.list_(STRING))])
+CORE = pa.struct([("slot", pa.int32()), ("core", pa.binary()), ("parts", pa.list_(PART))])
 
 
-def _cores(raw: bytes, fresh: np.ndarray, settings: Repeats) -> Iterator[tuple[int, bytes, list[int]]]:
-    """The strings that start at ``fresh`` (not empty) in slots of their distance to the anchor: slot, digest of what the slot's
-    strings have in common, starts.
+def _cores(raw: bytes, fresh: np.ndarray, settings: Repeats) -> Iterator[tuple[int, bytes, list[tuple[int, bytes, list[int]]]]]:
+    """The strings that start at ``fresh`` (not empty) in slots of their distance to the anchor, and in parts of the slots: slot,
+    digest of what the slot's strings have in common, and for each part its number, the same digest and the starts.
 
-    Equal strings have their anchor at equal distances, so they share slot and core; a core that no other shard has settles
-    all strings of its slot at once.
+    Equal strings have their anchor at equal distances, so they share slot, part and both digests; one that no other shard has
+    settles all strings below it at once. A slot has about as many parts as a part has strings.
     """
     data = np.frombuffer(raw, _unit_type(settings))
     width, slots = data.itemsize, max(settings.length // 6, 1)
+    parts = max(round(slots**0.5), 1)
     with np.errstate(over="ignore"):
         place = int(_least_places(data[: settings.length], settings)[0][0])
-    slot = (place - fresh) // slots
+    distance = place - fresh
+
+    def common(least: int, most: int) -> bytes:  # strings of these distances share what the last one has of the first one
+        return xxhash.xxh3_128_digest(raw[(place - least) * width : (place - most + settings.length) * width])
+
+    slot = distance // slots
     for one in np.unique(slot).tolist():
-        first = place - one * slots  # the last start of the slot; its strings share what the first start's string still has of it
-        core = raw[first * width : (first - slots + 1 + settings.length) * width]
-        yield one, xxhash.xxh3_128_digest(core), fresh[slot == one].tolist()
+        low, high = one * slots, (one + 1) * slots - 1
+        own = fresh[slot == one]
+        part = (place - own - low) // parts
+        inner = [
+            (k, common(low + k * parts, min(low + (k + 1) * parts - 1, high)), own[part == k].tolist())
+            for k in np.unique(part).tolist()
+        ]
+        yield one, common(low, high), inner
 
 
 def _factors(blocks: DataFrame, settings: Repeats) -> DataFrame:
     """Per block (anchor, cover, salt, id, tag, first, bytes, parts, copies): starts with an earlier copy, starts with any copy.
 
     Starts are counted from the block's first. Of an anchor dealt to several shards, each shard also returns the strings without
-    an earlier copy in it, as digests under its distinct cores (see ``_cores``); a core's strings stand with its first block.
+    an earlier copy in it, as digests under its distinct cores and their parts (see ``_cores``); they stand with the core's first block.
     """
     length, unit = settings.length, _unit_type(settings)
     width = unit.itemsize
@@ -351,14 +364,18 @@ def _factors(blocks: DataFrame, settings: Repeats) -> DataFrame:
             count = int(sizes[i]) - length + 1
             cores.append([])
             fresh = np.flatnonzero(~before[at : at + count]) if shared[i] else ()
-            for slot, core, found in _cores(raw[i], fresh, settings) if len(fresh) else ():
+            for slot, core, parts in _cores(raw[i], fresh, settings) if len(fresh) else ():
                 held = known_cores.get((anchors[i], slot, core))
                 if held is None:
-                    held = known_cores[anchors[i], slot, core] = []
-                    cores[i].append({"slot": slot, "core": core, "strings": held})
-                for s in found:
-                    text = xxhash.xxh3_128_digest(raw[i][s * width : (s + length) * width])
-                    held.append({"cover": covers[i], "at": s, "text": text})
+                    held = known_cores[anchors[i], slot, core] = {}
+                    cores[i].append({"slot": slot, "core": core, "parts": held})
+                for part, inner, found in parts:
+                    strings = held.setdefault((part, inner), [])
+                    for s in found:
+                        text = xxhash.xxh3_128_digest(raw[i][s * width : (s + length) * width])
+                        strings.append({"cover": covers[i], "at": s, "text": text})
+        for core in (core for block in cores for core in block):
+            core["parts"] = [{"part": part, "inner": inner, "strings": strings} for (part, inner), strings in core["parts"].items()]
         return pa.RecordBatch.from_arrays(
             [
                 table.column("anchor").combine_chunks(), table.column("cover").combine_chunks(),
@@ -442,12 +459,17 @@ def _marked(texts: DataFrame, settings: Repeats, every: bool) -> DataFrame:
     factors = stage(_factors(blocks, settings), "factors")
 
     # Strings of the anchors that several shards hold: which of them occur in another shard, and where first. Only strings
-    # whose core another shard has too are compared.
+    # whose core another shard has too are compared: first by parts of the core's slot, then one by one.
+    def met(rows: DataFrame, *keys: str) -> DataFrame:
+        return rows.join(rows.groupBy(*keys).agg(F.count("*").alias("shards")).where("shards > 1").drop("shards"), list(keys))
+
     split = factors.where("size(cores) > 0").select("anchor", F.explode("cores").alias("c")).select("anchor", "c.*")
-    met = split.groupBy("anchor", "slot", "core").agg(F.count("*").alias("shards")).where("shards > 1").drop("shards")
-    near = split.join(met, ["anchor", "slot", "core"]).select("anchor", F.explode("strings").alias("s")).select("anchor", "s.*")
+    parts = met(split, "anchor", "slot", "core").select("anchor", "slot", F.explode("parts").alias("p"))
+    near = met(stage(parts.select("anchor", "slot", "p.*"), "parts"), "anchor", "slot", "part", "inner")
+    near = near.select("anchor", F.explode("strings").alias("s")).select("anchor", "s.*")
     place = F.struct("id", "tag", F.col("first") + F.col("at"))
     strings = near.join(kinds, ["anchor", "cover"]).select("anchor", "cover", "at", "text", place.alias("place"))
+    strings = stage(strings, "strings")
     held = strings.groupBy("anchor", "text").agg(F.count("*").alias("shards"), F.min("place").alias("least"))
     crossing = strings.join(held.where("shards > 1"), ["anchor", "text"])
     crossing = crossing if every else crossing.where("place <> least")

@@ -147,6 +147,22 @@ def test_repeats_of_a_frequent_passage_over_several_shards(spark, copies):
     assert {r.doc_id: tuple(r)[1:] for r in found} == brute.repeats(rows, 60, copies)
 
 
+def test_shards_exchange_few_strings_of_near_copies(spark, monkeypatch):
+    """Of near copies with one edit each, strings whose part of a slot no other shard has are not exchanged one by one."""
+    stored, stage = {}, suffixdedup.stage
+    monkeypatch.setattr(suffixdedup, "stage", lambda df, name: stored.setdefault(name, stage(df, name)))
+    rng = random.Random(4)
+    copy = "".join(rng.choice("abcdef ") for _ in range(200))
+    rows = [(i, copy[:at] + f"<{i}>" + copy[at + 1 :]) for i, at in enumerate(rng.choices(range(20, 180), k=90))]
+    settings = suffixdedup.Repeats(length=60, gram=16, shard=2000, runs_per_shard=7)
+    found = suffixdedup.removed(spark.createDataFrame(rows, "doc_id long, text string"), settings).collect()
+    assert {r.doc_id: tuple(r)[1:] for r in found} == brute.repeats(rows, 60)
+    held = [(r.anchor, c.slot, bytes(c.core), sum(len(p.strings) for p in c.parts)) for r in stored["factors"].collect() for c in r.cores]
+    cores = [core[:3] for core in held]
+    below = sum(core[3] for core in held if cores.count(core[:3]) > 1)
+    assert 0 < stored["strings"].count() < 0.7 * below
+
+
 def test_repeats_of_awkward_rows(awkward, empty):
     rows = suffixdedup.removed(awkward).collect()
     assert len(rows) == awkward.count()
