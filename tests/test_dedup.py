@@ -265,3 +265,39 @@ def test_small_chunks_take_few_waves(spark, monkeypatch):
     marked = {r.article_id: r.duplicate_of for r in mark_duplicates(frame, settings=Dedup(chunk_rows=8, slot_rows=8)).collect()}
     assert marked == {n: n - 160 if n >= 160 else None for n in range(180)}
     assert 3 <= len(waves) <= 5
+
+
+def _invented(rng, count, least, most):
+    syllables = "an at en er he in is le nd on ou re st th ti ka bo cy mu we gi pal fro dev juk qua".split()
+    words = ["".join(rng.choice(syllables) for _ in range(rng.randint(1, 3))) for _ in range(400)]
+    return [" ".join(rng.choice(words) for _ in range(rng.randint(least, most))) for _ in range(count)]
+
+
+def test_subsequences_of_short_titles_leave_out_frequent_characters_first(monkeypatch):
+    """Characters times pairs that the subsequences go through; whole titles would take every character of every pair."""
+    work = []
+    pairs = similarity._pair_subsequences
+    monkeypatch.setattr(similarity, "_pair_subsequences", lambda *given: work.append(given[-1].shape) or pairs(*given))
+    keys = [key[:190] for key in _invented(random.Random(21), 700, 25, 40)]
+    assert similarity.resolve(keys, 0.75).tolist() == brute_force(keys[:60], 0.75) + [-1] * 640
+    assert sum(rows * columns for rows, columns in work) < 0.5 * sum(map(len, keys)) * len(keys) / 2
+
+
+def test_many_titles_of_mixed_lengths_equal_the_nested_loop():
+    """Several tiles and steps, with titles of both kinds and near copies of them."""
+    rng = random.Random(22)
+    base = _invented(rng, 60, 3, 90)
+    near = [key[: len(key) // 2] + rng.choice(["", "é", " x7 "]) + key[len(key) // 2 + rng.randint(0, 20) :] for key in base]
+    keys = rng.sample(base + near + ["", "a", "ab"], 123)
+    with pytest.MonkeyPatch.context() as patch:
+        for name, value in (("_TILE", 16), ("_GROUP", 5), ("_STEP", 8), ("_PAIRS", 64)):
+            patch.setattr(similarity, name, value)
+        assert similarity.resolve(keys, 0.75).tolist() == brute_force(keys, 0.75)
+        found = similarity.assign(base, near, 0.75)
+    expected = [next((n for n, p in enumerate(base) if p and SequenceMatcher(None, p, key).ratio() >= 0.75), -1) for key in near]
+    assert found.tolist() == expected
+
+
+def test_blocks_of_unequal_size_take_several_tasks_a_core(spark):
+    blocks = spark.range(1000).selectExpr("string(id % 300) AS cc", "'2024-01-01' AS art_date")
+    assert dedup._tasks(blocks, dedup.BLOCK).rdd.getNumPartitions() >= 4 * spark.sparkContext.defaultParallelism
