@@ -5,6 +5,7 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
 
 from newsmart.config import DEDUP, Dedup
 from newsmart.functions.lexicon import Lexicon
@@ -74,6 +75,12 @@ class Enriched:
     briefings: DataFrame
 
 
+def _of_queue(responses: DataFrame, queue: DataFrame) -> DataFrame:
+    """The replies to a queue's requests; ``queue`` is stored and has no more rows than a queue may have."""
+    keys = queue.select(F.col("article_id").cast("string").alias("key"))
+    return responses.join(F.broadcast(keys), "key", "left_semi").select(*responses.columns)
+
+
 def enrich_chain(
     articles: DataFrame,
     filter_results: DataFrame,
@@ -91,11 +98,16 @@ def enrich_chain(
     ``triage_results`` and ``rank_results`` are the stored results of earlier runs: their articles do not enter the
     queues again, and the briefings see them. The results returned are those of this run alone.
     """
-    waiting = current_articles(articles, filter_results, duplicates, triage_results)
-    triaged = cut(enrich.triage(queues.triage_queue(waiting), responses, counters))
+    ids = cut(articles.select("article_id"))  # all that the queues need besides the stage tables
+    waiting = current_articles(ids, filter_results, duplicates, triage_results)
+    queue = cut(queues.triage_queue(waiting).select("article_id"))
+    triaged = cut(enrich.triage(queue, _of_queue(responses, queue), counters))
     all_triaged = _after(triage_results, triaged)
-    kept = current_articles(articles, filter_results, duplicates, all_triaged, rank_results)
-    ranked = cut(enrich.rank(queues.rank_queue(kept), responses, topics, counters=counters))
+    kept = current_articles(ids, filter_results, duplicates, all_triaged, rank_results)
+    queue = cut(queues.rank_queue(kept).select("article_id"))
+    # Texts only of the queue: a semi-join is taken to the scan, below the joins that make up the articles.
+    rows = articles.join(F.broadcast(queue), "article_id", "left_semi")
+    ranked = cut(enrich.rank(rows, _of_queue(responses, queue), topics, counters=counters))
     final = current_articles(articles, filter_results, duplicates, all_triaged, _after(rank_results, ranked))
     inputs = enrich.briefing_inputs(final)
     written = enrich.briefings(inputs, responses, briefing_date, generated_at, counters=counters)

@@ -154,3 +154,24 @@ def test_counters_are_read_from_the_run_itself(spark):
     assert rows == {("numbers", "total", 100), ("numbers", "even", 50), ("none", "total", 0), ("none", "most", 0)}
     with pytest.raises(ValueError, match="counted already"):
         counted(frame, "numbers", counters, total=F.count(F.lit(1)))
+
+
+def test_queues_of_the_chain_carry_no_texts(spark, monkeypatch):
+    """What is sorted for a queue is narrow; texts are read for the few articles that are in it."""
+    from newsmart.plans import registered
+
+    seen = []
+    for name in ("triage_queue", "rank_queue"):
+        take = getattr(queues, name)
+        monkeypatch.setattr(queues, name, lambda rows, take=take: seen.append(rows.columns) or take(rows))
+    registered.QUERIES["enrich_chain_second_run"](spark, "/root/testdata/sf0.001")
+    assert len(seen) == 4 and not any({"summary", "title"} & set(columns) for columns in seen)
+
+
+def test_bodies_come_from_the_documents_alone(spark):
+    from newsmart.plans import registered
+
+    rows = spark.range(50).withColumnRenamed("id", "article_id")
+    bodies = registered._with_body(rows, spark, "/root/testdata/sf0.001", 5)
+    assert all("documents" in name for name in bodies.inputFiles())
+    assert sorted(len(row.summary) for row in bodies.collect())[-1] == 5
